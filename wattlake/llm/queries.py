@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import langid, mixing, pieces, quality, simhash
+from wattlake.llm import embeddings, langid, licences, mixing, parsing, pieces, quality, simhash, toxicity, urls
 from wattlake.llm.common import fold, table
 
 #: The folder of public vocabulary files, and the model that is used of it.
@@ -16,6 +16,17 @@ TOKENIZERS = os.environ.get("WATTLAKE_TOKENIZERS", "/opt/tokenizers")
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.against_next(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(documents, toxicity.learn(documents, table(spark, sf_dir, "labels")))
+    score = F.col("_tox.score")
+    return scored.select("doc_id", (F.coalesce(fold("doc_id", 3), F.lit(0)) == 1).alias("held_out"), score.alias("score"), (score >= toxicity.LIMIT).cast("int").alias("predicted"), F.array_join("_tox.matches", ",").alias("matches"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every whole text and decodes its ids again; the ids themselves as a SHA-256 of their list."""
     v = pieces.read_model(PIECES)
@@ -26,6 +37,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages")).withColumn("purity", F.round("purity", 9))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.score(documents, quality.learn(documents, table(spark, sf_dir, "labels")))
@@ -42,15 +57,27 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_components(table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_components(simhash.fingerprints(table(spark, sf_dir, "documents"), words=3, lanes=1), radius=3)
     return found.select("doc_id", simhash.hex_fingerprint(["f0"]).alias("fingerprint"), "component_id")
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which licences each whole text names, from where to where, and how well the best of them fits."""
+    found = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.transform("licences", lambda p: F.concat_ws(":", p["licence"], p["first"].cast("string"), p["after"].cast("string")))
+    return found.select("doc_id", F.size("licences").cast("long").alias("n_licences"), F.array_join(F.array_sort(F.array_distinct("licences.licence")), ",").alias("licences"), F.array_join(spans, ",").alias("passages"), F.round(F.array_max("licences.score"), 9).alias("best_score"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    return {f.__name__: f for f in (op3_sentencepiece, op5_quality, op6_language_id, op7_mixing, op9_simhash)} | {"pipeline": corpus_pipeline.run}
+    operators = (op1_fingerprints, op2_toxicity, op3_sentencepiece, op4_url_filter, op5_quality, op6_language_id, op7_mixing, op8_embeddings, op9_simhash, op10_licences)
+    return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
