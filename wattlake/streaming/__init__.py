@@ -1,0 +1 @@
+"""Structured Streaming has no counterpart among the operators of this library; batch plans read streams by foreachBatch."""
