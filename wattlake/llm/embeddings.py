@@ -14,6 +14,8 @@ from wattlake.llm.graph import MinForest, components
 
 #: Vectors a cell in the mean, most cells, expected vectors that the cells are fitted on, rounds of the fit.
 PER_CELL, MOST_CELLS, SAMPLE, ROUNDS = 1000, 4096, 40_000, 8
+#: How far from the plane between two cells a vector still visits the other one, in deviations of a pair's offset there.
+REACH = 3.0
 #: Residents and guests of a cell that one task compares.
 RESIDENTS, GUESTS = 1024, 4096
 
@@ -41,22 +43,27 @@ def fit_cells(sample: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
     return centre
 
 
-def _visits(x: np.ndarray, centre: np.ndarray, least: float) -> tuple[np.ndarray, list[np.ndarray]]:
+def _visits(x: np.ndarray, centre: np.ndarray, least: float, reach: float | None) -> tuple[np.ndarray, list[np.ndarray]]:
     """Each vector's home cell, and all the cells that it must visit (its home among them).
 
     If x and y have a cosine of *least* or more they are sqrt(2 - 2 least) apart at most.  Were
     both farther than half of that from the plane between their home cells, they would be
-    farther apart; so one of them is within it and visits the other's home.  No pair is lost.
+    farther apart; so with *reach* None, which visits up to that, no pair is lost.  That is most
+    cells where vectors have many components, though across any one plane a pair's offset is
+    hardly ever more than a few times its deviation, its length over the root of the number of
+    components; *reach* is how many times, and pairs beyond are all that can be missed.
     """
+    apart = np.sqrt(2 - 2 * least)
+    margin = apart / 2 if reach is None else min(apart / 2, reach * apart / np.sqrt(x.shape[1]) / 2)
     dots = x @ centre.T
     home = dots.argmax(1)
     between = np.sqrt(np.maximum(2 - 2 * centre @ centre.T, 0))
-    near = dots[np.arange(len(x)), home][:, None] - dots <= between[home] * (np.sqrt((1 - least) / 2) + 1e-9)
+    near = dots[np.arange(len(x)), home][:, None] - dots <= between[home] * (margin + 1e-9)
     near[np.arange(len(x)), home] = True
     return home, [np.flatnonzero(row) for row in near]
 
 
-def near_components(vectors: DataFrame, least: float = 0.9, per_cell: int = PER_CELL) -> DataFrame:
+def near_components(vectors: DataFrame, least: float = 0.9, per_cell: int = PER_CELL, reach: float | None = REACH) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of *vectors* (vec_id, embedding).
 
     Vectors link if their cosine in double precision is *least* or more; n_links counts the other
@@ -64,7 +71,8 @@ def near_components(vectors: DataFrame, least: float = 0.9, per_cell: int = PER_
     it is the row's own.  Vectors that are null, zero, or hold null or non-finite components link
     with nothing.  Vectors of unequal length compare as if filled up with zeros.  Equal vectors
     are compared once and counted by their number.  The cells are fitted on a bounded sample;
-    every vector is placed, and each visits all cells in which a partner may live, so recall is 1.
+    every vector is placed, and each visits the cells in which a partner may live: all of them
+    with *reach* None, which gives every pair; see :func:`_visits` for the default.
     Residents and guests of a cell meet in blocks of fixed size, however large it is; a task gives
     one row for each vector it has linked.
     """
@@ -80,7 +88,7 @@ def near_components(vectors: DataFrame, least: float = 0.9, per_cell: int = PER_
         share = min(1_000_000, int(1_000_000 * SAMPLE / n) + 1)
         sample = distinct.filter(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < share).select("embedding").toPandas()["embedding"]
         centre = fit_cells(_unit(sample, width), max(1, min(MOST_CELLS, n // per_cell)))
-        found = _linked(distinct, centre, width, least)
+        found = _linked(distinct, centre, width, least, reach)
     else:
         found = empty
     found = stash(found)
@@ -95,7 +103,7 @@ def near_components(vectors: DataFrame, least: float = 0.9, per_cell: int = PER_
     return placed.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _linked(distinct: DataFrame, centre: np.ndarray, width: int, least: float) -> DataFrame:
+def _linked(distinct: DataFrame, centre: np.ndarray, width: int, least: float, reach: float | None) -> DataFrame:
     """(a, b, links): for vectors that a task has linked, what they lead to there and how many rows they link with."""
     shared = Shared(distinct.sparkSession, centre)
 
@@ -104,7 +112,7 @@ def _linked(distinct: DataFrame, centre: np.ndarray, width: int, least: float) -
         for batch in batches:
             for at in range(0, len(batch), 2048):
                 part = batch.iloc[at : at + 2048]
-                home, visits = _visits(_unit(part["embedding"], width), cells, least)
+                home, visits = _visits(_unit(part["embedding"], width), cells, least, reach)
                 yield part.assign(home=home.astype(np.int32), visits=[v.astype(np.int32) for v in visits])
 
     placed = stash(distinct.mapInPandas(place, "embedding array<double>, rep long, n long, home int, visits array<int>"))
