@@ -169,12 +169,12 @@ def hex_fingerprint(names: list[str]):
     return F.concat(*[F.lpad(F.lower(F.hex(n)), 16, "0") for n in names])
 
 
-def keep_one_of_each(documents: DataFrame, words: int = 5, lanes: int = 2, radius: int = 28) -> DataFrame:
+def keep_one_of_each(documents: DataFrame, words: int = 5, lanes: int = 2, radius: int = 24) -> DataFrame:
     """The rows of *documents* but for near copies: of each group the one with the smallest doc_id stays.
 
-    By default two lanes of five-word shingles and 28 of 128 bits, which takes in texts whose
+    By default two lanes of five-word shingles and 24 of 128 bits, which takes in texts whose
     shingles have a similarity (Jaccard) of 0.8 (19 bits differ there in the mean, with a
-    deviation of 4); unrelated texts differ in about 64.  Rows with a null id are kept.
+    deviation of 3); unrelated texts differ in about 64.  Rows with a null id are kept.
     """
     classes = near_components(fingerprints(documents, words, lanes), radius)
     gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
