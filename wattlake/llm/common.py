@@ -7,6 +7,7 @@ import sys
 import tempfile
 import types
 import uuid
+from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -77,6 +78,19 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
     return sorted((r["text"], r["_y"]) for r in got.collect())
 
 
+def lots(texts: list[str | None], most: int) -> Iterator[list[str | None]]:
+    """*texts* in lots of about *most* characters; a longer text is a lot of its own."""
+    lot, size = [], 0
+    for t in texts:
+        lot.append(t)
+        size += len(t or "")
+        if size >= most:
+            yield lot
+            lot, size = [], 0
+    if lot:
+        yield lot
+
+
 def of_worker(kind: str, key, make):
     """What ``make()`` gave first for *key* in this Python worker process; one key of each *kind* is kept.
 

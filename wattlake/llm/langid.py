@@ -8,10 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import Shared, fold, sample_per_class
+from wattlake.llm.common import Shared, fold, lots, sample_per_class
 
 #: Expected number of training documents of each language, and the characters of the excerpt taken of each.
 PER_LANGUAGE, EXCERPT = 400, 1500
@@ -230,37 +230,39 @@ def learn(documents: DataFrame, per_language: int = PER_LANGUAGE, excerpt: int =
     return fit_field([(r["text"], r["lang"]) for r in got])
 
 
-def predict(documents: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
-    """*documents* with ``_lang`` struct(lang_pred string, score double).
-
-    The language is the one with most words, each word counted by its marginals; the score is
-    its share of them.  A text that is null or has no letter is ``und`` with score 0.
-    """
-    shared = Shared(documents.sparkSession, field)  # TABLE x languages floats
+def labeller(spark: SparkSession, field: Field):
+    """A column function: text to struct(lang_pred string, score double)."""
+    shared = Shared(spark, field)  # TABLE x languages floats
 
     @F.pandas_udf("lang_pred string, score double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.get()
         for batch in batches:
             names, scores = [], []
-            texts = batch.tolist()
-            sizes = np.cumsum([len(t or "") for t in texts])
-            cuts = np.unique(np.searchsorted(sizes, np.arange(0, (sizes[-1] if len(sizes) else 0) + 500_000, 500_000)[1:], side="right").clip(1))
-            for part in np.split(np.arange(len(texts)), cuts[cuts < len(texts)]):
-                for p in label_words([words(texts[i]) for i in part], model):
-                    if not p.size:
-                        names.append(UNKNOWN)
-                        scores.append(0.0)
-                        continue
-                    mean = p.mean(0)
-                    names.append(model.labels[int(mean.argmax())])
-                    scores.append(float(min(1.0, mean.max())))
+            for lot in lots(batch.tolist(), 500_000):
+                for p in label_words([words(t) for t in lot], model):
+                    names.append(model.labels[int(p.mean(0).argmax())] if p.size else UNKNOWN)
+                    scores.append(float(min(1.0, p.mean(0).max())) if p.size else 0.0)
             yield pd.DataFrame({"lang_pred": names, "score": scores}, index=batch.index)
 
-    return documents.withColumn("_lang", label(F.col(text_col)))
+    return label
+
+
+def predict(documents: DataFrame, field: Field, text_col: str = "text", out_col: str = "_lang") -> DataFrame:
+    """*documents* with *out_col* struct(lang_pred string, score double).
+
+    The language is the one with most words, each word counted by its marginals; the score is
+    its share of them.  A text that is null or has no letter is ``und`` with score 0, as is
+    every text if there was nothing to learn from.
+    """
+    return documents.withColumn(out_col, labeller(documents.sparkSession, field)(F.col(text_col)))
 
 
 def accept(documents: DataFrame, least: float = 0.35) -> DataFrame:
-    """The rows of *documents* whose text is in a known language: not ``und``, and more than *least* of its words in it (four languages share alike at 0.25)."""
-    found = predict(documents, learn(documents))
-    return found.filter((F.col("_lang.lang_pred") != UNKNOWN) & (F.col("_lang.score") > least)).select(*documents.columns)
+    """The rows of *documents* whose text is in a known language, all columns as they are.
+
+    More than *least* of the words must be in it (four languages share alike at 0.25); texts
+    without a letter go.  Where no row has a language to learn from, every row goes.
+    """
+    label = labeller(documents.sparkSession, learn(documents))
+    return documents.filter(label(F.col("text"))["score"] > least)

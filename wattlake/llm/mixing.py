@@ -86,7 +86,7 @@ def rates(histogram: DataFrame, target: DataFrame, cap: float = CAP) -> DataFram
         now = stash(now)
         if (now.agg(F.max("off")).first()[0] or 0.0) <= NEAR:
             break
-    return now.select("_s", "source_size", "target", "tilt", "scale", "full")
+    return now.select("_s", "source_size", "target", F.round("tilt", 9).alias("tilt"), "scale", "full")
 
 
 def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -113,10 +113,13 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     dealt = joined.withColumn("rate", rate).withColumn("_h", place).withColumn("_b", F.pmod(F.shiftright("_h", 20), F.ceil(F.col("docs") / BUCKET)))
     group = Window.partitionBy("_s", "_b")
     order = group.orderBy(F.desc("size"), "_h", "doc_id")
-    running = F.sum("rate").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    first = dealt.withColumn("_w", running).withColumn("_copies", F.floor(F.col("_w") + 0.5) - F.floor(F.col("_w") - F.col("rate") + 0.5))
-    first = first.withColumn("_copies", F.least(F.greatest(F.col("_copies"), F.lit(0)), F.lit(int(cap))))
-    first = first.withColumn("_lack", F.round(F.sum(F.col("rate") * F.col("size")).over(group) - F.sum(F.col("_copies") * F.col("size")).over(group)))
+    # rates in whole billionths, so that sums are exact in any order
+    unit = 1_000_000_000
+    running = F.sum("_u").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    passed = lambda sum_: F.floor((sum_ + unit // 2) / F.lit(unit))
+    first = dealt.withColumn("_u", F.round(F.col("rate") * unit).cast("long")).withColumn("_w", running)
+    first = first.withColumn("_copies", F.least(F.greatest(passed(F.col("_w")) - passed(F.col("_w") - F.col("_u")), F.lit(0)), F.lit(int(cap))))
+    first = first.withColumn("_lack", F.round(F.sum(F.col("_u") * F.col("size")).over(group) / unit) - F.sum(F.col("_copies") * F.col("size")).over(group))
     # one copy more, or one less, of the smallest documents that can have it, as long as it brings the bucket nearer
     free = F.when(F.col("size") == 0, False).when(F.col("_lack") > 0, F.col("_copies") < int(cap)).when(F.col("_lack") < 0, F.col("_copies") > 0).otherwise(False)
     small = group.orderBy("size", "_h", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
@@ -131,7 +134,7 @@ def repeated(documents: DataFrame, **kwargs) -> DataFrame:
 
     Rows that repeat an id are taken as one document each time by the copies of all of them together.
     """
-    copies = mix(documents, **kwargs).groupBy("doc_id").agg(F.avg("copies").alias("_copies"))
-    joined = documents.join(copies, documents["doc_id"].eqNullSafe(copies["doc_id"])).select(documents["*"], "_copies")
-    columns = documents.columns
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.round("_copies").cast("int")))).select(*columns)
+    copies = mix(documents, **kwargs).groupBy(F.col("doc_id").alias("_id")).agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
+    rows = documents.select(F.col("doc_id").alias("_id"), F.struct("*").alias("_row"))
+    joined = rows.join(copies.filter("_copies > 0"), rows["_id"].eqNullSafe(copies["_id"]))
+    return joined.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -10,15 +11,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import Shared
+from wattlake.llm.common import Shared, lots
 
 SPACE = "▁"
 #: Chunks of a text: a run of spaces with what follows it.  No piece of a model may cross their bounds.
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Characters of distinct chunks that one suffix array indexes, and chunks whose pieces are kept at hand.
-INDEXED, KEPT = 300_000, 400_000
+INDEXED, KEPT = 250_000, 450_000
 #: Slots of the table of piece pairs whose adjacency is known.
 SLOTS = 1 << 21
+#: Characters of the texts that are encoded together.
+AT_ONCE = 1_000_000
 _END = 0x110000
 
 
@@ -31,6 +34,7 @@ class Vocabulary:
         self.rank = {p: -s for p, s, k in zip(pieces, scores, kinds, strict=True) if k == "normal"}
         self.ids = {p: i for i, (p, k) in enumerate(zip(pieces, kinds, strict=True)) if k == "normal"}
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(pieces, kinds, strict=True)) if k == "byte"}
+        self.spelled = [p.replace(SPACE, " ").encode() if k == "normal" else bytes([int(p[3:5], 16)]) if k == "byte" else b"" for p, k in zip(pieces, kinds, strict=True)]
         crossing = [p for p in self.ids if SPACE in p.lstrip(SPACE)]
         if crossing:
             raise ValueError(f"pieces with a space inside can't be matched by chunk: {crossing[:3]}")
@@ -61,7 +65,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}  # ids of chunks, four bytes each
         items = sorted(self.v.ids.items())
         self.piece_id = np.array([i for _, i in items])
         self.size = np.array([len(p) for p, _ in items])
@@ -162,19 +166,27 @@ class Encoder:
             fits = self._fits(last[begin[a:b]], piece[a:b])
             last[end[a:b][fits]] = piece[a:b][fits]
             came[end[a:b][fits]] = begin[a:b][fits]
-        last, came = last.tolist(), came.tolist()
-        for c, at, n in zip(chunks, start.tolist(), size.tolist(), strict=True):
-            out: list[int] = []
-            p = at + n
-            while p > at:
-                if last[p] == self.v.unknown:
-                    out += [self.v.bytes[x] for x in reversed(c[p - at - 1].encode())]
-                else:
-                    out.append(last[p])
-                p = came[p]
-            self.known[c] = tuple(reversed(out))
-
-    def encode(self, texts: list[str | None]) -> list[list[int] | None]:
+        # all chunks are walked back from their ends side by side
+        at, owner, order, found = start + size, np.arange(len(chunks)), [], []
+        while len(at):
+            order.append(owner)
+            found.append(np.stack([last[at], came[at]]))
+            on = came[at] > start[owner]
+            at, owner = came[at][on], owner[on]
+        owner, step = np.concatenate(order), np.repeat(np.arange(len(order)), [len(o) for o in order])
+        ids, place = np.concatenate(found, axis=1)
+        sort = np.lexsort((-step, owner))
+        owner, ids, place = owner[sort], ids[sort], place[sort]
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(chunks)))))
+        packed = ids.astype(np.int32).tobytes()
+        known, ends = self.known, (bounds * 4).tolist()
+        for i, c in enumerate(chunks):
+            known[c] = packed[ends[i] : ends[i + 1]]
+        for i in np.unique(owner[ids == self.v.unknown]):
+            c, part = chunks[i], slice(bounds[i], bounds[i + 1])
+            known[c] = np.array([x for t, p in zip(ids[part], place[part], strict=True) for x in ([t] if t != self.v.unknown else [self.v.bytes[b] for b in c[p - start[i]].encode()])], np.int32).tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Ids of each text: a space goes before it, as the model has it; null stays null, empty has none."""
         split = [None if t is None else _CHUNK.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         if len(self.known) > KEPT:
@@ -190,33 +202,15 @@ class Encoder:
         if new:
             self._encode_chunks(new)
         known = self.known
-        return [None if s is None else [i for c in s for i in known[c]] for s in split]
+        return [None if s is None else np.frombuffer(b"".join([known[c] for c in s]), np.int32) for s in split]
 
 
 def decode(ids: list[int] | None, vocabulary: Vocabulary) -> str | None:
     """The text of *ids*: pieces joined, byte pieces as UTF-8 (bad bytes as U+FFFD), the first space dropped."""
     if ids is None:
         return None
-    out = bytearray()
-    for i in ids:
-        kind = vocabulary.kinds[i]
-        if kind == "normal":
-            out += vocabulary.pieces[i].replace(SPACE, " ").encode()
-        elif kind == "byte":
-            out.append(int(vocabulary.pieces[i][3:5], 16))
-    return out.decode("utf-8", "replace").removeprefix(" ")
-
-
-def _lots(texts: list[str | None], most: int = 2_000_000) -> Iterator[list[str | None]]:
-    lot, size = [], 0
-    for t in texts:
-        lot.append(t)
-        size += len(t or "")
-        if size >= most:
-            yield lot
-            lot, size = [], 0
-    if lot:
-        yield lot
+    spelled = vocabulary.spelled
+    return b"".join([spelled[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)]).decode("utf-8", "replace").removeprefix(" ")
 
 
 def with_ids(documents: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -227,7 +221,7 @@ def with_ids(documents: DataFrame, vocabulary: Vocabulary, text_col: str = "text
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = shared.get(Encoder)
         for batch in batches:
-            yield pd.Series([ids for lot in _lots(batch.tolist()) for ids in encoder.encode(lot)], index=batch.index, dtype=object)
+            yield pd.Series([ids for lot in lots(batch.tolist(), AT_ONCE) for ids in encoder.encode(lot)], index=batch.index, dtype=object)
 
     return documents.withColumn(ids_col, run(F.col(text_col)))
 
@@ -243,3 +237,26 @@ def with_text(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids",
             yield pd.Series([decode(ids, v) for ids in batch], index=batch.index, dtype=object)
 
     return encoded.withColumn(text_col, run(F.col(ids_col)))
+
+
+def round_trips(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, round_trip): every whole text is encoded and its ids decoded again.
+
+    The digest is of the ids in decimal, space-joined; a round trip gives the text back (a
+    U+2581 in it as a space, as models have it).  Null texts have null counts and digests.
+    Batches are worked through and forgotten, so a worker holds one batch and its tables.
+    """
+    shared = Shared(documents.sparkSession, vocabulary)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = shared.get(Encoder)
+        for batch in batches:
+            count, digest, same = [], [], []
+            for lot in lots(batch["text"].tolist(), AT_ONCE):
+                for text, ids in zip(lot, encoder.encode(lot), strict=True):
+                    count.append(None if ids is None else len(ids))
+                    digest.append(None if ids is None else hashlib.sha256(" ".join(map(str, ids.tolist())).encode()).hexdigest())
+                    same.append(decode(ids, encoder.v) == (text and text.replace(SPACE, " ")))
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": pd.array(count, dtype="Int64"), "ids_sha256": digest, "round_trip": same})
+
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, round_trip boolean")

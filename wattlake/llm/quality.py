@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import Shared, labelled_sample
@@ -156,9 +156,9 @@ def learn(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, e
     return fit_network(labelled_sample(documents, labels, "quality", per_class, excerpt))
 
 
-def score(documents: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
-    """*documents* with ``_score`` (0 to 1, higher: better).  Null texts score as empty ones do."""
-    shared = Shared(documents.sparkSession, net)
+def scorer(spark: SparkSession, net: Network):
+    """A column function: text to its score."""
+    shared = Shared(spark, net)
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -166,9 +166,14 @@ def score(documents: DataFrame, net: Network, text_col: str = "text") -> DataFra
         for batch in batches:
             yield pd.Series(scores(batch.tolist(), model), index=batch.index)
 
-    return documents.withColumn("_score", run(F.col(text_col)))
+    return run
+
+
+def score(documents: DataFrame, net: Network, text_col: str = "text", out_col: str = "_score") -> DataFrame:
+    """*documents* with *out_col* (0 to 1, higher: better).  Null texts score as empty ones do; without labels all score 0.5."""
+    return documents.withColumn(out_col, scorer(documents.sparkSession, net)(F.col(text_col)))
 
 
 def accept(documents: DataFrame, labels: DataFrame, known: DataFrame, least: float = LIMIT) -> DataFrame:
-    """The rows of *documents* that score *least* or more; the network is fitted on *known* documents with *labels*."""
-    return score(documents, learn(known, labels)).filter(F.col("_score") >= least).select(*documents.columns)
+    """The rows of *documents* that score *least* or more, all columns as they are; the network is fitted on *known* documents with *labels*."""
+    return documents.filter(scorer(documents.sparkSession, learn(known, labels))(F.col("text")) >= least)

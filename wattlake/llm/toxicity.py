@@ -18,9 +18,11 @@ from wattlake.llm.common import Shared, labelled_sample
 
 #: Expected labelled rows of each class that weights are learned from, and the characters of each.
 PER_CLASS, EXCERPT = 2500, 6000
-#: An entry of the lexicon needs this log-likelihood ratio; prefixes of this many letters are entries.
-EVIDENCE, SHORTEST, LONGEST = 10.0, 3, 14
+#: An entry of the lexicon needs this log-likelihood ratio and to be so many times commoner in toxic texts; prefixes of so many letters are entries.
+EVIDENCE, COMMONER, SHORTEST, LONGEST = 10.0, 4, 3, 14
 LIMIT = 0.7
+#: Squared weight that counts as one, and the most that one kind of clause counts.
+UNIT, MOST = 16.0, 4.0
 # Closed-class words of the grammar, in English, German, French and Spanish.
 TARGETS = "you your you're yourself u du dich dir dein deine ihr euch tu toi te ton ta vous votre tú ti usted ustedes vosotros they them she he him her sie ihn ihm ils elles ellos ellas"
 NEGATIONS = "not no never isn't aren't wasn't don't doesn't nicht kein keine nie niemals pas jamais aucun aucune nunca jamás ningún ninguna tampoco"
@@ -117,8 +119,9 @@ class Grammar:
         clause: list[tuple[str, float]] = []
         for token in [*_TOKEN.findall(text.lower()), "."]:
             if token not in _STOPS:
-                weight = self.insult(token)
-                clause.append((INSULT if weight else self.closed.get(token, OTHER), weight or 1.0))
+                known = self.closed.get(token)
+                weight = 0.0 if known else self.insult(token)
+                clause.append((known or (INSULT if weight else OTHER), weight or 1.0))
                 continue
             if any(s in (INSULT, THREAT) for s, _ in clause):
                 state, heard = BACKWARD.start, []
@@ -133,15 +136,15 @@ class Grammar:
             clause = []
 
     def features(self, text: str | None) -> np.ndarray:
-        """For each kind the logarithm of 1 + the summed weights of its matches, over the whole text."""
+        """For each kind the summed squares of its matches' weights over the whole text, in units of UNIT, as far as MOST."""
         total = np.zeros(len(KINDS))
         low = (text or "").lower()
         seen = set(re.findall(r"\w+", low))
         # only texts with an insult or a threat have a clause that can match
         if any(self.insult(w) or self.closed.get(w) == THREAT for w in seen):
             for kind, weight in self.clauses(low):
-                total[KINDS.index(kind)] += weight
-        return np.log1p(total)
+                total[KINDS.index(kind)] += weight * weight
+        return np.minimum(total / UNIT, MOST)
 
     def score(self, text: str | None) -> float:
         z = float(self.features(text) @ self.weights[:-1] + self.weights[-1])
@@ -156,41 +159,48 @@ def _ratio(a: int, b: int, n_a: int, n_b: int) -> float:
     return a * math.log(a / (n_a * share)) + (b * math.log(b / (n_b * share)) if b else 0.0)
 
 
+def _once(samples: Iterable[tuple[str, int]]) -> list[tuple[str, int]]:
+    """*samples* with one of each group of near copies: a third of the least hashes of their three-word runs agree."""
+    out: list[tuple[str, int]] = []
+    holders: dict[tuple[int, int], list[int]] = {}
+    for text, y in samples:
+        order = re.findall(r"[^\W\d_]+", text.lower())
+        runs = {" ".join(order[i : i + 3]) for i in range(max(1, len(order) - 2))} if order else set()
+        least = [(y, h) for h in sorted(zlib.crc32(r.encode("utf-8", "surrogatepass")) for r in runs)[:12]]
+        shared = Counter(i for key in least for i in holders.get(key, ()))
+        if shared and 3 * max(shared.values()) >= len(least):
+            continue
+        for key in least:
+            holders.setdefault(key, []).append(len(out))
+        out.append((text, y))
+    return out
+
+
 def learn_lexicon(samples: Iterable[tuple[str, int]]) -> dict[str, float]:
-    """Prefixes that mark toxic texts, with their log odds.
+    """Prefixes that mark toxic texts, with their log odds; *samples* without copies.
 
-    Each text counts once for each prefix of its words.  A prefix with enough evidence is
-    lengthened while nine of ten of its toxic texts still have it, so that entries are whole
-    stems.  Near copies (half of the smallest word hashes agree) would all have their rare words
-    in common; of them one counts.
+    Each text counts once for each prefix of its words.  Prefixes are taken in order of
+    evidence, the longer of equals, but for those that begin with one taken before, and those
+    that have too little evidence beside the one taken that begins with them: so entries are
+    whole stems, neither cut short nor split by their endings.
     """
     found: dict[int, Counter] = {0: Counter(), 1: Counter()}
     size = {0: 0, 1: 0}
-    holders: dict[tuple[int, int], list[int]] = {}
-    for at, (text, y) in enumerate(samples):
-        words = set(re.findall(r"[^\W\d_]+", text.lower()))
-        least = [(y, h) for h in sorted(zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words)[:12]]
-        shared = Counter(i for key in least for i in holders.get(key, ()))
-        if least and shared and 2 * max(shared.values()) >= len(least):
-            continue
-        for key in least:
-            holders.setdefault(key, []).append(at)
+    for text, y in samples:
         size[y] += 1
-        found[y].update({w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)})
-    good = {p: a for p, a in found[1].items() if _ratio(a, found[0][p], size[1], size[0]) >= EVIDENCE and a * size[0] >= 20 * found[0][p] * size[1]}
-    longer: dict[str, list[str]] = {}
-    for p in good:
-        longer.setdefault(p[:-1], []).append(p)
+        found[y].update({w[:n] for w in set(re.findall(r"[^\W\d_]+", text.lower())) for n in range(SHORTEST, min(len(w), LONGEST) + 1)})
+    n, m = size[1], size[0]
+    good = {p: r for p, a in found[1].items() if a * m >= COMMONER * found[0][p] * n and (r := _ratio(a, found[0][p], n, m)) >= EVIDENCE}
     out: dict[str, float] = {}
-    for p in sorted(good, key=lambda p: (len(p), p)):
-        if any(p[:n] in good for n in range(SHORTEST, len(p))):
-            continue  # a shorter one leads here
-        while True:
-            further = max(longer.get(p, []), key=lambda q: (good[q], q), default=None)
-            if further is None or good[further] < 0.9 * good[p]:
-                break
-            p = further
-        out[p] = math.log((good[p] + 0.5) / (size[1] + 1)) - math.log((found[0][p] + 0.5) / (size[0] + 1))
+    below: dict[str, tuple[int, int]] = {}  # of prefixes of entries: the texts of their commonest entry
+    for p in sorted(good, key=lambda p: (-good[p], -len(p), p)):
+        if any(p[:k] in out for k in range(SHORTEST, len(p))):
+            continue
+        a, b = found[1][p] - below.get(p, (0, 0))[0], found[0][p] - below.get(p, (0, 0))[1]
+        if a * m >= COMMONER * b * n and _ratio(a, b, n, m) >= EVIDENCE:
+            out[p] = math.log((a + 0.5) / (n + 1)) - math.log((b + 0.5) / (m + 1))
+            for k in range(SHORTEST, len(p)):
+                below[p[:k]] = max(below.get(p[:k], (0, 0)), (found[1][p], found[0][p]))
     return out
 
 
@@ -198,14 +208,20 @@ def fit(samples: list[tuple[str, int]]) -> Grammar:
     """A grammar whose lexicon and clause weights are learned from (text, 0 or 1).
 
     Clause weights: logistic regression by Newton steps with a Gaussian prior whose means let an
-    aimed insult or a threat count most and a denied or reported one little.
+    aimed insult or a threat count most and a denied or reported one little.  They are fitted to
+    what a lexicon learned from the other half of the texts finds, so that words which only seem
+    to mark toxic texts don't pass for certain.
     """
+    samples = _once(samples)
     grammar = Grammar(learn_lexicon(samples))
     prior = np.array([1.5, 2.0, 0.2, 0.2, 2.0, -3.0])
     grammar.weights = prior.copy()
     if not samples:
         return grammar
-    x = np.array([np.append(grammar.features(t), 1.0) for t, _ in samples])
+    by_class = sorted(range(len(samples)), key=lambda i: samples[i][1])
+    half = {i: n % 2 for n, i in enumerate(by_class)}
+    other = [Grammar(learn_lexicon([s for i, s in enumerate(samples) if half[i] != h])) for h in (0, 1)]
+    x = np.array([np.append(other[half[i]].features(t), 1.0) for i, (t, _) in enumerate(samples)])
     y = np.array([label for _, label in samples], dtype=float)
     w = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) if 0 < y.mean() < 1 else np.ones(len(y))
     beta = prior.copy()
