@@ -35,7 +35,8 @@ class Field:
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """Runs of letters in lower case; a run of numerals that aren't digits (like ½) is none."""
+    return [w for w in _WORD.findall(text.lower()) if w.isalpha() or any(c.isalpha() for c in w)] if text else []
 
 
 def _features(distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:

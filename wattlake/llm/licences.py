@@ -100,8 +100,8 @@ class Scanner:
         return sorted(out, key=lambda p: p[2])
 
 
-def scan(documents: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = LEAST, text_col: str = "text") -> DataFrame:
-    """Adds ``licences``: array of struct(licence, score, first, after) of every whole text; none for null and empty texts."""
+def scan(documents: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = LEAST, text_col: str = "text", out_col: str = "licences") -> DataFrame:
+    """Adds *out_col*: array of struct(licence, score, first, after) of every whole text; none for null and empty texts."""
 
     @F.pandas_udf("array<struct<licence: string, score: double, first: int, after: int>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -109,4 +109,4 @@ def scan(documents: DataFrame, templates: dict[str, list[str]] = TEMPLATES, leas
         for batch in batches:
             yield pd.Series([[{"licence": n, "score": s, "first": a, "after": b} for n, s, a, b in scanner.passages(t)] for t in batch], index=batch.index, dtype=object)
 
-    return documents.withColumn("licences", run(F.col(text_col)))
+    return documents.withColumn(out_col, run(F.col(text_col)))

@@ -240,8 +240,8 @@ def learn(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, e
     return fit(labelled_sample(documents, labels, "toxic", per_class, excerpt))
 
 
-def score(documents: DataFrame, grammar: Grammar, text_col: str = "text") -> DataFrame:
-    """*documents* with ``_tox`` struct(score double, matches array<string>).
+def score(documents: DataFrame, grammar: Grammar, text_col: str = "text", out_col: str = "_tox") -> DataFrame:
+    """*documents* with *out_col* struct(score double, matches array<string>).
 
     The score (0 to 1) is that of all clauses of the whole text; ``matches`` has the kinds of
     clause that matched.  Null and empty texts have no clause and score as clean.
@@ -256,4 +256,4 @@ def score(documents: DataFrame, grammar: Grammar, text_col: str = "text") -> Dat
             z = np.array(found).reshape(-1, len(KINDS)) @ model.weights[:-1] + model.weights[-1]
             yield pd.DataFrame({"score": 1 / (1 + np.exp(-z.clip(-30, 30))), "matches": [[k for k, v in zip(KINDS, f, strict=True) if v] for f in found]}, index=batch.index)
 
-    return documents.withColumn("_tox", run(F.col(text_col)))
+    return documents.withColumn(out_col, run(F.col(text_col)))
