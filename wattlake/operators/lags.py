@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.functions.scalars import hour_stamp
-
 SERIES = ["unit_id", "machine_type"]
 LAGS = ["consumo_lag_1h", "consumo_lag_24h", "consumo_rolling_mean_3h"]
 
@@ -19,21 +17,18 @@ def hourly_mean(df: DataFrame, value: str = "consumo_kwh", series: list[str] = S
 def with_lags(df: DataFrame, value: str = "consumo_kwh", series: list[str] = SERIES, digits: int = 4, mode: str = "rows") -> DataFrame:
     """(series, data, hora, the three lags) of each hour of each series.
 
-    The lag of an hour is null unless the row before is exactly one hour before; that of a day
-    is the same hour of the day before.  The rolling mean is over three rows, this one
+    The lag of an hour is the value exactly one hour before, that of a day the value exactly 24
+    hours before, null where there is none.  The rolling mean is over three rows, this one
     included, as the data that models were trained on have it; mode "range" takes three hours.
+    All frames are over one window in order of the hour's number, so a series is shuffled and
+    sorted once and no self-join is needed.
     """
-    mean = hourly_mean(df, value, series).withColumn("_ts", hour_stamp("data", "hora"))
-    order = Window.partitionBy(*series).orderBy("_ts")
-    hour = F.expr("interval 1 hour")
-    before = F.when(F.col("_ts") - F.lag("_ts").over(order) == hour, F.lag(value).over(order))
-    if mode == "rows":
-        rolling = F.avg(value).over(order.rowsBetween(-2, 0))
-    else:
-        rolling = F.avg(value).over(Window.partitionBy(*series).orderBy(F.unix_seconds(F.col("_ts").cast("timestamp"))).rangeBetween(-7200, 0))
-    own = mean.withColumn(LAGS[0], F.round(before, digits)).withColumn(LAGS[2], F.round(rolling, digits))
-    yesterday = mean.select(*series, F.date_add("data", 1).alias("data"), "hora", F.round(value, digits).alias(LAGS[1]))
-    return own.join(yesterday, [*series, "data", "hora"], "left").select(*series, "data", "hora", *LAGS)
+    number = F.datediff("data", F.lit("1970-01-01").cast("date")) * 24 + F.col("hora").cast("int")
+    mean = hourly_mean(df, value, series).withColumn("_h", number)
+    order = Window.partitionBy(*series).orderBy("_h")
+    at = lambda hours: F.when(F.col("_h").isNotNull(), F.max(value).over(order.rangeBetween(-hours, -hours)))
+    rolling = F.avg(value).over(order.rowsBetween(-2, 0) if mode == "rows" else order.rangeBetween(-2, 0))
+    return mean.select(*series, "data", "hora", F.round(at(1), digits).alias(LAGS[0]), F.round(at(24), digits).alias(LAGS[1]), F.round(rolling, digits).alias(LAGS[2]))
 
 
 def add_lags(df: DataFrame, value: str = "consumo_kwh", series: list[str] = SERIES, digits: int = 4, mode: str = "rows") -> DataFrame:
