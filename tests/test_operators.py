@@ -188,3 +188,15 @@ def test_sampling(spark):
     sizes = [r["count"] for r in sampling.folds(df, "k", 7).groupBy("fold").count().orderBy("fold").collect()]
     assert sizes == [143] * 6 + [142]
     assert sampling.sample(df, "k", 10).collect() == sampling.sample(df.repartition(5), "k", 10).collect()
+
+
+@pytest.mark.parametrize("distinct", [7, 50_000])
+def test_quantile_brackets(spark, distinct):
+    """Groups large enough for brackets give the ranks of a plain sort; null is a group."""
+    n = 20_000
+    df = spark.range(n * 3).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), (F.pmod(F.col("id") * 7919 + 13, F.lit(distinct)) * 0.5).alias("v"))
+    want = {"a": 0.0, "b": 0.001, "c": 0.25, "d": 0.9, "e": 0.9985, "f": 1.0}
+    got = {r["g"]: r for r in quantiles.nearest(df, "v", want, ["g"]).collect()}
+    for g in (None, 1, 2):
+        values = sorted(r["v"] for r in df.filter(F.col("g").eqNullSafe(F.lit(g))).select("v").collect())
+        assert got[g]["n"] == n and all(got[g][k] == values[int(q * (n - 1) + 0.5)] for k, q in want.items())

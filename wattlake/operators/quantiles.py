@@ -1,26 +1,50 @@
-"""Exact quantiles per group that don't sort the rows: over distinct values and their counts."""
+"""Quantiles per group that no task needs all of a group's rows for."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Steps of the grid of approximate quantiles, their accuracy, and the group size from which it is used.
+GRID, ACCURACY, SMALL = 512, 10_000, 4096
+
+
+def _beside(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """*left* with the columns of *right*, which has one row a group; null is a group."""
+    if not by:
+        return left.crossJoin(F.broadcast(right))
+    renamed = right.withColumnsRenamed({c: f"_by_{c}" for c in by})
+    same = reduce(Column.__and__, [left[c].eqNullSafe(renamed[f"_by_{c}"]) for c in by])
+    return left.join(renamed, same).drop(*[f"_by_{c}" for c in by])
+
 
 def nearest(df: DataFrame, value: str, quantiles: dict[str, float | Column], by: list[str] | None = None) -> DataFrame:
     """One row a group: n and a column for each quantile, the value of rank floor(q (n - 1) + 0.5).
 
-    Rows are first reduced to (group, value, count); nulls don't count.  A quantile may be a
-    column of the group.
+    Exact: a grid of approximate quantiles, whose rank error is bounded, brackets each wanted
+    rank; what lies below a bracket is counted, and only values inside it, a few thousandths of
+    the rows, are ranked, as (value, count).  Small groups are ranked whole.  Nulls don't count.
+    A quantile may be a column of the group.
     """
-    by = by or []
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
-    part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
-    ranked = counts.withColumn("_to", F.sum("_c").over(part.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.sum("_c").over(part))
-    picks = []
-    for name, q in quantiles.items():
-        q = q if isinstance(q, Column) else F.lit(float(q))
-        picks.append(F.min(F.when(F.col("_to") > F.floor(q * (F.col("_n") - 1) + 0.5), F.col("_v"))).alias(name))
-    return ranked.groupBy(*by).agg(F.max("_n").alias("n"), *picks)
+    by, names = by or [], list(quantiles)
+    base = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
+    grid = base.groupBy(*by).agg(F.count("*").alias("n"), F.percentile_approx("_v", [i / GRID for i in range(GRID + 1)], ACCURACY).alias("_g"))
+    share = [q if isinstance(q, Column) else F.lit(float(q)) for q in quantiles.values()]
+    rank = [F.floor(q * (F.col("n") - 1) + 0.5).alias(f"_k{i}") for i, q in enumerate(share)]
+    wide = F.col("n") >= SMALL
+    low = [F.when(wide & (q * GRID >= 1), F.get("_g", (F.floor(q * GRID) - 1).cast("int"))).alias(f"_lo{i}") for i, q in enumerate(share)]
+    high = [F.when(wide & (q * GRID <= GRID - 1), F.get("_g", (F.ceil(q * GRID) + 1).cast("int"))).alias(f"_hi{i}") for i, q in enumerate(share)]
+    brackets = grid.select(*by, "n", *rank, *low, *high)
+    joined = _beside(base, brackets.select(*by, *[c for c in brackets.columns if c[:3] in ("_lo", "_hi")]), by)
+    below = joined.groupBy(*by).agg(F.array(*[F.count_if(F.col("_v") < F.col(f"_lo{i}")) for i in range(len(names))]).alias("_b"))
+    inside = [F.when(F.coalesce(F.col("_v") >= F.col(f"_lo{i}"), F.lit(True)) & F.coalesce(F.col("_v") <= F.col(f"_hi{i}"), F.lit(True)), F.lit(i)) for i in range(len(names))]
+    counts = joined.select(*by, "_v", F.explode(F.array_compact(F.array(*inside))).alias("_i")).groupBy(*by, "_i", "_v").agg(F.count("*").alias("_c"))
+    order = Window.partitionBy(*by, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = _beside(_beside(counts.withColumn("_to", F.sum("_c").over(order)), below, by), brackets.select(*by, "n", *[f"_k{i}" for i in range(len(names))]), by)
+    picks = [F.min(F.when((F.col("_i") == i) & (F.col("_to") + F.get("_b", F.lit(i)) > F.col(f"_k{i}")), F.col("_v"))).alias(n) for i, n in enumerate(names)]
+    return ranked.groupBy(*by).agg(F.max("n").alias("n"), *picks)
 
 
 def linear(df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None) -> DataFrame:
@@ -30,8 +54,8 @@ def linear(df: DataFrame, value: str, quantiles: dict[str, float], by: list[str]
     return out.select(*(by or []), "n", *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
-def approximate(df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None, accuracy: int = 10_000) -> DataFrame:
-    """One row a group: n and quantiles by sketches of fixed size, for groups too large to count exactly."""
+def approximate(df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None, accuracy: int = ACCURACY) -> DataFrame:
+    """One row a group: n and quantiles by sketches of fixed size, where the nearest of about n / accuracy ranks will do."""
     names = list(quantiles)
     out = df.groupBy(*(by or [])).agg(F.count(value).alias("n"), F.percentile_approx(value, [float(q) for q in quantiles.values()], accuracy).alias("_q"))
     return out.select(*(by or []), "n", *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(names)])
