@@ -362,6 +362,15 @@ def test_near_copies_go(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one_of_each(docs(spark, rows)).collect()) == list(range(30))
 
 
+def test_short_texts_stay_apart():
+    """Ties of two shingles don't make unrelated texts alike."""
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(6)) for _ in range(300)]
+    lanes = np.array([simhash.fingerprint(t, 5, 2, settle=True) for t in texts], dtype=np.int64).view(np.uint64)
+    apart = np.bitwise_count(lanes[:, None] ^ lanes[None, :]).sum(2)[np.triu_indices(300, 1)]
+    assert 63 < apart.mean() < 65 and apart.min() > 34
+
+
 # 10 licences ----------------------------------------------------------------------------------
 
 

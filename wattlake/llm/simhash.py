@@ -20,7 +20,7 @@ BLOCK = 256
 SEED = 42
 
 
-def fingerprint(text: str | None, words: int = 3, lanes: int = 1) -> list[int]:
+def fingerprint(text: str | None, words: int = 3, lanes: int = 1, settle: bool = False) -> list[int]:
     """*lanes* signed 64-bit lanes of the SimHash of *text*; see :func:`fingerprints`."""
     # bytes.lower and bytes.split know just A-Z and \x20\x09-\x0D
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -38,23 +38,29 @@ def fingerprint(text: str | None, words: int = 3, lanes: int = 1) -> list[int]:
         set_in = np.zeros(64, dtype=np.int64)
         for at in range(0, len(hashes), 65_536):
             set_in += np.unpackbits(hashes[at : at + 65_536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-        out.append(int(np.packbits(2 * set_in > len(hashes)).view(">i8")[0]))
+        bits = 2 * set_in > len(hashes)
+        if settle:
+            least = np.unpackbits(hashes.min(keepdims=True).astype(">u8").view(np.uint8)).astype(bool)
+            bits = np.where(2 * set_in == len(hashes), least, bits)
+        out.append(int(np.packbits(bits).view(">i8")[0]))
     return out
 
 
-def fingerprints(documents: DataFrame, words: int = 3, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(documents: DataFrame, words: int = 3, lanes: int = 1, settle: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, f0, f1, ...): the SimHash of every whole text, 64 bits a lane.
 
     Text is lower-cased in A-Z, split on ASCII white space, and read as shingles of *words*
     words, repeats included (a shorter text is one shingle; null, empty and blank texts have
     the zero fingerprint).  A bit is set if over half of the shingles' XXH64 have it set; lane
-    n hashes with seed 42 + n.  Rows keep their (maybe null or repeated) id.
+    n hashes with seed 42 + n.  A tie leaves it unset, or with *settle* takes the bit of the least
+    hash, so that texts of two or four shingles aren't alike by their many ties.  Rows keep
+    their (maybe null or repeated) id.
     """
     names = [f"f{i}" for i in range(lanes)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = np.array([fingerprint(t, words, lanes) for t in batch["t"]], dtype=np.int64).reshape(-1, lanes)
+            found = np.array([fingerprint(t, words, lanes, settle) for t in batch["t"]], dtype=np.int64).reshape(-1, lanes)
             yield pd.DataFrame({"doc_id": batch["doc_id"]} | {n: found[:, i] for i, n in enumerate(names)})
 
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
@@ -176,6 +182,6 @@ def keep_one_of_each(documents: DataFrame, words: int = 5, lanes: int = 2, radiu
     shingles have a similarity (Jaccard) of 0.8 (19 bits differ there in the mean, with a
     deviation of 3); unrelated texts differ in about 64.  Rows with a null id are kept.
     """
-    classes = near_components(fingerprints(documents, words, lanes), radius)
+    classes = near_components(fingerprints(documents, words, lanes, settle=True), radius)
     gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
     return documents.join(gone, "doc_id", "left_anti")
