@@ -55,3 +55,9 @@ def test_scalars(spark):
     assert one(spark, scalars.safe_name(F.lit("a/b c")), scalars.override_key(F.lit("split hi-wall")), scalars.family(F.lit("DAC123456789"))) == ("a_b_c", "SPLIT HI WALL", "DAC12345")
     assert abs(one(spark, scalars.haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0)))[0] - 111.1949) < 1e-3
     assert one(spark, scalars.relative_error(F.lit(0.0), F.lit(1e-8)), scalars.replaced(F.lit("q"), {"a": "b"})) == (100.0, "q")
+
+
+def test_hours(spark):
+    assert one(spark, scalars.hour_stamp(day("2024-03-10"), F.lit(2))) == (dt.datetime(2024, 3, 10, 2),)
+    sine, cosine = scalars.cyclical(F.lit(6), 24)
+    assert [round(x, 9) for x in one(spark, sine, cosine)] == [1.0, 0.0] and one(spark, scalars.overlap(F.lit(10.0), F.lit(20.0), F.lit(15.0), F.lit(40.0))) == (5.0,)
