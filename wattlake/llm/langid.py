@@ -240,7 +240,7 @@ def labeller(spark: SparkSession, field: Field):
         model = shared.get()
         for batch in batches:
             names, scores = [], []
-            for lot in lots(batch.tolist(), 500_000):
+            for lot in lots(batch.tolist(), 300_000):
                 for p in label_words([words(t) for t in lot], model):
                     names.append(model.labels[int(p.mean(0).argmax())] if p.size else UNKNOWN)
                     scores.append(float(min(1.0, p.mean(0).max())) if p.size else 0.0)
