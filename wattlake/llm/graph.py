@@ -21,9 +21,10 @@ def components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        # named anew, minima are dealt out again for the join, which then can split the links of a hub
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")).select(F.col("u").bitwiseXOR(F.lit(0)).alias("u"), "m")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        lowest = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").bitwiseXOR(F.lit(0)).alias("a"), "m")
         paired = large.join(lowest, "a")
         small = paired.select("a", F.col("m").alias("b")).unionByName(paired.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
         now = stash(small.distinct())
