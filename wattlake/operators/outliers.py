@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.scalars import override_key
 from wattlake.operators.quantiles import nearest
+from wattlake.session import checkpointed
 
 FIXED = {"q10": 0.10, "q1": 0.25, "q50": 0.50, "q3": 0.75, "q90": 0.90, "q99": 0.99}
 
@@ -65,6 +66,7 @@ def thresholds(df: DataFrame, segment: str, value: str, settings: Settings = Set
         "iqr_factor_used": F.coalesce("o_iqr_factor", F.when(large, F.least(factor, F.coalesce(most, factor))).otherwise(F.col("_factor"))),
         "upper_quantile_cap_used": F.coalesce(_clamp(F.col("o_upper_quantile_cap"), 0.90, 0.9999), F.when(large, cap).otherwise(F.col("_cap"))),
     })
+    q = checkpointed(q)
     # the two adaptive quantiles need a second look at the counted values
     joined = df.select(segment, value).join(F.broadcast(q.select(segment, "noise_quantile_used", "upper_quantile_cap_used")), segment)
     adaptive = nearest(joined, value, {"_q_noise": F.col("noise_quantile_used"), "_q_cap": F.col("upper_quantile_cap_used")}, [segment, "noise_quantile_used", "upper_quantile_cap_used"]).select(segment, "_q_noise", "_q_cap")

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattlake.session import checkpointed
+
 #: Steps of the grid of approximate quantiles, their accuracy, and the group size from which it is used.
 GRID, ACCURACY, SMALL = 512, 10_000, 4096
 
@@ -36,7 +38,7 @@ def nearest(df: DataFrame, value: str, quantiles: dict[str, float | Column], by:
     wide = F.col("n") >= SMALL
     low = [F.when(wide & (q * GRID >= 1), F.get("_g", (F.floor(q * GRID) - 1).cast("int"))).alias(f"_lo{i}") for i, q in enumerate(share)]
     high = [F.when(wide & (q * GRID <= GRID - 1), F.get("_g", (F.ceil(q * GRID) + 1).cast("int"))).alias(f"_hi{i}") for i, q in enumerate(share)]
-    brackets = grid.select(*by, "n", *rank, *low, *high)
+    brackets = checkpointed(grid.select(*by, "n", *rank, *low, *high))  # a row a group; two passes read it
     joined = _beside(base, brackets.select(*by, *[c for c in brackets.columns if c[:3] in ("_lo", "_hi")]), by)
     below = joined.groupBy(*by).agg(F.array(*[F.count_if(F.col("_v") < F.col(f"_lo{i}")) for i in range(len(names))]).alias("_b"))
     inside = [F.when(F.coalesce(F.col("_v") >= F.col(f"_lo{i}"), F.lit(True)) & F.coalesce(F.col("_v") <= F.col(f"_hi{i}"), F.lit(True)), F.lit(i)) for i in range(len(names))]
