@@ -17,7 +17,7 @@ SPACE = "▁"
 #: Chunks of a text: a run of spaces with what follows it.  No piece of a model may cross their bounds.
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Characters of distinct chunks that one suffix array indexes, and chunks whose pieces are kept at hand.
-INDEXED, KEPT = 250_000, 250_000
+INDEXED, KEPT = 250_000, 150_000
 #: Slots of the table of piece pairs whose adjacency is known.
 SLOTS = 1 << 21
 #: Characters of the texts that are encoded together.
@@ -66,6 +66,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.known: dict[str, bytes] = {}  # ids of chunks, four bytes each
+        self.before: dict[str, bytes] = {}
         items = sorted(self.v.ids.items())
         self.piece_id = np.array([i for _, i in items])
         self.size = np.array([len(p) for p, _ in items])
@@ -112,22 +113,31 @@ class Encoder:
         return np.argsort(rank, kind="stable")
 
     def _ranges(self, text: np.ndarray, suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For every piece the range of the suffix array whose suffixes begin with it."""
+        """For every piece the range of the suffix array whose suffixes begin with it.
+
+        The first two characters are searched as one number, which leaves short ranges for the rest.
+        """
         padded = np.concatenate((text, np.full(self.width, _END, np.uint32)))
         window = np.lib.stride_tricks.sliding_window_view(padded, self.width)
-        found = []
-        for upper in (False, True):
-            low, high = np.zeros(len(self.code), np.int64), np.full(len(self.code), len(suffixes), np.int64)
+        two = (padded[suffixes].astype(np.int64) << 21) | padded[suffixes + 1]
+        head = self.code[:, 0].astype(np.int64) << 21
+        second = self.code[:, 1].astype(np.int64) if self.width > 1 else np.zeros_like(head)
+        most = np.where(self.size > 1, second, (1 << 21) - 1)
+        start, stop = np.searchsorted(two, head | second, "left"), np.searchsorted(two, head | most, "right")
+        long = np.flatnonzero((self.size > 2) & (start < stop))
+        found = [start.copy(), stop.copy()]
+        for side, upper in ((0, False), (1, True)):
+            low, high = start[long], stop[long]
             while (open_ := np.flatnonzero(low < high)).size:
                 mid = (low[open_] + high[open_]) // 2
-                seen, want = window[suffixes[mid]], self.code[open_]
-                differ = (seen != want) & self.inside[open_]
+                seen, want = window[suffixes[mid]], self.code[long[open_]]
+                differ = (seen != want) & self.inside[long[open_]]
                 at = differ.argmax(1)
                 row = np.arange(len(open_))
                 right = np.where(differ[row, at], seen[row, at] < want[row, at], upper)
                 low[open_[right]] = mid[right] + 1
                 high[open_[~right]] = mid[~right]
-            found.append(low)
+            found[side][long] = low
         return found[0], found[1]
 
     def _edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -189,11 +199,15 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Ids of each text: a space goes before it, as the model has it; null stays null, empty has none."""
         split = [None if t is None else _CHUNK.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        if len(self.known) > KEPT:
-            self.known.clear()
+        if len(self.known) > KEPT:  # what was used since the last time stays a while
+            self.before, self.known = self.known, {}
         new, size = [], 0
         for c in dict.fromkeys(c for s in split if s for c in s):
-            if c not in self.known:
+            if c in self.known:
+                continue
+            if c in self.before:
+                self.known[c] = self.before[c]
+            else:
                 new.append(c)
                 size += len(c) + 1
                 if size >= INDEXED:
