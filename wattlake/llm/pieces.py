@@ -8,8 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake.llm.common import Shared, lots
 
@@ -21,7 +23,7 @@ INDEXED, KEPT = 250_000, 150_000
 #: Slots of the table of piece pairs whose adjacency is known.
 SLOTS = 1 << 21
 #: Characters of the texts that are encoded together.
-AT_ONCE = 1_000_000
+AT_ONCE = 500_000
 _END = 0x110000
 
 
@@ -228,16 +230,29 @@ def decode(ids: list[int] | None, vocabulary: Vocabulary) -> str | None:
 
 
 def with_ids(documents: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """Adds the piece ids of every whole text (null text: null ids; empty text: no ids)."""
+    """Adds the piece ids of every whole text (null text: null ids; empty text: no ids); replaces a column of that name.
+
+    Ids go back to Spark lot by lot, so neither side holds those of a whole batch.
+    """
     shared = Shared(documents.sparkSession, vocabulary)
+    rows = documents.drop(ids_col)
+    at = rows.columns.index(text_col)
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.get(Encoder)
         for batch in batches:
-            yield pd.Series([ids for lot in lots(batch.tolist(), AT_ONCE) for ids in encoder.encode(lot)], index=batch.index, dtype=object)
-
-    return documents.withColumn(ids_col, run(F.col(text_col)))
+            done = 0
+            for lot in lots(batch.column(at).to_pylist(), AT_ONCE):
+                ids = encoder.encode(lot)
+                size = np.array([0 if i is None else len(i) for i in ids])
+                ends = [0, *np.cumsum(size).tolist()]
+                offsets = pa.array([None if i is None else e for i, e in zip(ids, ends, strict=False)] + ends[-1:], pa.int32())
+                values = pa.array(np.concatenate([np.zeros(0, np.int32), *[i for i in ids if i is not None]]), pa.int32())
+                part = batch.slice(done, len(lot))
+                done += len(lot)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(offsets, values)], names=[*part.schema.names, ids_col])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
 
 
 def with_text(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
