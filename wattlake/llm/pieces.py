@@ -19,7 +19,7 @@ SPACE = "▁"
 #: Chunks of a text: a run of spaces with what follows it.  No piece of a model may cross their bounds.
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Characters of distinct chunks that one suffix array indexes, and chunks whose pieces are kept at hand.
-INDEXED, KEPT = 250_000, 150_000
+INDEXED, KEPT = 120_000, 90_000
 #: Slots of the table of piece pairs whose adjacency is known.
 SLOTS = 1 << 21
 #: Characters of the texts that are encoded together.
