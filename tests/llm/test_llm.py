@@ -315,6 +315,18 @@ def test_embeddings(spark, reach):
     assert embeddings.near_components(df.limit(0)).count() == 0
 
 
+def test_embeddings_in_few_components(spark):
+    """Every pair is found where offsets lie in few of the components."""
+    x = np.zeros((600, 64))
+    x[:, :3] = np.random.default_rng(11).normal(size=(600, 3))
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_components(df, per_cell=25).collect()}
+    m = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = m @ m.T >= 0.9
+    np.fill_diagonal(linked, False)
+    assert [got[i] for i in range(600)] == list(zip(linked.sum(1).tolist(), smallest_reachable(list(range(600)), linked).tolist(), strict=True))
+
+
 # 9 simhash ------------------------------------------------------------------------------------
 
 

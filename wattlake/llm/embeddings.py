@@ -14,7 +14,7 @@ from wattlake.llm.graph import MinForest, components
 
 #: Vectors a cell in the mean, most cells, expected vectors that the cells are fitted on, rounds of the fit.
 PER_CELL, MOST_CELLS, SAMPLE, ROUNDS = 1000, 4096, 40_000, 8
-#: How far from the plane between two cells a vector still visits the other one, in deviations of a pair's offset there.
+#: For callers who give up pairs for speed: how far from the plane between two cells a vector still visits the other one, in deviations of a pair's offset there.
 REACH = 3.0
 #: Residents and guests of a cell that one task compares.
 RESIDENTS, GUESTS = 1024, 4096
@@ -49,9 +49,10 @@ def _visits(x: np.ndarray, centre: np.ndarray, least: float, reach: float | None
     If x and y have a cosine of *least* or more they are sqrt(2 - 2 least) apart at most.  Were
     both farther than half of that from the plane between their home cells, they would be
     farther apart; so with *reach* None, which visits up to that, no pair is lost.  That is most
-    cells where vectors have many components, though across any one plane a pair's offset is
-    hardly ever more than a few times its deviation, its length over the root of the number of
-    components; *reach* is how many times, and pairs beyond are all that can be missed.
+    cells where vectors have many components.  If a pair's offset is spread evenly over all
+    components, it is hardly ever more than a few times its deviation across any one plane, its
+    length over the root of the number of components; *reach* is how many times.  Nothing bounds
+    what that misses where offsets lie in few components.
     """
     apart = np.sqrt(2 - 2 * least)
     margin = apart / 2 if reach is None else min(apart / 2, reach * apart / np.sqrt(x.shape[1]) / 2)
@@ -63,7 +64,7 @@ def _visits(x: np.ndarray, centre: np.ndarray, least: float, reach: float | None
     return home, [np.flatnonzero(row) for row in near]
 
 
-def near_components(vectors: DataFrame, least: float = 0.9, per_cell: int = PER_CELL, reach: float | None = REACH) -> DataFrame:
+def near_components(vectors: DataFrame, least: float = 0.9, per_cell: int = PER_CELL, reach: float | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of *vectors* (vec_id, embedding).
 
     Vectors link if their cosine in double precision is *least* or more; n_links counts the other
@@ -71,8 +72,8 @@ def near_components(vectors: DataFrame, least: float = 0.9, per_cell: int = PER_
     it is the row's own.  Vectors that are null, zero, or hold null or non-finite components link
     with nothing.  Vectors of unequal length compare as if filled up with zeros.  Equal vectors
     are compared once and counted by their number.  The cells are fitted on a bounded sample;
-    every vector is placed, and each visits the cells in which a partner may live: all of them
-    with *reach* None, which gives every pair; see :func:`_visits` for the default.
+    every vector is placed, and each visits all the cells in which a partner may live, which gives
+    every pair; a *reach* visits fewer and can miss some, see :func:`_visits`.
     Residents and guests of a cell meet in blocks of fixed size, however large it is; a task gives
     one row for each vector it has linked.
     """
