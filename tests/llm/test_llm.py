@@ -374,6 +374,44 @@ def test_near_copies_go(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one_of_each(docs(spark, rows)).collect()) == list(range(30))
 
 
+def test_near_copies_are_checked(spark):
+    """Links are those of a similarity of 0.8 or more, whatever the fingerprints say; rows go one by one."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    rows, want = [], set()
+    for at, share in enumerate([0.6, 0.7, 0.75, 0.79, 0.8, 0.81, 0.85] * 12):
+        a = [word() for _ in range(364)]
+        # 360 shingles, of which the last are others: (360 - n) / (360 + n)
+        n = round(360 * (1 - share) / (1 + share)) if share != 0.8 else 40
+        b = a[: 364 - n] + [word() for _ in range(n)]
+        x, y = (set(zip(*[w[i:] for i in range(5)], strict=False)) for w in (a, b))
+        rows += [(10 * at, " ".join(a), "en", "a"), (10 * at + 1, " ".join(b), "en", "a")]
+        want |= {10 * at} | ({10 * at + 1} if len(x & y) / len(x | y) < 0.8 else set())
+    got = sorted(r["doc_id"] for r in simhash.keep_one_of_each(docs(spark, rows)).collect())
+    assert got == sorted(want)
+    # the same id with another text stays, whole repeated rows don't
+    again = [rows[0], rows[0], (10, "a text that is nowhere else in this table at all", "en", "a"), rows[2], (10, rows[0][1], "en", "a")]
+    left = [(r["doc_id"], r["text"]) for r in simhash.keep_one_of_each(docs(spark, again)).collect()]
+    assert sorted(left) == sorted([rows[0][:2], again[2][:2], rows[2][:2]])
+
+
+def test_large_groups_are_dealt(spark, monkeypatch):
+    """Blocks of a large group of candidates give the groups of one comparison of everything."""
+    rng = random.Random(5)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)]
+    rows = []
+    for i in range(150):
+        w = base[: rng.randrange(48, 61)]
+        for _ in range(rng.randrange(0, 3)):
+            w[rng.randrange(len(w))] = f"other{i}"
+        rows.append((i, " ".join(w), "en", "a"))
+    sets = [set(zip(*[t.split()[i:] for i in range(5)], strict=False)) for _, t, *_ in rows]
+    linked = np.array([[len(a & b) >= 0.8 * len(a | b) for b in sets] for a in sets])
+    monkeypatch.setattr(simhash, "SHINGLES", 400)
+    got = sorted(r["doc_id"] for r in simhash.keep_one_of_each(docs(spark, rows), radius=64).collect())
+    assert got == sorted(set(smallest_reachable(list(range(150)), linked).tolist()))
+
+
 def test_short_texts_stay_apart():
     """Ties of two shingles don't make unrelated texts alike."""
     rng = random.Random(3)

@@ -17,24 +17,40 @@ from wattlake.llm.graph import MinForest, components
 LEAST_TILE, MOST_TILE = 2048, 131_072
 #: Rows of a tile that are compared, or skipped, at once.
 BLOCK = 256
+#: Shingles of a block in which texts are compared by their shingles; a larger group of candidates has several blocks.
+SHINGLES = 1_000_000
 SEED = 42
 
 
-def fingerprint(text: str | None, words: int = 3, lanes: int = 1, settle: bool = False) -> list[int]:
-    """*lanes* signed 64-bit lanes of the SimHash of *text*; see :func:`fingerprints`."""
+def _spans(text: str | None, words: int) -> tuple[bytes, list[tuple[int, int]]]:
+    """The words of *text* with a space between, and where in that each shingle begins and ends."""
     # bytes.lower and bytes.split know just A-Z and \x20\x09-\x0D
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return [0] * lanes
-    joined = b" ".join(parts)
+        return b"", []
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(words, len(parts))
-    spans = list(zip(starts[: len(parts) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True))
+    return b" ".join(parts), list(zip(starts[: len(parts) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True))
+
+
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """The different shingles of *text*, as XXH64 in ascending order."""
+    joined, spans = _spans(text, words)
+    return np.unique(np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans], dtype=np.uint64))
+
+
+def fingerprint(text: str | None, words: int = 3, lanes: int = 1, settle: bool = False, once: bool = False) -> list[int]:
+    """*lanes* signed 64-bit lanes of the SimHash of *text*; see :func:`fingerprints`."""
+    joined, spans = _spans(text, words)
+    if not spans:
+        return [0] * lanes
     out = []
     for lane in range(lanes):
         digest = xxhash.xxh64_intdigest
         hashes = np.array([digest(joined[a:b], SEED + lane) for a, b in spans], dtype=np.uint64)
+        if once:
+            hashes = np.unique(hashes)
         set_in = np.zeros(64, dtype=np.int64)
         for at in range(0, len(hashes), 65_536):
             set_in += np.unpackbits(hashes[at : at + 65_536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
@@ -175,13 +191,123 @@ def hex_fingerprint(names: list[str]):
     return F.concat(*[F.lpad(F.lower(F.hex(n)), 16, "0") for n in names])
 
 
-def keep_one_of_each(documents: DataFrame, words: int = 5, lanes: int = 2, radius: int = 24) -> DataFrame:
+def _alike(group: pd.DataFrame, names: list[str], radius: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (nodes, nodes) to the smallest of each set that the texts of *group* form.
+
+    Every pair within *radius* is checked by its shingles unless links lead from one to the other
+    already; so the sets are those that checking all of them gives.
+    """
+    group = group.sort_values("node")
+    nodes, sets = group["node"].to_numpy(), group["shingles"].to_list()
+    lanes, size = group[names].to_numpy(dtype=np.int64).view(np.uint64), group["n"].to_numpy()
+    root = list(range(len(nodes)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for at in range(0, len(nodes), BLOCK):
+        bits = sum(np.bitwise_count(lanes[at : at + BLOCK, lane, None] ^ lanes[None, at:, lane]).astype(np.int16) for lane in range(len(names)))
+        low, high = np.minimum(size[at : at + BLOCK, None], size[None, at:]), np.maximum(size[at : at + BLOCK, None], size[None, at:])
+        x, y = np.nonzero((bits <= radius) & (low >= least * high - 1e-9))
+        for i, j in zip((x[x < y] + at).tolist(), (y[x < y] + at).tolist(), strict=True):
+            a, b = find(i), find(j)
+            if a == b:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if both >= least * (size[i] + size[j] - both) - 1e-9:
+                root[max(a, b)] = min(a, b)
+    up = np.array([find(i) for i in range(len(nodes))], dtype=np.int64)
+    inner = np.flatnonzero(up != np.arange(len(nodes)))
+    return nodes[inner], nodes[up[inner]]
+
+
+def _checked(members: DataFrame, names: list[str], words: int, radius: int, least: float) -> DataFrame:
+    """(a, b): links of the texts of *members* (component_id, node, f0.., text), those candidates that share enough shingles.
+
+    Candidates of a component meet in blocks of about SHINGLES shingles, however large it is or
+    they are; small components share a block.  Texts of a large one are dealt by size, for a
+    text can be like those only that have at least *least* times its shingles.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [shingles(t, words) for t in batch["text"]]
+            yield batch.drop(columns="text").assign(n=[len(x) for x in found], shingles=[x.view(np.int64) for x in found])
+
+    lanes = "".join(f"{n} long, " for n in names)
+    rows = members.select("component_id", "node", *names, "text").mapInPandas(run, f"component_id long, node long, {lanes}n long, shingles array<long>")
+    # a step of size is a little more than 1 / least, so partners are a step apart at most
+    rows = stash(rows.filter("n > 0").withColumn("k", F.floor(F.log("n") / F.log(F.lit(1.01 / least))).cast("int")))
+    total = rows.groupBy("component_id").agg(F.sum("n").alias("all")).select("component_id", (F.col("all") > SHINGLES).alias("large"), "all")
+    small = F.lit(max(1, (rows.agg(F.sum("n")).first()[0] or 0) // SHINGLES))
+    rows = rows.join(total.select(F.col("component_id").bitwiseXOR(F.lit(0)).alias("component_id"), "large"), "component_id")
+    few = rows.filter("not large").select("*", F.lit(None).cast("long").alias("c"), F.pmod(F.xxhash64("component_id"), small).cast("int").alias("k1"), *[F.lit(0).alias(x) for x in ("b1", "k2", "b2")])
+    steps = rows.filter("large").groupBy("component_id", "k").agg(F.ceil(F.sum("n") / F.lit(SHINGLES)).cast("int").alias("b"))
+    # a large component has at most some hundred steps of size, whatever its texts
+    layout = steps.groupBy("component_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "b"))).alias("blocks"))
+    many = rows.filter("large").join(layout.select(F.col("component_id").bitwiseXOR(F.lit(0)).alias("component_id"), "blocks"), "component_id")
+    many = many.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")[F.col("k")]).cast("int"))
+    to = lambda k: F.when(F.col("blocks")[k].isNotNull(), F.sequence(F.lit(0), F.col("blocks")[k] - 1)).otherwise(F.array().cast("array<int>"))
+    spot = lambda k1, b1, k2, b2: F.struct(k1.alias("k1"), b1.alias("b1"), k2.alias("k2"), b2.alias("b2"))
+    k, own = F.col("k"), F.col("own")
+    here = F.transform(to(k), lambda j: spot(k, F.least(own, j), k, F.greatest(own, j)))
+    above = F.transform(to(k + 1), lambda j: spot(k, own, k + 1, j))
+    below = F.transform(to(k - 1), lambda j: spot(k - 1, j, k, own))
+    many = many.select("*", F.col("component_id").alias("c"), F.explode(F.concat(here, above, below)).alias("_at")).select("*", "_at.*")
+    kept = ["component_id", "node", *names, "n", "shingles", "c", "k1", "b1", "k2", "b2"]
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        links = [_alike(g, names, radius, least) for _, g in group.groupby("component_id", sort=False)]
+        return pd.DataFrame({"a": np.concatenate([a for a, _ in links]), "b": np.concatenate([b for _, b in links])})
+
+    return few.select(kept).unionByName(many.select(kept)).groupBy("c", "k1", "b1", "k2", "b2").applyInPandas(compare, "a long, b long")
+
+
+def keep_one_of_each(documents: DataFrame, words: int = 5, lanes: int = 2, radius: int = 32, least: float = 0.8) -> DataFrame:
     """The rows of *documents* but for near copies: of each group the one with the smallest doc_id stays.
 
-    By default two lanes of five-word shingles and 24 of 128 bits, which takes in texts whose
-    shingles have a similarity (Jaccard) of 0.8 (19 bits differ there in the mean, with a
-    deviation of 3); unrelated texts differ in about 64.  Rows with a null id are kept.
+    Texts are near copies if their sets of shingles of *words* words have a similarity (Jaccard)
+    of *least* or more; a group is what such links lead to.  SimHashes of the sets only choose
+    which pairs are checked: by default those that differ in 32 of 128 bits or less, where at a
+    similarity of 0.8 the mean is 19; unrelated texts differ in about 64.  Blank texts are copies
+    of each other.  Rows go one by one: of rows with one id, those stay whose text has no copy
+    before it, and of rows with the same id and text one.  Rows with a null id are kept.
     """
-    classes = near_components(fingerprints(documents, words, lanes, settle=True), radius)
-    gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti")
+    names = [f"f{i}" for i in range(lanes)]
+    key = F.sha2(F.coalesce("text", F.lit("")), 256)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = np.array([fingerprint(t, words, lanes, settle=True, once=True) for t in batch["t"]], dtype=np.int64).reshape(-1, lanes)
+            blank = [not (t or "").encode("utf-8", "surrogatepass").split() for t in batch["t"]]
+            yield batch.drop(columns="t").assign(blank=blank).assign(**{n: found[:, i] for i, n in enumerate(names)})
+
+    rows = documents.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t"), key.alias("sha"))
+    prints = stash(rows.mapInPandas(run, "id long, sha string, blank boolean, " + ", ".join(f"{n} long" for n in names)))
+    # one row for each different text, under its least id; blank texts are one
+    one = F.when(F.col("blank"), "").otherwise(F.col("sha")).alias("copy")
+    texts = prints.groupBy(one, "blank", *names).agg(F.min(F.struct("id", "sha")).alias("first"))
+    texts = stash(texts.select("copy", "blank", *names, F.col("first.id").alias("id"), F.col("first.sha").alias("sha"), F.monotonically_increasing_id().alias("node")))
+    candidates = stash(near_components(texts.filter("not blank").select(F.col("node").alias("doc_id"), *names), radius))
+    grouped = candidates.groupBy("component_id").count().filter("count > 1").select(F.col("component_id").bitwiseXOR(F.lit(0)).alias("component_id"))
+    members = candidates.join(grouped, "component_id").select(F.col("doc_id").alias("node"), "component_id")
+    members = members.join(texts, "node").select("node", "component_id", *names, "id", "sha")
+    whole = documents.select(F.col("doc_id").cast("long").alias("id"), key.alias("sha"), "text")
+    members = whole.join(members, ["id", "sha"]).dropDuplicates(["node"])
+    group = components(_checked(members, names, words, radius, least)).select(F.col("node"), F.col("component_id").alias("set"))
+    placed = texts.join(group, "node", "left").select("copy", "id", "sha", F.coalesce("set", "node").alias("set"))
+    first = placed.groupBy("set").agg(F.min(F.struct("id", "sha")).alias("first")).select(F.col("set").bitwiseXOR(F.lit(0)).alias("set"), "first")
+    stays = placed.join(first, "set").select("copy", F.col("first.id").alias("first_id"), F.col("first.sha").alias("first_sha"))
+    # every (id, text) that is not the first of its group
+    pairs = prints.groupBy("id", "sha", one).agg(F.count("*").alias("rows"))
+    judged = stash(pairs.join(stays, "copy").select("id", "sha", "rows", ((F.col("id") == F.col("first_id")) & (F.col("sha") == F.col("first_sha"))).alias("first")))
+    mine = documents.withColumn("_key", F.struct(F.col("doc_id").cast("long").alias("id"), key.alias("sha")))
+    gone = judged.filter("not first").select(F.struct("id", "sha").alias("_key"))
+    left = mine.join(gone, "_key", "left_anti")
+    twice = judged.filter("first and rows > 1").select(F.struct("id", "sha").alias("_key"))
+    if not twice.isEmpty():
+        left = left.join(twice, "_key", "left_anti").unionByName(left.join(twice, "_key", "left_semi").dropDuplicates(["_key"]))
+    return left.select(documents.columns)
