@@ -395,6 +395,18 @@ def test_near_copies_are_checked(spark):
     assert sorted(left) == sorted([rows[0][:2], again[2][:2], rows[2][:2]])
 
 
+def test_short_texts_that_share_words_stay(spark):
+    """Lines of five to eight words that share most of them are below a similarity of 0.8, but for case and space."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    texts = []
+    for _ in range(25):
+        w = [word() for _ in range(8)]
+        texts += [" ".join(w[:5]), " ".join(w[:6]), " ".join([word(), *w[:5]]), " ".join(w[:7]), " ".join(w), " ".join(w[:7] + [word()])]
+    got = sorted(r["doc_id"] for r in simhash.keep_one_of_each(docs(spark, [(i, t, "en", "a") for i, t in enumerate(texts + [texts[0].upper() + " "])])).collect())
+    assert got == list(range(len(texts)))
+
+
 def test_large_groups_are_dealt(spark, monkeypatch):
     """Blocks of a large group of candidates give the groups of one comparison of everything."""
     rng = random.Random(5)
