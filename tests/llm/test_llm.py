@@ -104,6 +104,16 @@ def test_parsing_is_local():
         assert len(names) == len(owner)
 
 
+def test_length_does_not_change_the_phrases():
+    """Near copies on either side of 40 and of 240 characters are as alike as any."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
+    texts = [" ".join(word() for _ in range(60)) for _ in range(100)]
+    alike = lambda a, b: np.mean([parsing.likeness(*parsing.fingerprints([t[:a], t[:b]])) for t in texts])
+    assert alike(238, 242) > 0.75 and alike(238, 242) > alike(228, 232) - 0.05
+    assert alike(38, 42) > 0.35 and alike(38, 42) > alike(43, 47) - 0.1
+
+
 # 2 toxicity -----------------------------------------------------------------------------------
 
 

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 #: Slots of a fingerprint, 16 bits each.
 SLOTS = 128
-#: Phrases count from this level on (about three characters a level, each three times the one below):
-#: (least characters of the text, level), the first that fits.
-LEVELS = ((240, 3), (40, 2), (0, 1))
+#: Phrases count from this level on, in texts of any length (about three characters a level, each three times the one below).
+LEVEL = 2
 #: Code points that are parsed side by side.
 AT_ONCE = 400_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -83,8 +82,6 @@ def signatures(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def sketch(texts: list[str]) -> np.ndarray:
     """(texts, SLOTS) of uint16: of each slot the least phrase name in it, 0 if it has none."""
-    size = np.array([len(t) for t in texts], dtype=np.int64)
-    from_level = np.select([size >= least for least, _ in LEVELS], [level for _, level in LEVELS])
     best = np.full(len(texts) * SLOTS, np.iinfo(np.uint64).max, np.uint64)
     levels = signatures(texts)
     top = np.zeros(len(texts), np.int64)
@@ -92,7 +89,7 @@ def sketch(texts: list[str]) -> np.ndarray:
         top[owner] = level
     for level, (names, owner) in enumerate(levels, 1):
         # what is shorter than its level has its whole phrase alone
-        use = level >= np.minimum(from_level, top)[owner]
+        use = level >= np.minimum(LEVEL, top)[owner]
         slot = owner[use] * SLOTS + (names[use] >> np.uint64(57)).astype(np.int64)
         np.minimum.at(best, slot, names[use] & np.uint64((1 << 57) - 1))
     low = (best & np.uint64(0xFFFF)).astype(np.uint16)
