@@ -164,6 +164,30 @@ def test_pieces_are_those_of_the_library(spark, documents):
     assert pieces.with_ids(docs(spark, []), v).count() == 0
 
 
+def test_adjacent_pieces_are_those_of_merging():
+    v = pieces.read_model(queries.PIECES)
+    rng, normal = random.Random(8), sorted(v.ids.values())
+    short = [i for i in normal if len(v.pieces[i]) < 4]
+    for _ in range(3000):
+        a, b = rng.choice(short if rng.random() < 0.7 else normal), rng.choice(short if rng.random() < 0.7 else normal)
+        assert v.adjacent(a, b) == (v.merge(v.pieces[a] + v.pieces[b]) == [v.pieces[a], v.pieces[b]])
+        assert v.adjacent(-1, a) == (v.merge(v.pieces[a]) == [v.pieces[a]])
+
+
+def test_small_tables_and_shared_classes_change_no_ids(monkeypatch):
+    v = pieces.read_model(queries.PIECES)
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("aeiounst .,\n日本é") for _ in range(rng.randint(0, 200))) for _ in range(60)] + [None, ""]
+    want = [None if x is None else x.tolist() for x in pieces.Encoder(v).encode(texts)]
+    monkeypatch.setattr(pieces, "CLASSES", 40)
+    small = pieces.Encoder(v, indexed=50, kept=10)
+    for _ in range(2):
+        assert [None if x is None else x.tolist() for t in texts for x in small.encode([t])] == want
+    ids, ends = small.encode_lot(texts)
+    assert small.digests(ids, ends)[0] == hashlib.sha256(" ".join(map(str, want[0])).encode()).hexdigest() and small.digests(ids, ends)[-1] == hashlib.sha256(b"").hexdigest()
+    assert small.decode_lot(ids, ends)[:-2] == texts[:-2]
+
+
 # 4 urls ---------------------------------------------------------------------------------------
 
 
