@@ -76,7 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 OP8_SQL = """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-good AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+good AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND e IS NOT NULL AND len(e) = list_count(e) AND isfinite(list_sum(e)) AND (list_min(e) <> 0 OR list_max(e) <> 0)),
 link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
 reach AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y),
 n AS (SELECT x, count(*) AS n FROM link GROUP BY 1), c AS (SELECT x, min(y) AS m FROM reach GROUP BY 1)
