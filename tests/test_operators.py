@@ -1,4 +1,6 @@
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,7 +53,7 @@ def test_outliers(spark):
     small = [("tiny", float(i)) for i in range(5)]
     heavy = [("SPLITÃO", 1.0 + i / 100) for i in range(100)] + [("SPLITÃO", 1000.0)] * 3
     df = spark.createDataFrame(small + heavy, "seg string, v double")
-    s = outliers.Settings(noise_floor=0.5, min_segment_size=20)
+    s = outliers.Settings(noise_floor=0.5, iqr_factor=1.5, min_segment_size=20, upper_quantile_cap=0.90)
     got = {r["seg"]: r for r in outliers.thresholds(df, "seg", "v", s).collect()}
     assert got["tiny"]["fallback_global_floor"] and got["tiny"]["noise_floor"] == 0.5 and got["tiny"]["lo"] <= got["tiny"]["hi"]
     assert got["SPLITÃO"]["hi"] < 1000 and got["SPLITÃO"]["tail_ratio"] > 1.5 and got["SPLITÃO"]["iqr_factor_used"] == 1.25
@@ -66,6 +68,55 @@ def test_outliers(spark):
     assert outliers.impact(df, df.filter("seg = 'tiny'"), "seg").first()["seg"] == "SPLITÃO"
 
 
+def test_outliers_without_a_segment_stay(spark):
+    rows = [("A", float(i)) for i in range(200)] + [(None, float(i)) for i in range(60)] + [(" ", float(i)) for i in range(60, 100)] + [("A", None)]
+    df = spark.createDataFrame(rows, "seg string, v double")
+    limits = outliers.thresholds(df, "seg", "v", outliers.Settings(noise_floor=0.0))
+    assert {r["seg"]: r["n_before"] for r in limits.collect()} == {"A": 200, "DESCONHECIDO": 100}
+    account = outliers.accounting(df, limits, "seg", "v")
+    assert outliers.filtered(df, limits, "seg", "v").count() == sum(r["n_after"] for r in account.collect()) > 250
+    total = outliers.totals(account).first()
+    assert total["n_before"] == 300 and total["n_removed"] == total["n_noise"] + total["n_extreme"]
+    assert outliers.totals(account.filter("false")).first()["pct_removed"] == 0.0
+    assert all(r["pct"] < 20 for r in outliers.impact(df.filter("v is not null"), outliers.filtered(df, limits, "seg", "v"), "seg").collect())
+
+
+def test_outlier_overrides_are_bounded(spark):
+    df = spark.createDataFrame([("a-b", float(i)) for i in range(1, 101)], "seg string, v double")
+    schema = "segment string, noise_floor double, iqr_factor double, min_segment_size double, noise_quantile double, upper_quantile_cap double, no_upper_cap boolean"
+    one = lambda *o: outliers.thresholds(df, "seg", "v", outliers.Settings(upper_quantile_cap=0.95), spark.createDataFrame([("A B", *o)], schema)).first()
+    r = one(-3.0, 0.0, 0.2, 0.9, 0.5, None)
+    assert (r["iqr_factor_used"], r["min_segment_size_used"], r["noise_quantile_used"], r["upper_quantile_cap_used"]) == (0.1, 1, 0.25, 0.90) and r["noise_floor"] == 26.0
+    r = one(None, None, None, None, None, True)
+    assert r["upper_quantile_cap_used"] is None and r["hi_qcap"] is None and r["hi"] == r["hi_iqr"] and r["manual_override"]
+
+
+def test_nearest_group(spark):
+    rng = random.Random(4)
+    ref = [(rng.uniform(-90, 90), rng.uniform(-180, 180), i) for i in range(300)] + [(10 + rng.random() / 100, 179.99 + rng.random() / 50 - 0.01, 300 + i) for i in range(300)]
+    points = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(150)] + [(90.0, 0.0), (-90.0, 5.0), (10.0, -179.999), (0.0, 180.0), (None, 1.0), ref[3][:2]]
+    got = geo.assign(spark.createDataFrame(points, "latitude double, longitude double"), spark.createDataFrame(ref, "latitude double, longitude double, grupo_regional int"))
+
+    def km(a, b):
+        p, q = math.radians(a[0]), math.radians(b[0])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return round(2 * 6371 * math.asin(min(1, math.sqrt(h))), 9)
+
+    for r in got.collect():
+        here = (r["latitude"], r["longitude"])
+        want = None if None in here else min((km(here, x), *x) for x in ref)[-1]
+        assert r["grupo_regional"] == want
+
+
+def test_mapping_is_read_back(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 2.1), (50.0, 2.0)], "latitude double, longitude double")
+    made = geo.clusters(df, 40.0, 2)
+    geo.save_mapping(made, str(tmp_path / "groups"))
+    again = geo.load_mapping(spark, str(tmp_path / "groups"))
+    assert sorted(again.collect()) == sorted(made.drop("is_core").collect()) and again.columns == ["latitude", "longitude", "grupo_regional"]
+    assert {r["longitude"]: r["grupo_regional"] for r in geo.assign(df, again).collect() if r["latitude"] == 1.0} == {2.0: 0, 2.1: 0}
+
+
 def test_encoders(spark):
     df = spark.createDataFrame([("x", 1.0, 5.0), ("y", 2.0, 5.0), ("x", 3.0, 5.0), (None, 4.0, 5.0)], "c string, v double, k double")
     fitted = encoders.fit_index(df, "c")

@@ -30,10 +30,10 @@ def with_reference(units: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def with_unit_id(units: DataFrame, known: DataFrame) -> DataFrame:
-    """Adds unit_id by reference_id; an error if that column isn't there."""
+    """Adds unit_id by reference_id (of several the least); an error if that column isn't there."""
     if "reference_id" not in units.columns:
         raise ValueError("reference_id is missing")
-    ids = known.select(F.col("reference_id").cast("bigint").alias("reference_id"), F.col("id").alias("unit_id")).dropDuplicates(["reference_id"])
+    ids = known.select(F.col("reference_id").cast("bigint").alias("reference_id"), F.col("id").alias("unit_id")).groupBy("reference_id").agg(F.min("unit_id").alias("unit_id"))
     return units.withColumn("reference_id", F.col("reference_id").cast("bigint")).join(ids, "reference_id", "left")
 
 

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.scalars import cyclical, min_max, sane
 from wattlake.operators.quantiles import linear, nearest
+from wattlake.operators.sampling import numbered
 
 
 def fit_index(df: DataFrame, c: str) -> DataFrame:
     """(value, idx): 0, 1, ... in order of value; the same whatever the order of rows."""
     values = df.select(F.col(c).alias("value")).filter("value is not null").distinct()
-    return values.withColumn("idx", (F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("value")) - 1).cast("int"))
+    return numbered(values, ["value"], "_n").select("value", F.col("_n").cast("int").alias("idx"))
 
 
 def apply_index(df: DataFrame, fitted: DataFrame, c: str, out: str | None = None, unseen: int = -1) -> DataFrame:
     """Adds the index of a value; *unseen* for others and null."""
-    f = F.broadcast(fitted.select(F.col("value").alias(f"_{c}"), F.col("idx").alias("_idx")))
+    f = fitted.select(F.col("value").alias(f"_{c}"), F.col("idx").alias("_idx"))
     return df.join(f, df[c] == f[f"_{c}"], "left").withColumn(out or f"{c}_idx", F.coalesce("_idx", F.lit(unseen))).drop(f"_{c}", "_idx")
 
 
@@ -41,9 +42,12 @@ def one_hot(df: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
     return df.withColumns(new).drop(*columns)
 
 
-def vocabulary(df: DataFrame, c: str) -> list[str]:
-    """Values of a category, sorted; categories are few by nature."""
-    return [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
+def vocabulary(df: DataFrame, c: str, most: int = 1000) -> list[str]:
+    """Values of a category, sorted; more than *most*, which would each be a column, are an error."""
+    values = [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{c} has more than {most} values")
+    return sorted(values)
 
 
 def fit_clip(df: DataFrame, columns: list[str], low: float = 0.15, high: float = 0.85, k: float = 1.5, interpolation: str = "nearest") -> DataFrame:
@@ -92,5 +96,3 @@ def normalisation(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, mean, std, min, max) without NaN; 0, 1, 0, 1 for columns without a value.  Population deviation."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias("v")) for c in columns])).alias("_r")).select("_r.*")
     return long.groupBy("column").agg(F.coalesce(F.avg("v"), F.lit(0.0)).alias("mean"), F.coalesce(F.stddev_pop("v"), F.lit(1.0)).alias("std"), F.coalesce(F.min("v"), F.lit(0.0)).alias("min"), F.coalesce(F.max("v"), F.lit(1.0)).alias("max"))
-
-

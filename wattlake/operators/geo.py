@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions.scalars import EARTH_KM, haversine_km
+from wattlake.operators.sampling import numbered
 from wattlake.session import checkpointed
 
 LAT, LON = "latitude", "longitude"
@@ -76,27 +77,74 @@ def clusters(df: DataFrame, radius_km: float = 40.0, min_samples: int = 2) -> Da
     border = touched.join(cores, "node", "left_anti").withColumn("is_core", F.lit(False))
     placed = core.unionByName(border)
     lone = points.select("node").join(placed, "node", "left_anti")
-    # one row a cluster or lone point is numbered, in order of coordinates
     roots = placed.select(F.lit(0).alias("_k"), F.col("root").alias("node")).distinct().unionByName(lone.select(F.lit(1).alias("_k"), "node"))
-    numbers = roots.withColumn("grupo_regional", (F.row_number().over(Window.orderBy("_k", "node")) - 1).cast("int")).withColumnRenamed("node", "root").drop("_k")
+    numbers = numbered(roots, ["_k", "node"], "_n").select(F.col("node").alias("root"), F.col("_n").cast("int").alias("grupo_regional"))
     everyone = placed.unionByName(lone.select("node", F.col("node").alias("root"), F.lit(False).alias("is_core")))
     return everyone.join(numbers, "root").select(F.col("node.lat").alias(LAT), F.col("node.lon").alias(LON), "grupo_regional", "is_core")
 
 
-def assign(df: DataFrame, reference: DataFrame, most_reference: int = 200_000) -> DataFrame:
+def _on_sphere(lat: str, lon: str) -> list[Column]:
+    """x, y and z of a coordinate on the unit sphere."""
+    a, b = F.radians(F.col(lat)), F.radians(F.col(lon))
+    return [F.cos(a) * F.cos(b), F.cos(a) * F.sin(b), F.sin(a)]
+
+
+def nearest(queries: DataFrame, reference: DataFrame) -> DataFrame:
+    """(latitude, longitude, grupo_regional): for each coordinate of *queries* the group of the nearest of *reference*; of equally near the least coordinate.
+
+    The reference's points lie in cells of the cube around the sphere, each of 64 parts of the
+    one above it.  From the top down, a query goes on to the cells that can hold its nearest
+    point: whose box is no farther than the farthest point of the best box.  So it meets the
+    points of a few small cells, however many there are and wherever they crowd.
+    """
+    n = reference.count()
+    depth = min(10, max(1, math.ceil(math.log(max(n, 1), 16))))
+    side, names = 4**depth, ("x", "y", "z")
+    cells = [F.least(F.floor((c + 1) / 2 * side), F.lit(side - 1)).cast("long") for c in _on_sphere(LAT, LON)]
+    # two bits of each axis a level, the top level first
+    code = F.lit(0).cast("long")
+    for level in range(depth):
+        for axis, c in enumerate(cells):
+            code = code.bitwiseOR(F.shiftleft(F.shiftright(c, 2 * level).bitwiseAND(F.lit(3)), 6 * level + 2 * axis))
+    points = reference.select(F.col(LAT).alias("_lat"), F.col(LON).alias("_lon"), F.col("grupo_regional").alias("_g"), code.alias("_cell"), *[c.alias(f"_{a}") for a, c in zip(names, _on_sphere(LAT, LON), strict=True)])
+    points = checkpointed(points)
+    found = queries.select(LAT, LON, *[c.alias(a) for a, c in zip(names, _on_sphere(LAT, LON), strict=True)])
+    for level in range(1, depth + 1):
+        part = points.withColumn("_cell", F.shiftright("_cell", 6 * (depth - level)))
+        boxes = part.groupBy("_cell").agg(*[f(f"_{a}").alias(f"_{k}{a}") for a in names for k, f in (("low", F.min), ("high", F.max))])
+        if level == 1:  # 64 boxes at most
+            met = found.crossJoin(F.broadcast(boxes))
+        else:
+            met = found.withColumnRenamed("_cell", "_up").join(boxes.withColumn("_up", F.shiftright("_cell", 6)), "_up").drop("_up")
+        gap = [F.greatest(F.col(f"_low{a}") - F.col(a), F.col(a) - F.col(f"_high{a}"), F.lit(0.0)) for a in names]
+        span = [F.greatest(F.abs(F.col(a) - F.col(f"_low{a}")), F.abs(F.col(a) - F.col(f"_high{a}"))) for a in names]
+        least, most = (F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2]) for d in (gap, span))
+        best = F.min(most).over(Window.partitionBy(LAT, LON))
+        found = met.withColumn("_best", best).filter(least <= F.col("_best") + 1e-9).select(LAT, LON, *names, "_cell")
+    km = haversine_km(F.col(LAT), F.col(LON), F.col("_lat"), F.col("_lon"))
+    return found.join(points.select("_cell", "_lat", "_lon", "_g"), "_cell").groupBy(LAT, LON).agg(F.min_by("_g", F.struct(F.round(km, 9), "_lat", "_lon")).alias("grupo_regional"))
+
+
+def assign(df: DataFrame, reference: DataFrame) -> DataFrame:
     """*df* with grupo_regional: that of the equal reference coordinate, else of the nearest; null without a coordinate.
 
-    Only distinct unseen coordinates are compared with the reference, which has a row for each
-    known coordinate; it is broadcast if it has *most_reference* rows at most, else the
-    candidates are ranked by a shuffled join.
+    Only distinct unseen coordinates are searched for; *reference* has a row for each known one.
     """
     ref = reference.select(F.col(LAT).alias("_lat"), F.col(LON).alias("_lon"), F.col("grupo_regional").alias("_g"))
     exact = df.join(ref, (df[LAT] == ref["_lat"]) & (df[LON] == ref["_lon"]), "left").drop("_lat", "_lon")
     unseen = coordinates(df).join(reference.select(LAT, LON), [LAT, LON], "left_anti")
-    side = F.broadcast(ref) if ref.limit(most_reference + 1).count() <= most_reference else ref
-    km = haversine_km(F.col(LAT), F.col(LON), F.col("_lat"), F.col("_lon"))
-    nearest = unseen.crossJoin(side).groupBy(LAT, LON).agg(F.min_by("_g", F.struct(F.round(km, 9), "_lat", "_lon")).alias("_n"))
-    return exact.join(nearest, [LAT, LON], "left").withColumn("grupo_regional", F.coalesce("_g", "_n")).drop("_g", "_n")
+    found = nearest(unseen, reference).withColumnRenamed("grupo_regional", "_n")
+    return exact.join(found, [LAT, LON], "left").withColumn("grupo_regional", F.coalesce("_g", "_n")).drop("_g", "_n")
+
+
+def save_mapping(clustered: DataFrame, path: str) -> None:
+    """Writes the reference of groups (latitude, longitude, grupo_regional) as Parquet, in order of coordinates in each file."""
+    clustered.select(LAT, LON, F.col("grupo_regional").cast("int").alias("grupo_regional")).sortWithinPartitions(LAT, LON).write.mode("overwrite").parquet(path)
+
+
+def load_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """The reference of groups that :func:`save_mapping` has written."""
+    return spark.read.schema(f"{LAT} double, {LON} double, grupo_regional int").parquet(path)
 
 
 def summary(clustered: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.operators.quantiles import linear, nearest
+from wattlake.operators.quantiles import beside, linear, nearest
 
 QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 
@@ -47,12 +47,11 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def box_numbers(df: DataFrame, c: str, by: list[str] | None = None, k: float = 1.5) -> DataFrame:
-    """One row a group: quartiles, fences, and how many values are below and above them."""
+    """One row a group (null is one): quartiles, fences, and how many values are below and above them."""
     q = linear(df, c, QUARTILES, by)
     iqr = F.col("q75") - F.col("q25")
     q = q.withColumn("lower", F.col("q25") - k * iqr).withColumn("upper", F.col("q75") + k * iqr)
-    rows = df.filter(F.col(c).isNotNull())
-    joined = rows.join(F.broadcast(q), by) if by else rows.crossJoin(F.broadcast(q))
+    joined = beside(df.filter(F.col(c).isNotNull()), q, by or [])
     keys = [*(by or []), "n", *QUARTILES, "lower", "upper"]
     return joined.groupBy(*keys).agg(F.count_if(F.col(c) < F.col("lower")).alias("n_below"), F.count_if(F.col(c) > F.col("upper")).alias("n_above"))
 

@@ -13,7 +13,7 @@ from wattlake.session import checkpointed
 GRID, ACCURACY, SMALL = 512, 10_000, 4096
 
 
-def _beside(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+def beside(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     """*left* with the columns of *right*, which has one row a group; null is a group."""
     if not by:
         return left.crossJoin(F.broadcast(right))
@@ -22,38 +22,60 @@ def _beside(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     return left.join(renamed, same).drop(*[f"_by_{c}" for c in by])
 
 
-def nearest(df: DataFrame, value: str, quantiles: dict[str, float | Column], by: list[str] | None = None) -> DataFrame:
-    """One row a group: n and a column for each quantile, the value of rank floor(q (n - 1) + 0.5).
+def grid(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """One row a group: n and a grid of approximate quantiles, for any number of calls of :func:`nearest`; kept once."""
+    base = df.filter(F.col(value).isNotNull())
+    return checkpointed(base.groupBy(*(by or [])).agg(F.count("*").alias("n"), F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], ACCURACY).alias("_g")))
+
+
+def _ranked(df: DataFrame, value: str, wanted: dict[str, tuple[Column, Column]], by: list[str], known: DataFrame) -> DataFrame:
+    """One row a group: n and the value of each wanted (share, rank from 0), by the grid *known*.
 
-    Exact: a grid of approximate quantiles, whose rank error is bounded, brackets each wanted
-    rank; what lies below a bracket is counted, and only values inside it, a few thousandths of
-    the rows, are ranked, as (value, count).  Small groups are ranked whole.  Nulls don't count.
-    A quantile may be a column of the group.
+    Exact: the grid, whose rank error is bounded, brackets each wanted rank; what lies below a
+    bracket is counted, and only values inside it, a few thousandths of the rows, are ranked, as
+    (value, count).  Small groups are ranked whole.
     """
-    by, names = by or [], list(quantiles)
+    names = list(wanted)
     base = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
-    grid = base.groupBy(*by).agg(F.count("*").alias("n"), F.percentile_approx("_v", [i / GRID for i in range(GRID + 1)], ACCURACY).alias("_g"))
-    share = [q if isinstance(q, Column) else F.lit(float(q)) for q in quantiles.values()]
-    rank = [F.floor(q * (F.col("n") - 1) + 0.5).alias(f"_k{i}") for i, q in enumerate(share)]
     wide = F.col("n") >= SMALL
-    low = [F.when(wide & (q * GRID >= 1), F.get("_g", (F.floor(q * GRID) - 1).cast("int"))).alias(f"_lo{i}") for i, q in enumerate(share)]
-    high = [F.when(wide & (q * GRID <= GRID - 1), F.get("_g", (F.ceil(q * GRID) + 1).cast("int"))).alias(f"_hi{i}") for i, q in enumerate(share)]
-    brackets = checkpointed(grid.select(*by, "n", *rank, *low, *high))  # a row a group; two passes read it
-    joined = _beside(base, brackets.select(*by, *[c for c in brackets.columns if c[:3] in ("_lo", "_hi")]), by)
+    rank, low, high = [], [], []
+    for i, (q, k) in enumerate(wanted.values()):
+        rank.append(k.alias(f"_k{i}"))
+        low.append(F.when(wide & (q * GRID >= 1), F.get("_g", (F.floor(q * GRID) - 1).cast("int"))).alias(f"_lo{i}"))
+        high.append(F.when(wide & (q * GRID <= GRID - 1), F.get("_g", (F.ceil(q * GRID) + 1).cast("int"))).alias(f"_hi{i}"))
+    brackets = checkpointed(known.select(*by, "n", *rank, *low, *high))  # a row a group; two passes read it
+    joined = beside(base, brackets.select(*by, *[c for c in brackets.columns if c[:3] in ("_lo", "_hi")]), by)
     below = joined.groupBy(*by).agg(F.array(*[F.count_if(F.col("_v") < F.col(f"_lo{i}")) for i in range(len(names))]).alias("_b"))
     inside = [F.when(F.coalesce(F.col("_v") >= F.col(f"_lo{i}"), F.lit(True)) & F.coalesce(F.col("_v") <= F.col(f"_hi{i}"), F.lit(True)), F.lit(i)) for i in range(len(names))]
     counts = joined.select(*by, "_v", F.explode(F.array_compact(F.array(*inside))).alias("_i")).groupBy(*by, "_i", "_v").agg(F.count("*").alias("_c"))
     order = Window.partitionBy(*by, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = _beside(_beside(counts.withColumn("_to", F.sum("_c").over(order)), below, by), brackets.select(*by, "n", *[f"_k{i}" for i in range(len(names))]), by)
+    ranked = beside(beside(counts.withColumn("_to", F.sum("_c").over(order)), below, by), brackets.select(*by, "n", *[f"_k{i}" for i in range(len(names))]), by)
     picks = [F.min(F.when((F.col("_i") == i) & (F.col("_to") + F.get("_b", F.lit(i)) > F.col(f"_k{i}")), F.col("_v"))).alias(n) for i, n in enumerate(names)]
     return ranked.groupBy(*by).agg(F.max("n").alias("n"), *picks)
 
 
+def nearest(df: DataFrame, value: str, quantiles: dict[str, float | Column], by: list[str] | None = None, known: DataFrame | None = None) -> DataFrame:
+    """One row a group: n and a column for each quantile, the value of rank floor(q (n - 1) + 0.5).
+
+    Exact, see :func:`_ranked`.  Nulls don't count.  A quantile may be a column of *known*, the
+    :func:`grid` of the same rows (with columns of the group beside it).
+    """
+    share = {name: q if isinstance(q, Column) else F.lit(float(q)) for name, q in quantiles.items()}
+    return _ranked(df, value, {name: (q, F.floor(q * (F.col("n") - 1) + 0.5)) for name, q in share.items()}, by or [], known if known is not None else grid(df, value, by))
+
+
 def linear(df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None) -> DataFrame:
-    """One row a group: n and interpolated quantiles, by the built-in exact aggregate."""
-    names = list(quantiles)
-    out = df.groupBy(*(by or [])).agg(F.count(value).alias("n"), F.percentile(value, [float(q) for q in quantiles.values()]).alias("_q"))
-    return out.select(*(by or []), "n", *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    """One row a group: n and quantiles interpolated between the values of the ranks beside q (n - 1); exact, as :func:`nearest` is.
+
+    Without any value there is no row of a group, and one with n = 0 and nulls of the whole.
+    """
+    by, wanted = by or [], {}
+    for name, q in quantiles.items():
+        at = F.lit(float(q)) * (F.col("n") - 1)
+        wanted |= {f"_below_{name}": (F.lit(float(q)), F.floor(at)), f"_above_{name}": (F.lit(float(q)), F.ceil(at))}
+    out = _ranked(df.withColumn(value, F.col(value).cast("double")), value, wanted, by, grid(df, value, by))
+    part = {name: F.lit(float(q)) * (F.col("n") - 1) - F.floor(F.lit(float(q)) * (F.col("n") - 1)) for name, q in quantiles.items()}
+    return out.select(*by, F.coalesce("n", F.lit(0)).alias("n"), *[(F.col(f"_below_{name}") + part[name] * (F.col(f"_above_{name}") - F.col(f"_below_{name}"))).alias(name) for name in quantiles])
 
 
 def approximate(df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None, accuracy: int = ACCURACY) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattlake.session import checkpointed
+
 BUCKETS = 10_000
 
 
@@ -28,19 +30,25 @@ def head(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def folds(df: DataFrame, key: str, k: int) -> DataFrame:
-    """Adds ``fold`` 0..k-1: contiguous stretches of the key's order with nearly as many rows each.
+def numbered(df: DataFrame, order: list, out: str) -> DataFrame:
+    """Adds *out*: 0, 1, ... in *order*.
 
-    Keys are ranged by sorting; only a row for each of the sort's partitions meets in one task.
+    The sort is by ranges and kept once, so every later look sees the same order; only a row for
+    each of its partitions meets in one task.
     """
-    ordered = df.orderBy(key).withColumn("_m", F.monotonically_increasing_id())
+    ordered = checkpointed(df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()))
     place, part = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)), F.shiftright("_m", 33)
     sizes = ordered.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_o", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    total = sizes.agg(F.sum("_n").alias("_t"))
-    numbered = ordered.withColumn("_p", part).join(F.broadcast(before.drop("_n")), "_p").crossJoin(F.broadcast(total)).withColumn("_i", place + F.col("_o"))
+    before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
+    return ordered.withColumn("_p", part).join(F.broadcast(before), "_p").withColumn(out, place + F.col("_o")).drop("_m", "_p", "_o")
+
+
+def folds(df: DataFrame, key: str, k: int) -> DataFrame:
+    """Adds ``fold`` 0..k-1: contiguous stretches of the key's order with nearly as many rows each."""
+    rows = numbered(df, [key], "_i")
+    total = rows.agg(F.count("*").alias("_t"))
     # the first n mod k folds have a row more
     small, extra = F.floor(F.col("_t") / k), F.col("_t") % k
     cut = extra * (small + 1)
     fold = F.when(F.col("_i") < cut, F.floor(F.col("_i") / (small + 1))).otherwise(extra + F.floor(F.try_divide(F.col("_i") - cut, small)))
-    return numbered.withColumn("fold", fold.cast("int")).drop("_m", "_p", "_o", "_t", "_i")
+    return rows.crossJoin(F.broadcast(total)).withColumn("fold", fold.cast("int")).drop("_t", "_i")

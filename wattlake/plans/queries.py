@@ -63,10 +63,9 @@ def hourly_apportionment(spark, sf_dir):
     return hourly.hourly_energy(views.run_lengths(spark, sf_dir), prefix="DAC", digits=9)
 
 
-@query(f"WITH {_PARTS} SELECT dev_id, day, CAST(idx - 1 AS INTEGER) AS idx, amps, seconds, e - seconds AS start_s, e AS end_s FROM c WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'")
+@query(f"WITH {_PARTS} SELECT dev_id, day, CAST(idx - 1 AS INTEGER) AS idx, amps, seconds, e - seconds AS start_s, e AS end_s FROM c")
 def sample_spans(spark, sf_dir):
-    rle = views.run_lengths(spark, sf_dir).filter("day between date'2024-01-05' and date'2024-01-20'")
-    return hourly.spans(hourly.samples(rle)).select("dev_id", "day", "idx", "amps", "seconds", "start_s", "end_s")
+    return hourly.spans(hourly.samples(views.run_lengths(spark, sf_dir))).select("dev_id", "day", "idx", "amps", "seconds", "start_s", "end_s")
 
 
 # consolidation ------------------------------------------------------------------------------
@@ -82,7 +81,7 @@ def roles(spark, sf_dir) -> dict[str, DataFrame]:
     unit_dates = tel.select("unit_id").distinct().select("unit_id", start.alias("data_instalacao"), F.date_add(start, 16).alias("data_inicio_automacao"))
     avail = tel.groupBy(F.col("device_id").alias("device_code"), F.col("data").alias("record_date"), "unit_id").agg((F.lit(60.0) + F.sum("event_id") % 41).alias("disponibility"))
     place = tel.filter("machine_type <> ' ' and hora < 6").select(F.col("device_id").alias("device_code"), "machine_type", (F.lit(-33.0) + F.col("unit_id")).alias("latitude"), (F.lit(-60.0) + F.col("unit_id")).alias("longitude")).distinct()
-    devices = associations.available_devices(avail, unit_dates).join(F.broadcast(unit_dates), "unit_id")
+    devices = associations.available_devices(avail, unit_dates).join(unit_dates, "unit_id")
     return {"tel": tel, "dates": unit_dates, "avail": avail, "places": place, "devices": devices}
 
 
@@ -266,49 +265,63 @@ def _rank(q: str) -> str:
     return f"min(CASE WHEN rk > floor({q} * (n - 1) + 0.5) THEN v END)"
 
 
-_LINE = "ln AS (SELECT CASE l_returnflag WHEN 'A' THEN 'SPLIT HI-WALL' WHEN 'N' THEN 'SPLITÃO INVERTER' ELSE 'SPLITÃO' END AS seg, CASE l_returnflag WHEN 'A' THEN l_extendedprice * l_extendedprice / 100000.0 ELSE l_extendedprice END AS v FROM lineitem)"
+_LINE = """ln AS (SELECT CASE WHEN l_linenumber = 7 THEN 'DESCONHECIDO' WHEN l_returnflag = 'A' THEN 'SPLIT HI-WALL' WHEN l_returnflag = 'N' THEN 'SPLITÃO INVERTER' ELSE 'SPLITÃO' END AS seg,
+CASE l_returnflag WHEN 'A' THEN l_extendedprice * l_extendedprice / 100000.0 ELSE l_extendedprice END AS v FROM lineitem)"""
 _LIMITS = f"""{_LINE}, rk AS (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY v) AS rk, count(*) OVER (PARTITION BY seg) AS n FROM ln),
 q AS (SELECT seg, max(n) AS n, {_rank('0.10')} AS q10, {_rank('0.25')} AS q1, {_rank('0.50')} AS q50, {_rank('0.75')} AS q3, {_rank('0.90')} AS q90, {_rank('0.99')} AS q99 FROM rk GROUP BY seg),
 s AS (SELECT *, greatest(q90 - q50, 1e-9) AS mid, greatest(q50 - q10, 1e-9) AS low, greatest(q90 - q10, 1e-9) AS tot FROM q), s2 AS (SELECT *, greatest(q99 - q90, 0) / mid AS tail FROM s),
 s3 AS (SELECT *, CASE WHEN seg LIKE '%HI-WALL%' THEN 0.12 WHEN seg LIKE '%INVERTER%' THEN 0.09 ELSE 0.10 END AS qn0, CASE WHEN seg LIKE '%HI-WALL%' THEN 1.5 * 0.9 ELSE 1.5 END AS k0 FROM s2),
-s4 AS (SELECT *, CASE WHEN tot <= 0.35 * greatest(q50, 1e-6) AND mid / low < 1.8 THEN least(qn0 + 0.02, 0.20) ELSE qn0 END AS qn, CASE WHEN tail >= 1.5 THEN least(k0, 1.25) WHEN tail >= 1.0 THEN least(k0, 1.40) WHEN tail >= 0.6 THEN least(k0, 1.60) ELSE k0 END AS k, 0.90 AS qc FROM s3),
-a AS (SELECT seg, min(CASE WHEN rk > floor(qn * (rk.n - 1) + 0.5) THEN v END) AS vn, min(CASE WHEN rk > floor(qc * (rk.n - 1) + 0.5) THEN v END) AS vc FROM rk JOIN s4 USING (seg) GROUP BY seg),
-lim AS (SELECT seg, n AS n_before, least(greatest(vn, 100.0), 400.0) AS noise_floor, q1, q3, tail, k, qn, greatest(q1 - k * (q3 - q1), least(greatest(vn, 100.0), 400.0)) AS lo, least(q3 + k * (q3 - q1), vc) AS hi FROM s4 JOIN a USING (seg))"""
+s4 AS (SELECT *, CASE WHEN tot <= 0.35 * greatest(q50, 1e-6) AND mid / low < 1.8 THEN least(qn0 + 0.02, 0.20) ELSE qn0 END AS qn1, CASE WHEN tail >= 1.5 THEN least(k0, 1.25) WHEN tail >= 1.0 THEN least(k0, 1.40) WHEN tail >= 0.6 THEN least(k0, 1.60) ELSE k0 END AS k1 FROM s3),
+s5 AS (SELECT *, CASE WHEN seg = 'SPLITÃO' THEN 0.25 ELSE qn1 END AS qn, CASE WHEN seg = 'SPLITÃO' THEN 2.0 WHEN seg = 'DESCONHECIDO' THEN 0.1 ELSE k1 END AS k, CASE WHEN seg = 'SPLITÃO' THEN NULL ELSE 0.90 END AS qc, CASE WHEN seg = 'DESCONHECIDO' THEN 0.0 ELSE 100.0 END AS base FROM s4),
+a AS (SELECT seg, min(CASE WHEN rk > floor(qn * (rk.n - 1) + 0.5) THEN v END) AS vn, min(CASE WHEN rk > floor(qc * (rk.n - 1) + 0.5) THEN v END) AS vc FROM rk JOIN s5 USING (seg) GROUP BY seg),
+f AS (SELECT s5.*, vc, CASE WHEN base > 0 THEN least(greatest(vn, base), 4 * base) ELSE greatest(vn, 0) END AS noise_floor FROM s5 JOIN a USING (seg)),
+lim AS (SELECT seg, n AS n_before, noise_floor, q1, q3, tail, k, qn, greatest(q1 - k * (q3 - q1), noise_floor) AS lo, least(q3 + k * (q3 - q1), coalesce(vc, q3 + k * (q3 - q1))) AS hi FROM f)"""
 
 
 def _segments(spark, sf_dir):
     flag, v = F.col("l_returnflag"), F.col("l_extendedprice")
-    seg = F.when(flag == "A", "SPLIT HI-WALL").when(flag == "N", "SPLITÃO INVERTER").otherwise("SPLITÃO")
+    seg = F.when(F.col("l_linenumber") == 7, F.when(F.col("l_orderkey") % 2 == 0, " ")).when(flag == "A", "SPLIT HI-WALL").when(flag == "N", "SPLITÃO INVERTER").otherwise("SPLITÃO")
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", seg.alias("seg"), F.when(flag == "A", v * v / 100000.0).otherwise(v).alias("v"))
 
 
-_OUTLIERS = outliers.Settings(noise_floor=100.0)
+def _limits(spark, sf_dir):
+    """The limits of segments, two of them overridden: bounded settings, a fence without a cap, and no floor."""
+    rows = [("splitão", None, 2.0, 0.5, True), ("desconhecido", -5.0, 0.01, None, False)]
+    given = spark.createDataFrame(rows, "segment string, noise_floor double, iqr_factor double, noise_quantile double, no_upper_cap boolean")
+    settings = outliers.Settings(noise_floor=100.0, iqr_factor=1.5, min_segment_size=50, noise_quantile=0.10, upper_quantile_cap=0.90)
+    return outliers.thresholds(_segments(spark, sf_dir), "seg", "v", settings, given)
 
 
 @query(f"WITH {_LIMITS} SELECT seg, n_before, round(noise_floor, 6) AS noise_floor, round(q1, 6) AS q1, round(q3, 6) AS q3, round(tail, 6) AS tail_ratio, round(CAST(k AS DOUBLE), 6) AS iqr_factor_used, round(CAST(qn AS DOUBLE), 6) AS noise_quantile_used, round(lo, 6) AS lo, round(greatest(hi, lo), 6) AS hi FROM lim")
 def outlier_thresholds(spark, sf_dir):
-    t = outliers.thresholds(_segments(spark, sf_dir), "seg", "v", _OUTLIERS)
-    return t.select("seg", "n_before", *[F.round(c, 6).alias(c) for c in ("noise_floor", "q1", "q3", "tail_ratio", "iqr_factor_used", "noise_quantile_used", "lo", "hi")])
+    return _limits(spark, sf_dir).select("seg", "n_before", *[F.round(c, 6).alias(c) for c in ("noise_floor", "q1", "q3", "tail_ratio", "iqr_factor_used", "noise_quantile_used", "lo", "hi")])
 
 
-@query(f"""WITH {_LIMITS}, r AS (SELECT seg, v, v BETWEEN lo AND greatest(hi, lo) AS kept, noise_floor AS f FROM ln JOIN lim USING (seg))
-SELECT seg, count(*) AS n_before, count(*) FILTER (NOT kept AND v < f) AS n_noise, count(*) FILTER (NOT kept AND v >= f) AS n_extreme, count(*) FILTER (kept) AS n_after, round(min(v) FILTER (kept), 6) AS kept_min, round(max(v) FILTER (kept), 6) AS kept_max, round(100.0 * (count(*) - count(*) FILTER (kept)) / count(*), 4) AS pct_removed FROM r GROUP BY seg""")
+_ACCOUNT = f"""{_LIMITS}, r AS (SELECT seg, v, v BETWEEN lo AND greatest(hi, lo) AS kept, noise_floor AS f FROM ln JOIN lim USING (seg)),
+acc AS (SELECT seg, count(*) AS n_before, count(*) FILTER (v < f) AS n_noise, count(*) FILTER (NOT kept AND v >= f) AS n_extreme, count(*) FILTER (kept) AS n_after, round(min(v) FILTER (kept), 6) AS kept_min, round(max(v) FILTER (kept), 6) AS kept_max, round(100.0 * (count(*) - count(*) FILTER (kept)) / count(*), 4) AS pct_removed FROM r GROUP BY seg)"""
+
+
+@query(f"WITH {_ACCOUNT} SELECT * FROM acc")
 def outlier_accounting(spark, sf_dir):
-    df = _segments(spark, sf_dir)
-    out = outliers.accounting(df, outliers.thresholds(df, "seg", "v", _OUTLIERS), "seg", "v")
+    out = outliers.accounting(_segments(spark, sf_dir), _limits(spark, sf_dir), "seg", "v")
     return out.withColumns({c: F.round(c, 6) for c in ("kept_min", "kept_max")})
 
 
+@query(f"WITH {_ACCOUNT}, t AS (SELECT CAST(sum(n_before) AS BIGINT) AS n_before, CAST(sum(n_noise) AS BIGINT) AS n_noise, CAST(sum(n_extreme) AS BIGINT) AS n_extreme, CAST(sum(n_after) AS BIGINT) AS n_after FROM acc) SELECT *, n_before - n_after AS n_removed, round(100.0 * (n_before - n_after) / n_before, 4) AS pct_removed FROM t")
+def outlier_totals(spark, sf_dir):
+    return outliers.totals(outliers.accounting(_segments(spark, sf_dir), _limits(spark, sf_dir), "seg", "v"))
+
+
 @query(f"""WITH {_LIMITS}, b AS (SELECT seg, count(*) AS n_before FROM ln GROUP BY seg), k AS (SELECT seg, count(*) AS n FROM ln JOIN lim USING (seg) WHERE v BETWEEN lo AND greatest(hi, lo) GROUP BY seg)
 SELECT seg, n_before, coalesce(n, 0) AS n_after, n_before - coalesce(n, 0) AS removed, round(100.0 * (n_before - coalesce(n, 0)) / n_before, 4) AS pct FROM b LEFT JOIN k USING (seg)""")
 def outlier_impact(spark, sf_dir):
     df = _segments(spark, sf_dir)
-    return outliers.impact(df, outliers.filtered(df, outliers.thresholds(df, "seg", "v", _OUTLIERS), "seg", "v"), "seg")
+    return outliers.impact(df, outliers.filtered(df, _limits(spark, sf_dir), "seg", "v"), "seg")
 
 
 @query(f"WITH {_LINE}, rk AS (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY v) AS rk, count(*) OVER (PARTITION BY seg) AS n FROM ln) SELECT seg, max(n) AS n, {_rank('0.05')} AS q05, {_rank('0.5')} AS q50, quantile_cont(v, 0.5) AS l50 FROM rk GROUP BY seg")
 def segment_quantiles(spark, sf_dir):
-    df = _segments(spark, sf_dir)
+    df = rows.segmented(_segments(spark, sf_dir), "seg")
     return quantiles.nearest(df, "v", {"q05": 0.05, "q50": 0.5}, ["seg"]).join(quantiles.linear(df, "v", {"l50": 0.5}, ["seg"]).drop("n"), "seg")
 
 
@@ -477,10 +490,11 @@ def value_shares(spark, sf_dir):
     return profile.value_shares(table(spark, sf_dir, "part"), "p_type").withColumn("share", F.round("share", 9))
 
 
-@query("""WITH m AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS t, (max(l_extendedprice) - min(l_extendedprice)) / 10 AS w FROM lineitem)
-SELECT CAST(least(floor((l_extendedprice - lo) / w), 9) AS INTEGER) AS bin, count(*) AS n, round(count(*) / max(t), 9) AS share FROM lineitem, m GROUP BY 1""")
+@query("""WITH m AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS t, (max(l_extendedprice) - min(l_extendedprice)) / 10 AS w FROM lineitem),
+b AS (SELECT CAST(least(floor((l_extendedprice - lo) / w), 9) AS INTEGER) AS bin, count(*) AS n, round(count(*) / max(t), 9) AS share, any_value(lo) AS lo, any_value(w) AS w FROM lineitem, m GROUP BY 1)
+SELECT bin, n, share, round(lo + bin * w, 6) AS low, round(lo + (bin + 1) * w, 6) AS high, printf('(%.0f, %.0f)', lo + bin * w, lo + (bin + 1) * w) AS label FROM b""")
 def histogram(spark, sf_dir):
-    return profile.histogram(table(spark, sf_dir, "lineitem"), "l_extendedprice").select("bin", "n", F.round("share", 9).alias("share"))
+    return profile.histogram(table(spark, sf_dir, "lineitem"), "l_extendedprice").select("bin", "n", *[F.round(c, d).alias(c) for c, d in (("share", 9), ("low", 6), ("high", 6))], "label")
 
 
 @query("SELECT count(DISTINCT l_returnflag) AS l_returnflag, count(DISTINCT l_suppkey) AS l_suppkey, count(DISTINCT l_linenumber) AS l_linenumber FROM lineitem")
@@ -488,15 +502,19 @@ def distinct_counts(spark, sf_dir):
     return profile.distinct_counts(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_suppkey", "l_linenumber"])
 
 
-@query("SELECT 'x' AS column, count(*) FILTER (l_tax <= 0.02) AS n_null, round(count(*) FILTER (l_tax <= 0.02) / count(*), 9) AS rate FROM lineitem UNION ALL SELECT 'y', 0, 0 FROM lineitem LIMIT 2")
+@query("""SELECT 'x' AS column, count(*) FILTER (l_tax <= 0.02) AS n_null, round(count(*) FILTER (l_tax <= 0.02) / count(*), 9) AS rate FROM lineitem
+UNION ALL SELECT 'y', count(*) FILTER (l_linenumber = 3), round(count(*) FILTER (l_linenumber = 3) / count(*), 9) FROM lineitem""")
 def null_rates(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_tax") > 0.02, F.col("l_tax")).alias("x"), F.col("l_quantity").alias("y"))
+    line = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_tax") > 0.02, F.col("l_tax")).alias("x"), F.when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("y"))
     return profile.null_rates(line, ["x", "y"]).withColumn("rate", F.round("rate", 9))
 
 
-@query("SELECT 'l_discount' AS a, 'l_discount' AS b, 1.0::DOUBLE AS r UNION ALL SELECT 'l_quantity', 'l_quantity', 1.0 UNION ALL SELECT 'l_discount', 'l_quantity', round(corr(l_discount, l_quantity), 9) FROM lineitem")
+_MEASURED = ("l_quantity", "l_extendedprice", "l_suppkey", "l_partkey")
+
+
+@query(" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 9) AS r FROM lineitem" for i, a in enumerate(_MEASURED) for b in _MEASURED[i:]))
 def correlations(spark, sf_dir):
-    return profile.correlations(table(spark, sf_dir, "lineitem"), ["l_discount", "l_quantity"]).withColumn("r", F.round("r", 9))
+    return profile.correlations(table(spark, sf_dir, "lineitem"), list(_MEASURED)).withColumn("r", F.round("r", 9))
 
 
 @query("""WITH q AS (SELECT event_type, count(*) AS n, quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q75 FROM events GROUP BY 1), f AS (SELECT *, q25 - 1.5 * (q75 - q25) AS lower, q75 + 1.5 * (q75 - q25) AS upper FROM q)
@@ -631,10 +649,11 @@ def set_operations(spark, sf_dir):
     return out
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1000 ELSE o_totalprice END AS o_totalprice FROM orders")
 def versioned_append(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return tables.append_version(o.filter("o_orderkey % 2 = 0 or o_orderkey % 3 = 0"), o.filter("o_orderkey % 2 <> 0"), ["o_orderkey"])
+    new = o.filter("o_orderkey % 2 = 0 or o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1000)
+    return tables.append_version(new, o.filter("o_orderkey % 2 <> 0"), ["o_orderkey"])
 
 
 @query("""SELECT 'columns' AS "check", true AS passed, '' AS detail UNION ALL SELECT 'rows', count(*) > 0, CAST(count(*) AS VARCHAR) FROM lineitem UNION ALL SELECT 'complete', true, '0' UNION ALL SELECT 'l_quantity positive', min(l_quantity) > 0, '' FROM lineitem""")
