@@ -82,6 +82,70 @@ def test_fingerprints_of_next(spark):
     assert parsing.against_next(docs(spark, [(9, "alone here", "en", "a")])).first()["near_next"] == 1.0
 
 
+def test_fingerprints_where_one_id_has_most_rows(spark):
+    """Rows of one id are dealt to several tasks; every row has the next one of its order all the same."""
+    rng = random.Random(6)
+    text = lambda: "".join(rng.choice("abc def") for _ in range(rng.randint(0, 60)))
+    rows = [(7, text(), "en", "a") for _ in range(400)] + [(None, text(), "en", "a") for _ in range(300)] + [(i, text(), "en", "a") for i in range(100)] + [(-(1 << 63), "least", "en", "a"), ((1 << 63) - 1, "most", "en", "a")]
+    key = lambda r: (r[0] is not None, r[0] or 0, xxhash.xxh64_intdigest(r[1].encode(), 42) & 0xFFFFFFFF, r[1])
+    ordered = sorted(rows, key=key)
+    pairs = list(zip(ordered, [*ordered[1:], ordered[0]], strict=True))
+    want = sorted((repr(a[0]), len(a[1]), hashlib.sha256(parsing.edited(a[1], b[1]).encode()).hexdigest()) for a, b in pairs)
+    got = parsing.against_next(docs(spark, rows).repartition(3)).collect()
+    assert sorted((repr(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in got) == want
+
+
+def slow_phrases(names: list[int]) -> list[int]:
+    """One level of phrases of one text by plain integers: runs, three further rounds of coin tossing, local maxima."""
+    full = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & full
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & full
+        return x ^ (x >> 31)
+
+    runs = []
+    for n in names:
+        if runs and runs[-1][0] == n:
+            runs[-1][1] += 1
+        else:
+            runs.append([n, 1])
+    names = [n if k == 1 else mix((n + k * 0x9E3779B97F4A7C15) & full) for n, k in runs]
+    label = names
+    for _ in range(4):
+        left = [label[0] ^ 1, *label[:-1]]
+        bits = [((a ^ b) & -(a ^ b)).bit_length() - 1 for a, b in zip(label, left)]
+        label = [2 * i + (a >> i & 1) for a, i in zip(label, bits)]
+    last = len(names) - 1
+    begins = [i == 0 or (1 < i < last and label[i] > label[i - 1] and label[i] > label[i + 1]) for i in range(len(names))]
+    out = []
+    for i, n in enumerate(names):
+        if begins[i]:
+            out.append(0)
+            start = i
+        out[-1] = (out[-1] + mix(n ^ ((i - start + 1) * 0x9E3779B97F4A7C15 & full))) & full
+    return [mix(x) for x in out]
+
+
+def test_phrases_are_those_of_plain_integers():
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 300))) for letters in ("ab", "abcdefgh ", "aaab", "日本é x") for _ in range(15)]
+    levels = parsing.signatures(texts)
+    for i, t in enumerate(texts):
+        names = [x.tolist() for x, owner in [(n[o == i], o) for n, o in levels] if len(x)]
+        now = parsing._mix(np.array([ord(c) + 1 for c in t], np.uint64)).tolist()
+        for level in names:
+            now = slow_phrases(now)
+            assert now == level
+        assert len(now) == 1
+        # of each slot the least name of the levels that count, in 16 bits, 1 at least
+        counted = [x for level in names[min(parsing.LEVEL, len(names)) - 1 :] for x in level]
+        slots = [0] * parsing.SLOTS
+        for slot in {x >> 57 for x in counted}:
+            slots[slot] = max(1, min(x & ((1 << 57) - 1) for x in counted if x >> 57 == slot) & 0xFFFF)
+        assert parsing.fingerprints([t])[0] == "".join(f"{x:04x}" for x in slots)
+
+
 def test_fingerprint_partitions_agree(spark, documents):
     few = {r["doc_id"]: tuple(r) for r in parsing.against_next(documents).collect()}
     old = spark.conf.get("spark.sql.shuffle.partitions")

@@ -16,6 +16,7 @@ SLOTS = 128
 LEVEL = 2
 #: Code points that are parsed side by side.
 AT_ONCE = 400_000
+SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -134,39 +135,81 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def against_next(documents: DataFrame) -> DataFrame:
+def _cuts(spread: list[int] | None) -> list[int]:
+    """Where ranges of ids begin, ascending; an id that fills several steps of *spread* is a range of its own."""
+    spread = spread or []
+    often = {c for c, d in zip(spread, spread[1:], strict=False) if c == d}
+    return sorted({*spread, *(c + 1 for c in often if c < (1 << 63) - 1)})
+
+
+def _dealt(ranges: list[tuple[int, bool, int]], parts: int) -> tuple[list[int], list[int]]:
+    """For each range its first task, and how many tasks it has; *ranges*: (number, of one id, bytes) in order.
+
+    Ranges follow one another into tasks of about a *parts*-th of all bytes; only one with a
+    single id can have several tasks.
+    """
+    target = max(1, sum(size for _, _, size in ranges) // parts)
+    first, count = [0] * (max(r[0] for r in ranges) + 1), [1] * (max(r[0] for r in ranges) + 1)
+    task, held = 0, 0
+    for number, one, size in ranges:
+        several = -(-size // target) if one else 1
+        if held and (held + size > target or several > 1):
+            task, held = task + 1, 0
+        first[number], count[number] = task, several
+        held += size
+        if several > 1:
+            task, held = task + several, 0
+    return first, count
+
+
+def against_next(documents: DataFrame, per_task: int = 8) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they are to it and to the next document.
 
     (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.)
-    The next document is the one after in order of doc_id (null first; equal ids in order of
-    text), the first after the last.  Documents are dealt to ranges of doc_id; the first of each
-    range is copied to the range before, so texts are shuffled once and no task sees more than
-    a range.  Null texts count as empty.  An empty table gives no rows.
+    The next document is the one after in order of doc_id (null first; equal ids in order of a
+    hash of the text, then of the text), the first after the last.  Documents are dealt to tasks
+    by ranges of doc_id, about *per_task* to a task, so that tasks have like numbers of bytes; an
+    id with very many rows has tasks of its own, by the hash.  The first row of each task is
+    copied to the task before; so texts are shuffled once and no task sees more than its ranges.
+    Null texts count as empty.  An empty table gives no rows.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    least = -(1 << 63)
-    key = F.coalesce("doc_id", F.lit(least))
+    rows = rows.withColumn("_h", F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)))
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = rows.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], 10_000)).first()[0]
-    ids = rows.select("doc_id", key.alias("_k"))
-    part = F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts or [0]))]), lambda c: c <= F.col("_k")))
-    first = {r[0]: r[1] for r in ids.groupBy(part.alias("p")).agg(F.min("_k")).collect()}  # one row a range
-    there = sorted(first)
-    before = {first[p]: there[i - 1] for i, p in enumerate(there)}
-    copied = F.coalesce(*[F.when(F.col("_k") == F.lit(k), F.lit(p)) for k, p in before.items()]) if before else F.lit(None).cast("int")
-    dealt = rows.withColumn("_k", key).withColumn("_p", part).withColumn("_to", copied)
-    dealt = dealt.select("doc_id", "text", "_k", F.explode(F.when(F.col("_to").isNull(), F.array(F.struct(F.col("_p").alias("p"), F.lit(False).alias("x")))).otherwise(F.array(F.struct(F.col("_p").alias("p"), F.lit(False).alias("x")), F.struct(F.col("_to").alias("p"), F.lit(True).alias("x"))))).alias("_d"))
-    dealt = dealt.select("doc_id", "text", "_k", F.col("_d.p").alias("_p"), F.col("_d.x").alias("_x")).repartition(parts, "_p").sortWithinPartitions("_p", "_x", "_k", "text")
+    steps = parts * per_task
+    cuts = _cuts(rows.agg(F.percentile_approx("doc_id", [i / steps for i in range(1, steps)], 10_000)).first()[0])
+    number = F.when(F.col("doc_id").isNull(), 0).otherwise(1 + F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c <= F.col("doc_id"))))
+    rows = rows.withColumn("_r", number)
+    # a row for each range comes to the driver, then one for each task
+    found = rows.groupBy("_r").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum(F.octet_length("text") + F.lit(64)).alias("size")).collect()
+    if not found:
+        return spark.createDataFrame([], SCHEMA)
+    found.sort(key=lambda r: r["_r"])
+    first, count = _dealt([(r["_r"], r["low"] == r["high"], r["size"]) for r in found], parts)
+    within = F.shiftright(F.col("_h") * F.get(F.array(*map(F.lit, count)), F.col("_r")), 32)
+    rows = rows.withColumn("_to", (F.get(F.array(*map(F.lit, first)), F.col("_r")) + within).cast("int"))
+    tasks = sorted(r[0] for r in rows.select("_to").distinct().collect()) if max(count) > 1 else sorted({first[r["_r"]] for r in found})
+    before = dict(zip(tasks, [tasks[-1], *tasks[:-1]], strict=True))
+    # the first row of a task is of its first id, or else of a part of an id that has several tasks
+    low = {first[r["_r"]]: r["low"] for r in reversed(found)}
+    heads = F.col("doc_id").isin([x for x in low.values() if x is not None]) | F.col("doc_id").isNull()
+    copies = rows.filter(heads).groupBy("_to").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "_h", "text")).alias("_f"))
+    back = F.get(F.array(*[F.lit(before.get(t, 0)) for t in range(tasks[-1] + 1)]), F.col("_to"))
+    copies = copies.select("_f.doc_id", "_f.text", "_f._h", back.alias("_to"), F.lit(True).alias("_x"))
+    dealt = rows.select("doc_id", "text", "_h", "_to", F.lit(False).alias("_x")).unionByName(copies)
+    dealt = dealt.repartitionById(tasks[-1] + 1, F.col("_to")).sortWithinPartitions("_x", F.col("doc_id").asc_nulls_first(), "_h", "text")
+    # with the nulls apart, ids stay whole numbers in pandas
+    dealt = dealt.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text")
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        """(row, next text): rows wait for the one after them."""
+        """(row, the one after it); the last of a task is the copy, which has none."""
         held = None
         for batch in batches:
-            for row in batch.itertuples(index=False, name=None):
-                if held is not None and held[3] == row[3]:
-                    if not held[4]:
-                        yield held, row
+            for id_, none, text in batch.itertuples(index=False, name=None):
+                row = (None if none else id_, text)
+                if held is not None:
+                    yield held, row
                 held = row
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,10 +234,10 @@ def against_next(documents: DataFrame) -> DataFrame:
         found, changed = fingerprints(own), [edited(row[1], following[1]) for row, following in lot]
         mine, other, later = [found[i - 1] for i in after], fingerprints(changed), [found[i] for i in after]
         return pd.DataFrame({
-            "doc_id": pd.array([None if row[2] == least else row[2] for row, _ in lot], dtype="Int64"), "n_chars": [len(row[1]) for row, _ in lot],
+            "doc_id": pd.array([row[0] for row, _ in lot], dtype="Int64"), "n_chars": [len(row[1]) for row, _ in lot],
             "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
             "fingerprint": mine, "edited_fingerprint": other,
             "near_edited": [likeness(a, b) for a, b in zip(mine, other, strict=True)], "near_next": [likeness(a, b) for a, b in zip(mine, later, strict=True)],
         })
 
-    return dealt.mapInPandas(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return dealt.mapInPandas(run, SCHEMA)
