@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import re
 import sys
 import tempfile
 import types
@@ -10,19 +11,26 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Classes (labels, languages) that a model can be fitted on.
+MOST_CLASSES = 200
+#: Steps of the hash by which rows are chosen.
+STEPS = 1_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests), a temporary one."""
+    """The folder of ``spark.checkpoint.dir``; on one machine (tests) a temporary one where it is unset, on a cluster an error."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
+    if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     root = tempfile.mkdtemp(prefix="spark-checkpoint-")
     spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -37,7 +45,19 @@ def stash(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/stash-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._stashed_at = path
+    return kept
+
+
+def forget(*stashed: DataFrame | None) -> None:
+    """Deletes the files of stashes that nothing reads any more (what is no stash is left alone)."""
+    for df in stashed:
+        path = getattr(df, "_stashed_at", None)
+        if path:
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def fold(column: str, divisor: int):
@@ -45,37 +65,46 @@ def fold(column: str, divisor: int):
     return F.crc32(F.col(column).cast("string")) % F.lit(divisor)
 
 
-def sample_per_class(rows: DataFrame, id_col: str, class_col: str, per_class: int) -> DataFrame:
-    """About *per_class* rows of each class, chosen by a hash of the id.
+def thinned(rows: DataFrame, sizes: DataFrame, per_class: int) -> DataFrame:
+    """*rows* (id, class, ...) of which each class keeps about twice *per_class* ids, chosen by a hash of the id.
 
-    The bound is the parameter: each class is thinned to an expected *per_class* rows, so what
-    a caller collects stays the same size however large the table gets.  Classes are few (they
-    are labels or languages); their counts are all that reaches the driver here.
+    *sizes* (class, n) are the ids of each class; more than MOST_CLASSES classes are an error.
     """
-    counts = {r[0]: r[1] for r in rows.groupBy(class_col).count().collect()}
-    steps = 1_000_000
+    known = sizes.limit(MOST_CLASSES + 1).collect()
+    if len(known) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes")
     keep = F.lit(False)
-    for value, n in counts.items():
-        share = min(steps, int(steps * per_class / n) + 1)
-        keep = keep | ((F.col(class_col) == F.lit(value)) & (F.pmod(F.xxhash64(F.col(id_col)), F.lit(steps)) < share))
+    for r in known:
+        share = min(STEPS, int(STEPS * 2 * per_class / r["n"]) + 1)
+        keep = keep | ((F.col("class") == F.lit(r["class"])) & (F.pmod(F.xxhash64("id"), F.lit(STEPS)) < share))
     return rows.filter(keep)
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int) -> list:
-    """Rows (text, label) to fit a classifier on, never from the held-out fold (crc32 mod 3 = 1).
+def class_sample(rows: DataFrame, per_class: int, most_chars: int) -> list[tuple[str, object]]:
+    """(text, class) of *rows* (id, text, class): at most *per_class* whole texts of each class, chosen by a hash of the id.
+
+    Of each class those of the least hashes are taken, as long as they have not more than
+    *most_chars* characters together (one text it always has); so what comes to the driver is
+    bounded, whatever ids repeat, and no text is cut.  The same rows whatever their order.
+    Every task passes on *per_class* rows of a class at most; *rows* are :func:`thinned` first.
+    """
+    hashed = F.xxhash64("id")
+    order = Window.partitionBy("class").orderBy(F.pmod(hashed, F.lit(STEPS)), hashed, F.xxhash64("text"), "text")
+    first = rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_class)
+    so_far = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    chosen = first.withColumn("_s", so_far).filter((F.col("_s") <= most_chars) | (F.col("_n") == 1))
+    return sorted((r["text"], r["class"]) for r in chosen.select("text", "class").collect())
+
+
+def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int) -> list[tuple[str, int]]:
+    """Rows (text, label) to fit a classifier on, never from the held-out fold (crc32 mod 3 = 1); see :func:`class_sample`.
 
-    At most about *per_class* rows of each class; a text over *most_chars* gives one excerpt of
-    that length, from a place that its hash decides.  Null texts and labels are left out.
+    An id with several labels has the least.  Null texts and labels are left out.
     """
-    chosen = sample_per_class(
-        labels.filter(F.col(label).isin(0, 1) & (fold("doc_id", 3) != 1)).select("doc_id", F.col(label).alias("_y")).dropDuplicates(["doc_id"]),
-        "doc_id", "_y", per_class,
-    )
-    room = F.greatest(F.length("text") - F.lit(most_chars), F.lit(0)) + 1
-    start = (F.pmod(F.xxhash64("text"), room) + 1).cast("int")
-    texts = documents.filter(F.col("text").isNotNull()).select("doc_id", "text")
-    got = texts.join(F.broadcast(chosen), "doc_id").select(F.substring(F.col("text"), start, F.lit(most_chars)).alias("text"), "_y")
-    return sorted((r["text"], r["_y"]) for r in got.collect())
+    known = labels.filter(F.col(label).isin(0, 1) & (fold("doc_id", 3) != 1)).groupBy(F.col("doc_id").alias("id")).agg(F.min(label).alias("class"))
+    few = thinned(known, known.groupBy("class").agg(F.count("*").alias("n")), per_class)  # distinct ids, about four times per_class
+    texts = documents.filter(F.col("text").isNotNull()).select(F.col("doc_id").alias("id"), "text")
+    return class_sample(texts.join(F.broadcast(few), "id"), per_class, most_chars)
 
 
 def lots(texts: list[str | None], most: int) -> Iterator[list[str | None]]:

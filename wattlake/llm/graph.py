@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import stash
+from wattlake.llm.common import forget, stash
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,7 +27,8 @@ def components(edges: DataFrame) -> DataFrame:
         lowest = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").bitwiseXOR(F.lit(0)).alias("a"), "m")
         paired = large.join(lowest, "a")
         small = paired.select("a", F.col("m").alias("b")).unionByName(paired.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        now = stash(small.distinct())
+        before, now = now, stash(small.distinct())
+        forget(before)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.count_distinct("a")).first()
         if state == seen and state[0] == state[2]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component_id")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component_id")).distinct())
