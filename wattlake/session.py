@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,14 @@ def builder(name: str = "wattlake"):
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """*df*, computed once and kept in the folder of ``spark.checkpoint.dir`` (a temporary one where it is unset, as in tests)."""
+    """*df*, computed once and kept in the folder of ``spark.checkpoint.dir``.
+
+    Where that is unset: on one machine (tests) a temporary folder, on a cluster an error.
+    """
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.fullmatch(r"local(\[[^-]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint()
