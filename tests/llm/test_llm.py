@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import time
 import zlib
 from collections import Counter
@@ -13,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from wattlake.llm import embeddings, langid, licences, mixing, parsing, pieces, quality, queries, simhash, toxicity, urls
+from wattlake.llm.common import class_sample, labelled_sample, thinned
 from wattlake.llm.graph import MinForest, components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, _score double, _lang string, ids string, component_id long, rep string, _copies int, t string"
@@ -61,6 +63,20 @@ def test_components(spark):
     assert got == dict(zip(nodes, smallest_reachable(nodes, linked).tolist(), strict=True))
 
 
+def test_class_samples_are_bounded(spark):
+    """One id with very many rows, or very long texts, bring no more rows or characters than the parameters say."""
+    rows = spark.createDataFrame([(7, f"text {i}", "a") for i in range(3000)] + [(i, "x" * 50, "b") for i in range(2000)] + [(9, "z" * 5000, "c")], "id long, text string, class string")
+    few = thinned(rows, rows.groupBy("class").agg(F.count("*").alias("n")), 40)
+    got = Counter(c for _, c in class_sample(few, 40, 1000))
+    assert got["b"] == 20 and got["c"] == 1 and got.get("a", 0) <= 40
+    assert class_sample(few.repartition(7), 40, 1000) == class_sample(few, 40, 1000)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)] + [(5, 1 - 5 % 2)], "doc_id long, toxic int")
+    texts = spark.createDataFrame([(i % 3000, f"t{i}") for i in range(9000)] + [(8, f"again {i}") for i in range(500)], "doc_id long, text string")
+    assert all(n <= 30 for n in Counter(y for _, y in labelled_sample(texts, labels, "toxic", 30, 10_000)).values())
+    with pytest.raises(ValueError):
+        thinned(rows, spark.range(300).select(F.col("id").cast("string").alias("class"), F.lit(1).alias("n")), 5)
+
+
 def test_forest():
     f = MinForest(6)
     f.link(np.array([5, 4, 1]), np.array([4, 3, 2]))
@@ -195,12 +211,42 @@ def test_toxicity_grammar():
     assert g.score(None) == g.score("") == g.score("\n")
 
 
+def slow_clauses(text, grammar):
+    """The matches of each clause by plain rules instead of transducers."""
+    out = []
+    for clause in re.split(r"[.!?;:\n]", text):
+        kinds = [grammar.closed.get(w) or (toxicity.INSULT if grammar.insult(w) else toxicity.OTHER) for w in re.findall(r"\w+(?:'\w+)?", clause)]
+        for i, k in enumerate(kinds):
+            if k not in (toxicity.INSULT, toxicity.THREAT):
+                continue
+            aimed = toxicity.TARGET in kinds
+            denied, reported = toxicity.NEGATION in kinds[max(0, i - 3) : i], toxicity.REPORT in kinds[:i]
+            if k == toxicity.THREAT:
+                out += ["threat"] if aimed and not denied and not reported else []
+            else:
+                out.append("denied" if denied else "reported" if reported else "aimed" if aimed else "plain")
+    return out
+
+
+def test_transducers_match_plain_rules():
+    grammar = toxicity.Grammar({"flib": 3.0, "zorg": 2.0})
+    rng = random.Random(14)
+    words = ["flibber", "zorgling", "kill", "you", "not", "never", "said", "sun", "moon", "tree", "they", "burn", ".", ";", "\n"]
+    for _ in range(600):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 25)))
+        assert [k for k, _ in grammar.clauses(text)] == slow_clauses(text, grammar), text
+        want = [min(toxicity.MOST, sum(w * w for k, w in grammar.clauses(text) if k == kind) / toxicity.UNIT) for kind in toxicity.KINDS]
+        assert np.allclose(grammar.features(text), want)
+
+
 def test_toxicity_held_out(spark):
     lake = "/root/testdata/sf0.1"
     d, lab = spark.read.parquet(f"{lake}/documents.parquet"), spark.read.parquet(f"{lake}/labels.parquet")
-    rows = queries.op2_toxicity(spark, lake).join(lab, "doc_id").filter("held_out").collect()
-    assert d.count() == queries.op2_toxicity(spark, lake).count()
-    assert np.mean([r["predicted"] == r["toxic"] for r in rows]) > 0.97
+    scored = queries.op2_toxicity(spark, lake).cache()
+    rows = scored.join(lab, "doc_id").filter("held_out").collect()
+    assert d.count() == scored.count()
+    caught = sum(r["predicted"] and r["toxic"] for r in rows)
+    assert caught >= 0.88 * sum(r["toxic"] for r in rows) and caught >= 0.86 * sum(r["predicted"] for r in rows)  # recall, precision
     assert all(zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 for r in rows)
 
 
@@ -381,6 +427,26 @@ def test_quality_network():
     assert np.allclose(quality.scores(many, net), [quality.scores([t], net)[0] for t in many])
 
 
+def test_quality_scores_are_those_of_plain_loops():
+    """Every filter over every second byte of the whole text, the greatest response of each, one logistic sum."""
+    net = quality.fit_network([(f"plain text number {i} is here.", 1) for i in range(40)] + [(f"SHOUT!! {i} LOUD!!", 0) for i in range(40)])
+    rng = random.Random(3)
+    for text in ("", "a", "plain text is here", "".join(rng.choice("ab !T\né") for _ in range(2500)), "ha ha ha ha " * 20):
+        data = text.encode()
+        marks = [int(i >= 6 and any(i - lag >= 5 and data[i - 5 : i + 1] == data[i - 5 - lag : i + 1 - lag] for lag in range(1, 33))) if i >= 5 else 0 for i in range(len(data))]
+        room = max(len(data), quality.WIDTH)
+        room += (room - quality.WIDTH) % quality.STRIDE and 1
+        data, marks = data + bytes(room + 1024 - len(data)), marks + [0] * (room + 1024 - len(marks))
+        z = net.base
+        for f in range(quality.FILTERS):
+            best = 0.0
+            for at in range(0, room + 8, quality.STRIDE):
+                seen = np.concatenate([np.append(net.embed[data[at + i]], marks[at + i]) for i in range(quality.WIDTH)])
+                best = max(best, float(seen @ net.filters[:, f]) + float(net.bias[f]))
+            z += best * float(net.out[f])
+        assert math.isclose(quality.scores([text], net)[0], 1 / (1 + math.exp(-max(-30, min(30, z)))), rel_tol=1e-3, abs_tol=1e-6), text[:20]
+
+
 def test_quality_chunks_cover_every_window():
     data = np.frombuffer(bytes(random.Random(2).randrange(1, 256) for _ in range(5000)), np.uint8)
     chunks, _, first = quality._chunks([data, data[:3]])
@@ -411,6 +477,12 @@ def test_language_field(spark, documents):
         if w:  # the blocked passes are the plain ones
             want, _ = langid._forward_backward(langid._scores(field.weights, *langid._features(w))[None].astype(float), field.moves, field.start)
             assert np.abs(want[0] - p).max() < 1e-3
+    # also where transitions can't be undone, and the first word must be of one language
+    stuck = langid.Field(field.labels, field.weights, np.zeros_like(field.moves), np.arange(len(field.labels)) * 3.0)
+    for w, p in zip(texts, langid.label_words(texts, stuck), strict=True):
+        if w:
+            want, _ = langid._forward_backward(langid._scores(field.weights, *langid._features(w))[None].astype(float), stuck.moves, stuck.start)
+            assert np.abs(want[0] - p).max() < 1e-3
     odd = {(r["doc_id"], r["text"]): (r["_l"]["lang_pred"], r["_l"]["score"]) for r in langid.predict(docs(spark, ODD), field, out_col="_l").collect()}
     assert odd[(1, None)] == odd[(2, "")] == odd[(4, "12 34 !!")] == ("und", 0.0)
     assert langid.predict(docs(spark, ODD), langid.fit_field([])).select("_lang.lang_pred").distinct().collect()[0][0] == "und"
@@ -449,6 +521,46 @@ def test_mixing(spark, documents):
     assert mixing.mix(docs(spark, [])).count() == 0 and mixing.mix(docs(spark, [(1, None, "en", None)])).first()["taken"] == 0
 
 
+def test_mixing_comes_near_its_targets(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = mixing.mix(documents).groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("taken"), F.max("source_size").alias("size")).collect()
+    want = targets_by_hand({r["source"]: r["size"] for r in got})
+    for r in got:
+        assert math.isclose(r["t"], want[r["source"]], rel_tol=1e-9) and abs(r["taken"] - r["t"]) <= 0.001 * r["t"], r
+
+
+def test_mixing_rounds_as_plain_python_does(spark, documents):
+    got = mixing.mix(documents).withColumn("_h", F.xxhash64("doc_id", "size", "text_hash")).collect()
+    count, buckets, unit = Counter(r["source"] for r in got), {}, 10**9
+    for r in got:
+        buckets.setdefault((r["source"], (r["_h"] >> 20) % -(-count[r["source"]] // mixing.BUCKET)), []).append(r)
+    for rows in buckets.values():
+        rows.sort(key=lambda r: (-r["size"], r["_h"], r["doc_id"]))
+        passed, copies = 0, {}
+        for r in rows:
+            u = round(r["rate"] * unit)
+            before, passed = passed, passed + u
+            copies[r["doc_id"]] = min(2, max(0, (passed + unit // 2) // unit - (before + unit // 2) // unit))
+        lack = round(sum(round(r["rate"] * unit) * r["size"] for r in rows) / unit) - sum(copies[r["doc_id"]] * r["size"] for r in rows)
+        spent = 0
+        for r in sorted(rows, key=lambda r: (r["size"], r["_h"], r["doc_id"])):
+            n = copies[r["doc_id"]]
+            if r["size"] and (n < 2 if lack > 0 else n > 0 if lack < 0 else False):
+                spent += r["size"]
+                if spent - r["size"] / 2 <= abs(lack):
+                    copies[r["doc_id"]] += 1 if lack > 0 else -1
+        assert copies == {r["doc_id"]: r["copies"] for r in rows}
+
+
+def test_mixing_of_repeated_and_missing_ids(spark, monkeypatch):
+    rows = [(None, "one two three " * (i % 7 + 1), "en", "ab"[i % 2]) for i in range(300)] + [(5, f"text number {i}", "en", "a") for i in range(50)]
+    kept = mixing.repeated(docs(spark, rows)).groupBy("doc_id", "text").count().collect()
+    assert sum(r["count"] for r in kept if r["doc_id"] is None) > 200 and len({r["text"] for r in kept if r["doc_id"] == 5}) > 20
+    monkeypatch.setattr(mixing, "MOST_ROUNDS", 1)
+    with pytest.raises(RuntimeError):
+        mixing.mix(docs(spark, rows)).count()
+
+
 def test_mixing_rates_balance(spark):
     """The multipliers make the expected words equal the targets."""
     h = spark.createDataFrame([("a", s, n) for s, n in ((10, 50), (100, 20), (900, 3))] + [(None, 5, 7)], "source string, size long, n long")

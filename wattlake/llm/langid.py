@@ -11,10 +11,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import Shared, fold, lots, sample_per_class
+from wattlake.llm.common import Shared, class_sample, fold, lots, thinned
 
-#: Expected number of training documents of each language, and the characters of the excerpt taken of each.
-PER_LANGUAGE, EXCERPT = 400, 1500
+#: Most training documents of each language, and most characters of them together; whole texts.
+PER_LANGUAGE, MOST_CHARS = 250, 2_000_000
 #: Rows of the hashed weight table.
 TABLE = 1 << 16
 #: Words of a training sequence, and of a block of forward-backward.
@@ -162,14 +162,18 @@ def _marginals(emit: np.ndarray, lengths: np.ndarray, field: Field) -> np.ndarra
     live = np.arange(BLOCK)[:, None] < size[None, :]
     m = np.exp(field.moves - field.moves.max())
     full = np.broadcast_to(np.eye(k), (n, k, k)).copy()
+    # no transition leads to the first word of a sequence
+    begins = (within == 0)[:, None]
     for i in range(BLOCK):
         on = slice(None) if live[i].all() else np.flatnonzero(live[i])
-        step = (full[on] @ m) * e[i, on][:, None, :]
+        moved = full[on] @ m
+        if not i:
+            moved = np.where(begins[:, :, None], full, moved)
+        step = moved * e[i, on][:, None, :]
         full[on] = step / step.sum((1, 2), keepdims=True)
     # what enters each block from the left (before its first transition) and from the right
     enter, leave = np.empty((n, k)), np.empty((n, k))
-    unmoved = np.linalg.solve(m.T, np.exp(field.start - field.start.max())) if np.linalg.cond(m) < 1e8 else None
-    enter[first] = 1 / k if unmoved is None else unmoved
+    enter[first] = np.exp(field.start - field.start.max())
     last = first + blocks - 1
     leave[last] = 1
     by_depth = np.argsort(within, kind="stable")
@@ -185,7 +189,7 @@ def _marginals(emit: np.ndarray, lengths: np.ndarray, field: Field) -> np.ndarra
     ahead = np.empty((BLOCK, n, k))
     now = enter
     for i in range(BLOCK):
-        now = (now @ m) * e[i]
+        now = (now @ m if i else np.where(begins, now, now @ m)) * e[i]
         now = now / np.maximum(now.sum(1, keepdims=True), 1e-300)
         ahead[i] = now
     out = np.empty((total, k))
@@ -219,16 +223,14 @@ def label_words(texts: list[list[str]], field: Field) -> list[np.ndarray]:
     return found
 
 
-def learn(documents: DataFrame, per_language: int = PER_LANGUAGE, excerpt: int = EXCERPT) -> Field:
-    """Fit a field on about *per_language* documents of each lang, *excerpt* characters of each.
+def learn(documents: DataFrame, per_language: int = PER_LANGUAGE, most_chars: int = MOST_CHARS) -> Field:
+    """Fit a field on at most *per_language* whole documents of each lang, of *most_chars* characters together.
 
     Only rows with a lang and a doc_id whose crc32 mod 5 isn't 0 are taken.
     """
-    rows = documents.filter("text is not null and lang is not null").filter(fold("doc_id", 5) != 0)
-    chosen = sample_per_class(rows.select("doc_id", "lang", "text"), "doc_id", "lang", per_language)
-    room = F.greatest(F.length("text") - F.lit(excerpt), F.lit(0)) + 1
-    got = chosen.select(F.substring(F.col("text"), (F.pmod(F.xxhash64("text"), room) + 1).cast("int"), F.lit(excerpt)).alias("text"), "lang").collect()
-    return fit_field([(r["text"], r["lang"]) for r in got])
+    known = documents.filter("text is not null and lang is not null").filter(fold("doc_id", 5) != 0).select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("class"))
+    few = thinned(known, known.groupBy("class").agg(F.count("*").alias("n")), per_language)
+    return fit_field(class_sample(few, per_language, most_chars))
 
 
 def labeller(spark: SparkSession, field: Field):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import stash
+from wattlake.llm.common import forget, stash
 
 #: Weights of the sources in order of their names, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -18,9 +18,9 @@ BUCKET = 512
 
 
 def sized(documents: DataFrame, text_col: str = "text") -> DataFrame:
-    """(doc_id, source, size): size is the number of words, runs of other than ASCII white space; null text has 0."""
+    """(doc_id, source, size, text_hash): size is the number of words, runs of other than ASCII white space; null text has 0."""
     words = F.size(F.filter(F.split(F.col(text_col), "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.when(F.col(text_col).isNull(), 0).otherwise(words).cast("long").alias("size"))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.when(F.col(text_col).isNull(), 0).otherwise(words).cast("long").alias("size"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_hash"))
 
 
 def _ranked(sources: DataFrame) -> DataFrame:
@@ -64,7 +64,8 @@ def rates(histogram: DataFrame, target: DataFrame, cap: float = CAP) -> DataFram
     that is one multiplier a source: rate = cap / (1 + (cap - 1) exp(-tilt x size / scale)).
     Each Newton round sums words and slopes over *histogram* (source, size, n), one row for each
     size that occurs, in one distributed aggregate; a step that leaves the bracket is halved.
-    A source whose target is its cap has the rate cap (``full``).
+    A source whose target is its cap has the rate cap (``full``).  Newton that hasn't come NEAR
+    after MOST_ROUNDS is an error.
     """
     key = F.struct(F.col("source").isNull().alias("k"), F.coalesce("source", F.lit("")).alias("s"))
     base = histogram.withColumn("_s", key)
@@ -72,7 +73,7 @@ def rates(histogram: DataFrame, target: DataFrame, cap: float = CAP) -> DataFram
     now = target.withColumn("_s", key).join(scale, "_s", "left").select("_s", "source", "source_size", "target", F.greatest(F.coalesce("scale", F.lit(1.0)), F.lit(1.0)).alias("scale"))
     full = F.col("target") >= F.col("source_size") * cap * (1 - 1e-12)
     now = now.withColumn("full", full).withColumn("tilt", F.lit(0.0)).withColumn("low", F.lit(-1e6)).withColumn("high", F.lit(1e6)).withColumn("off", F.lit(1.0))
-    now = stash(now)
+    kept = now = stash(now)
     for _ in range(MOST_ROUNDS):
         rate = cap / (1 + (cap - 1) * F.exp(-F.col("tilt") * F.col("size") / F.col("scale")))
         slope = rate * (1 - rate / cap) * F.col("size") / F.col("scale")
@@ -83,14 +84,18 @@ def rates(histogram: DataFrame, target: DataFrame, cap: float = CAP) -> DataFram
         half = F.when((low > -1e6) & (high < 1e6), (low + high) / 2).otherwise(F.col("tilt") + F.signum(miss) * F.greatest(F.abs("tilt"), F.lit(1.0)))
         moved = F.when(F.col("got").isNull(), F.col("tilt")).when((step > low) & (step < high) & (F.abs(step - F.col("tilt")) < 50), step).otherwise(half)
         now = now.join(sums, "_s", "left").select("_s", "source", "source_size", "target", "scale", "full", moved.alias("tilt"), low.alias("low"), high.alias("high"), F.coalesce(F.abs(miss) / F.greatest("target", F.lit(1.0)), F.lit(0.0)).alias("off"))
-        now = stash(now)
+        before, now = kept, stash(now)
+        forget(before)
+        kept = now
         if (now.agg(F.max("off")).first()[0] or 0.0) <= NEAR:
             break
+    else:
+        raise RuntimeError(f"a source's words are still more than {NEAR} off its target after {MOST_ROUNDS} rounds")
     return now.select("_s", "source_size", "target", F.round("tilt", 9).alias("tilt"), "scale", "full")
 
 
 def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """(doc_id, size, source_size, target, rate, copies, taken, _src, source) for every row.
+    """(doc_id, text_hash, source, size, source_size, target, rate, copies, taken) for every row.
 
     ``rate`` is the balanced rate (0 to cap), ``copies`` what it is rounded to, ``taken`` the
     words that the mix takes (copies x size).  Rounding is by running sums: the documents of a
@@ -109,7 +114,7 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     solved = solved.join(counts.select(key.alias("_s"), "docs"), "_s")
     joined = rows.withColumn("_s", key).join(solved, "_s")
     rate = F.when(F.col("full"), F.lit(cap)).otherwise(cap / (1 + (cap - 1) * F.exp(-F.col("tilt") * F.col("size") / F.col("scale"))))
-    place = F.xxhash64("doc_id", "size")
+    place = F.xxhash64("doc_id", "size", "text_hash")
     dealt = joined.withColumn("rate", rate).withColumn("_h", place).withColumn("_b", F.pmod(F.shiftright("_h", 20), F.ceil(F.col("docs") / BUCKET)))
     group = Window.partitionBy("_s", "_b")
     order = group.orderBy(F.desc("size"), "_h", "doc_id")
@@ -126,15 +131,15 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     mended = first.withColumn("_free", free).withColumn("_p", F.sum(F.when(F.col("_free"), F.col("size")).otherwise(0)).over(small))
     change = F.when(F.col("_free") & (F.col("_p") - F.col("size") / 2 <= F.abs("_lack")), F.signum("_lack")).otherwise(0.0)
     copies = (F.col("_copies") + change).cast("long")
-    return mended.select("doc_id", "source", "size", "source_size", "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return mended.select("doc_id", "text_hash", "source", "size", "source_size", "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def repeated(documents: DataFrame, **kwargs) -> DataFrame:
     """*documents* with each row as many times as the mix copies it (rows with size 0 stay out).
 
-    Rows that repeat an id are taken as one document each time by the copies of all of them together.
+    Rows alike in id and text are taken each time by the mean of the copies of all of them.
     """
-    copies = mix(documents, **kwargs).groupBy(F.col("doc_id").alias("_id")).agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
-    rows = documents.select(F.col("doc_id").alias("_id"), F.struct("*").alias("_row"))
-    joined = rows.join(copies.filter("_copies > 0"), rows["_id"].eqNullSafe(copies["_id"]))
+    copies = mix(documents, **kwargs).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_t")).agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"), F.struct("*").alias("_row"))
+    joined = rows.join(copies.filter("_copies > 0"), rows["_id"].eqNullSafe(copies["_id"]) & (rows["_t"] == copies["_t"]))
     return joined.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select("_row.*")

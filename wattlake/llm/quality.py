@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from wattlake.llm.common import Shared, labelled_sample
 
-#: Expected labelled rows of each class that the network is fitted on, and the characters of each.
-PER_CLASS, EXCERPT = 500, 1500
+#: Most labelled rows of each class that the network is fitted on, and most characters of them together; whole texts.
+PER_CLASS, MOST_CHARS = 300, 2_000_000
 #: Bytes of a chunk, of a filter, from one window to the next; learned numbers a byte, filters.
 CHUNK, WIDTH, STRIDE, EMBED, FILTERS = 1024, 8, 2, 5, 16
 #: The repeat channel: a byte is marked if the six bytes up to it also stood this many bytes before, or fewer.
@@ -151,9 +151,9 @@ def scores(texts: list[str | None], net: Network) -> np.ndarray:
     return out
 
 
-def learn(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, excerpt: int = EXCERPT) -> Network:
-    """Fit on about *per_class* rows of each class of ``labels.quality`` outside the held-out fold."""
-    return fit_network(labelled_sample(documents, labels, "quality", per_class, excerpt))
+def learn(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS) -> Network:
+    """Fit on at most *per_class* whole texts of each class of ``labels.quality`` outside the held-out fold."""
+    return fit_network(labelled_sample(documents, labels, "quality", per_class, most_chars))
 
 
 def scorer(spark: SparkSession, net: Network):

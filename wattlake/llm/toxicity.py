@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from wattlake.llm.common import Shared, labelled_sample
 
-#: Expected labelled rows of each class that weights are learned from, and the characters of each.
-PER_CLASS, EXCERPT = 2500, 6000
+#: Most labelled rows of each class that weights are learned from, and most characters of them together; whole texts.
+PER_CLASS, MOST_CHARS = 2500, 16_000_000
 #: An entry of the lexicon needs this log-likelihood ratio and to be so many times commoner in toxic texts; prefixes of so many letters are entries.
 EVIDENCE, COMMONER, SHORTEST, LONGEST = 10.0, 4, 3, 14
 LIMIT = 0.7
@@ -235,9 +235,9 @@ def fit(samples: list[tuple[str, int]]) -> Grammar:
     return grammar
 
 
-def learn(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, excerpt: int = EXCERPT) -> Grammar:
-    """Fit on about *per_class* rows of each class of ``labels.toxic`` outside the held-out fold."""
-    return fit(labelled_sample(documents, labels, "toxic", per_class, excerpt))
+def learn(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS) -> Grammar:
+    """Fit on at most *per_class* whole texts of each class of ``labels.toxic`` outside the held-out fold."""
+    return fit(labelled_sample(documents, labels, "toxic", per_class, most_chars))
 
 
 def score(documents: DataFrame, grammar: Grammar, text_col: str = "text", out_col: str = "_tox") -> DataFrame:
