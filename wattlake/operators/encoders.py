@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.scalars import cyclical, min_max, sane
@@ -27,13 +29,14 @@ def index_sizes(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*[(F.max(c) + 1).cast("bigint").alias(c) for c in columns])
 
 
+def within(sizes: dict[str, int]) -> Column:
+    """Whether every index of a row is there, not negative and below its size."""
+    return reduce(Column.__and__, [F.coalesce(F.col(c).between(0, n - 1), F.lit(False)) for c, n in sizes.items()], F.lit(True))
+
+
 def out_of_bounds(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
     """One row: rows whose index isn't below its size, and rows that are wholly valid."""
-    bad = {c: (F.col(c) >= n) | (F.col(c) < 0) | F.col(c).isNull() for c, n in sizes.items()}
-    any_bad = F.lit(False)
-    for b in bad.values():
-        any_bad = any_bad | b
-    return df.agg(*[F.count_if(b).alias(f"{c}_out") for c, b in bad.items()], F.count_if(~any_bad).alias("n_valid"))
+    return df.agg(*[F.count_if(~within({c: n})).alias(f"{c}_out") for c, n in sizes.items()], F.count_if(within(sizes)).alias("n_valid"))
 
 
 def one_hot(df: DataFrame, columns: dict[str, list[str]]) -> DataFrame:

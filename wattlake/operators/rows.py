@@ -104,3 +104,8 @@ def judged(df: DataFrame, ranges: tuple = RANGES) -> DataFrame:
 
 def segmented(df: DataFrame, c: str, unknown: str = "DESCONHECIDO") -> DataFrame:
     return df.withColumn(c, label_or(c, unknown))
+
+
+def small_table(df: DataFrame) -> DataFrame:
+    """A table of a few rows a column or segment, in one file when written."""
+    return df.coalesce(1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from wattlake.functions import dates, machines, scalars
 from wattlake.operators import associations, consolidate, encoders, geo, hourly, lags, metrics, outliers, profile, quantiles, rows, sampling
-from wattlake.plans import enrich, training, views
-from wattlake.plans.views import PAYLOAD, POINTS, TELEMETRY, table, telemetry
+from wattlake.plans import enrich, features, training, views
+from wattlake.plans.views import OBSERVED, PAYLOAD, POINTS, TELEMETRY, table, telemetry
+from wattlake.session import shared_folder
 from wattlake.sources import tables, weather
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -400,6 +402,69 @@ def matrix_inspection(spark, sf_dir):
     return profile.inspected(table(spark, sf_dir, "lineitem"), ["l_discount", "l_quantity"])
 
 
+# features -----------------------------------------------------------------------------------
+
+_KINDS = ["DESCONHECIDO", "SPLIT HI-WALL", "SPLIT PISO-TETO", "SPLITÃO", "SPLITÃO SELF CONTAINED"]
+_TIMES = ["Madrugada", "Manhã", "Noite", "Tarde"]
+_NEW_YEAR = "DATE '2024-01-01'"  # the only holiday within the events; 31 December, an eve, is before them
+_TRAINED = "event_id % 4 <> 0"
+_READY = f"""{OBSERVED}, rd AS (SELECT *, CAST(month(data) AS INTEGER) AS mes, 1 AS trimestre, CAST(data = {_NEW_YEAR} AS INTEGER) AS is_feriado, CAST(data = DATE '2023-12-31' AS INTEGER) AS is_vespera_feriado, CAST(isodow(data) <= 5 AND data <> {_NEW_YEAR} AS INTEGER) AS is_dia_util,
+CASE WHEN hora <= 6 THEN 'Madrugada' WHEN hora <= 11 THEN 'Manhã' WHEN hora <= 18 THEN 'Tarde' ELSE 'Noite' END AS periodo_dia, CASE WHEN hora <= 6 THEN 0 WHEN hora <= 11 THEN 1 WHEN hora <= 18 THEN 2 ELSE 3 END AS periodo_id,
+CASE trim(machine_type) WHEN 'splitao' THEN 'SPLITÃO' WHEN 'Split-Wall' THEN 'SPLIT HI-WALL' WHEN 'self' THEN 'SPLITÃO SELF CONTAINED' WHEN 'piso-teto' THEN 'SPLIT PISO-TETO' ELSE 'DESCONHECIDO' END AS tipo_maquina FROM obs),
+full_rows AS (SELECT * FROM rd WHERE {' AND '.join(f'"{c}" IS NOT NULL' for c in features.MEASURED)}),
+tr AS (SELECT * FROM full_rows WHERE {_TRAINED})"""
+_LEARNED = f"""{_READY}, gm AS (SELECT avg(consumo_kwh) AS g FROM tr), te AS (SELECT hora, (count(*) * avg(consumo_kwh) + 10 * any_value(g)) / (count(*) + 10) AS enc FROM tr, gm GROUP BY 1), te2 AS (SELECT mes, (count(*) * avg(consumo_kwh) + 10 * any_value(g)) / (count(*) + 10) AS enc2 FROM tr, gm GROUP BY 1),
+ix AS (SELECT grupo_regional, CAST(row_number() OVER (ORDER BY CAST(grupo_regional AS VARCHAR)) - 1 AS INTEGER) AS gi FROM (SELECT DISTINCT grupo_regional FROM tr)),
+""" + ", ".join(f"""l{i} AS (SELECT q1 - 1.5 * (q3 - q1) AS a{i}, q3 + 1.5 * (q3 - q1) AS b{i} FROM (SELECT {_rank('0.15')} AS q1, {_rank('0.85')} AS q3 FROM (SELECT "{c}" AS v, row_number() OVER (ORDER BY "{c}") AS rk, count(*) OVER () AS n FROM tr)))""" for i, c in enumerate(features.MEASURED)) + """, lim AS (SELECT * FROM """ + ", ".join(f"l{i}" for i in range(len(features.MEASURED))) + ")"
+_SCALED = ", ".join(f'round(((least(greatest("{c}", a{i}), b{i}) - a{i}) / (b{i} - a{i}))::FLOAT::DOUBLE, 5) AS "{c}"' for i, c in enumerate(features.MEASURED))
+_DUMMIES = ", ".join(f"CAST({c} = '{v}' AS INTEGER) AS \"{c}_{v}\"" for c, values in (("tipo_maquina", _KINDS), ("estacao", ["verao"]), ("periodo_dia", _TIMES)) for v in values)
+_MATRIX = f"""SELECT event_id, gi AS grupo_regional, {_SCALED}, trimestre, is_feriado, is_vespera_feriado, is_dia_util, {_DUMMIES}, round(coalesce(enc, g)::FLOAT::DOUBLE, 5) AS hora_target_enc, round(coalesce(enc2, g)::FLOAT::DOUBLE, 5) AS mes_target_enc"""
+
+
+def _plain(df):
+    """Floats of a feature table as whole numbers, or rounded doubles."""
+    whole = ("grupo_regional", *features.CALENDAR)
+    kind = lambda c: F.col(f"`{c}`").cast("int") if c in whole or c.startswith(("tipo_maquina_", "estacao_", "periodo_dia_")) else F.round(F.col(f"`{c}`").cast("double"), 5)
+    return df.select("event_id", *[kind(c).alias(c) for c in df.columns if c != "event_id"])
+
+
+def _reloaded(spark, sf_dir):
+    """What is fitted on the training rows, written to the shared folder and read again."""
+    path = f"{shared_folder(spark)}/features-{uuid.uuid4().hex}"
+    features.save(features.fit(views.observations(spark, sf_dir).filter("event_id % 4 <> 0")), path)
+    return features.load(spark, path)
+
+
+@query(f"WITH {_READY} SELECT event_id, grupo_regional, hora, mes, trimestre, is_feriado, is_vespera_feriado, is_dia_util, {_DUMMIES} FROM full_rows")
+def feature_build(spark, sf_dir):
+    return features.built(views.observations(spark, sf_dir)).drop("consumo_kwh", *features.MEASURED)
+
+
+@query(f"WITH {_LEARNED} {_MATRIX} FROM tr LEFT JOIN te USING (hora) LEFT JOIN te2 USING (mes) LEFT JOIN ix USING (grupo_regional), gm, lim")
+def training_matrix(spark, sf_dir):
+    df = views.observations(spark, sf_dir).filter("event_id % 4 <> 0")
+    fitted = features.fit(df)
+    return _plain(features.apply(features.prepared(df, fitted.settings), fitted, ["event_id"]))
+
+
+@query(f"""WITH {_LEARNED}, sc AS (SELECT * FROM full_rows WHERE NOT ({_TRAINED})) {_MATRIX} FROM sc LEFT JOIN te USING (hora) LEFT JOIN te2 USING (mes) LEFT JOIN ix USING (grupo_regional), gm, lim""")
+def inference_features(spark, sf_dir):
+    df = views.observations(spark, sf_dir).filter("event_id % 4 = 0 and Temperatura_C is not null").drop("consumo_kwh", "estacao").withColumnRenamed("machine_type", "tipo_maquina")
+    return _plain(features.scored(df, _reloaded(spark, sf_dir), keys=["event_id"]))
+
+
+@query(f"""WITH {_LEARNED}, sc AS (SELECT * FROM full_rows WHERE NOT ({_TRAINED})) SELECT event_id, CAST(hora AS INTEGER) AS hora, mes, grupo_regional, periodo_id AS periodo_dia, round(least(greatest("Temperatura_C", a0), b0) - a0, 3) AS first_offset,
+CAST(is_dia_util AS INTEGER) AS is_dia_util, CAST({len(features.MEASURED) + 4 + len(_KINDS) + 1} AS INTEGER) AS n_dense, hora < 22 AND grupo_regional < 4 AS valid FROM sc, lim""")
+def dense_inputs(spark, sf_dir):
+    df = views.observations(spark, sf_dir).filter("event_id % 4 = 0 and Temperatura_C is not null").drop("consumo_kwh", "estacao")
+    fitted = _reloaded(spark, sf_dir)
+    made = features.dense_inputs(df, fitted, {"hora": 22, "mes": 13, "grupo_regional": 4, "periodo_dia": 4}, keys=["event_id"])
+    # the fitted limits give the first measure back its unit, so that rounding is of numbers of one size
+    wide = fitted.limits.filter("column = 'Temperatura_C'").select((F.col("upper") - F.col("lower")).alias("wide"))
+    flag = len(features.MEASURED) + features.CALENDAR.index("is_dia_util")
+    return made.crossJoin(F.broadcast(wide)).select("event_id", *features.INDEXED, F.round(made["dense"][0].cast("double") * F.col("wide"), 3).alias("first_offset"), made["dense"][flag].cast("int").alias("is_dia_util"), F.size("dense").alias("n_dense"), "valid")
+
+
 # geography ----------------------------------------------------------------------------------
 
 _KM = "2 * 6371.0::DOUBLE * asin(least(sqrt(pow(sin(radians(b.latitude - a.latitude) / 2), 2) + cos(radians(a.latitude)) * cos(radians(b.latitude)) * pow(sin(radians(b.longitude - a.longitude) / 2), 2)), 1.0))"
@@ -415,6 +480,13 @@ def geographic_clusters(spark, sf_dir):
     return geo.clusters(views.points(spark, sf_dir), 250.0, 2).drop("is_core")
 
 
+@query(f"WITH RECURSIVE {_GROUPS} SELECT latitude, longitude, grupo_regional FROM grp")
+def mapping_export(spark, sf_dir):
+    path = f"{shared_folder(spark)}/groups-{uuid.uuid4().hex}"
+    geo.save_mapping(geo.clusters(views.points(spark, sf_dir), 250.0, 2), path)
+    return geo.load_mapping(spark, path)
+
+
 @query(f"WITH {POINTS} SELECT a.latitude AS lat_a, a.longitude AS lon_a, b.latitude AS lat_b, b.longitude AS lon_b, round({_KM}, 6) AS km FROM pts a JOIN pts b ON (a.latitude <> b.latitude OR a.longitude <> b.longitude) AND {_KM} <= 150")
 def radius_neighbours(spark, sf_dir):
     return geo.neighbours(geo.coordinates(views.points(spark, sf_dir)), 150.0).withColumn("km", F.round("km", 6))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattlake.sources.weather import MEASURES
+
 TYPES = {"click": "splitao", "view": "Split-Wall", "purchase": "self", "signup": "piso-teto"}
 
 TELEMETRY = """tel AS (SELECT event_id, 'D' || lpad(CAST(user_id % 7 AS VARCHAR), 7, '0') || lpad(CAST(user_id AS VARCHAR), 4, '0') AS device_id,
@@ -46,3 +48,17 @@ def run_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct(e.alias("i"), part.alias("p"))))
     grouped = table(spark, sf_dir, "events").groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(F.array_join(ordered["p"], ",").alias("parts"))
     return grouped.select(F.concat(F.lit("DAC"), F.col("user_id").cast("string")).alias("dev_id"), "day", F.concat(F.lit('{"Curr":"'), F.col("parts"), F.lit('"}')).alias("charts_detailed"))
+
+
+_MEASURES = [*MEASURES.values(), "consumo_lag_1h", "consumo_lag_24h", "consumo_rolling_mean_3h"]
+#: Enriched rows: the telemetry with made-up measures (the first of which lacks in some rows), season and group.
+OBSERVED = TELEMETRY + ", obs AS (SELECT event_id, hora, data, consumo_kwh, machine_type, 'verao' AS estacao, CAST(unit_id % 5 AS INTEGER) AS grupo_regional, " + ", ".join(
+    ("CASE WHEN event_id % 41 <> 0 THEN " if not i else "") + f"consumo_kwh * {i + 2} / 16 + CAST(event_id * {7919 + i} % 1000 AS DOUBLE) / 8" + (" END" if not i else "") + f' AS "{m}"' for i, m in enumerate(_MEASURES)
+) + " FROM tel)"
+
+
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = [F.col("consumo_kwh") * (i + 2) / 16 + (F.col("event_id") * (7919 + i) % 1000).cast("double") / 8 for i in range(len(_MEASURES))]
+    made[0] = F.when(F.col("event_id") % 41 != 0, made[0])
+    group = (F.col("unit_id") % 5).cast("int").alias("grupo_regional")
+    return telemetry(spark, sf_dir).select("event_id", "hora", "data", "consumo_kwh", "machine_type", F.lit("verao").alias("estacao"), group, *[c.alias(m) for c, m in zip(made, _MEASURES, strict=True)])

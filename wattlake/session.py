@@ -23,15 +23,25 @@ def builder(name: str = "wattlake"):
     return b
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """*df*, computed once and kept in the folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``.
 
     Where that is unset: on one machine (tests) a temporary folder, on a cluster an error.
     """
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[[^-]*\])?", context.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """*df*, computed once and kept in the shared folder."""
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if not folder and not re.fullmatch(r"local(\[[^-]*\])?", context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
