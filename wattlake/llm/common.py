@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import pickle
-import re
 import sys
-import tempfile
 import types
 import uuid
 from collections.abc import Iterator
@@ -14,6 +12,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wattlake.session import shared_folder
+
 #: Classes (labels, languages) that a model can be fitted on.
 MOST_CLASSES = 200
 #: Steps of the hash by which rows are chosen.
@@ -24,18 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; on one machine (tests) a temporary one where it is unset, on a cluster an error."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="spark-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
 def stash(df: DataFrame) -> DataFrame:
     """Write *df* once to the shared folder and read it back.
 
@@ -43,7 +31,7 @@ def stash(df: DataFrame) -> DataFrame:
     the folder all executors share, so a lost executor costs only the tasks it was running.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/stash-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/stash-{uuid.uuid4().hex}"
     df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     kept._stashed_at = path
