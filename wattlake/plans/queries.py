@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions import dates, machines, scalars
@@ -99,9 +99,12 @@ def _gate(r):
     return r["avail"].filter("disponibility >= 75").select("device_code", "record_date").distinct()
 
 
+def _direct_hours(r):
+    return r["tel"].filter("event_id % 3 <> 0 and right(device_id, 1) <> '7'").groupBy("device_id", "data", "hora").agg(F.round(F.sum("consumo_kwh"), 6).alias("consumo_kwh"))
+
+
 def _direct(r):
-    hours = r["tel"].filter("event_id % 3 <> 0 and right(device_id, 1) <> '7'").groupBy("device_id", "data", "hora").agg(F.round(F.sum("consumo_kwh"), 6).alias("consumo_kwh"))
-    return consolidate.direct(hours, r["devices"], _gate(r), r["places"])
+    return consolidate.direct(_direct_hours(r), r["devices"], _gate(r), r["places"])
 
 
 def _indirect(r):
@@ -114,6 +117,14 @@ def consolidate_direct(spark, sf_dir):
     return _direct(roles(spark, sf_dir))
 
 
+# availability repeats on some days: an inner gate repeats consumption as often, a semi gate doesn't
+@query(f"WITH {_ROLES}, {_DEVICES}, {_DIRECT.replace('JOIN gate g', 'JOIN gate2 g')} SELECT * FROM dir".replace("gate AS (SELECT DISTINCT", "gate2 AS (SELECT device_code, record_date FROM avail, generate_series(0, CAST(day(record_date) % 2 AS INTEGER)) WHERE disponibility >= 75), gate AS (SELECT DISTINCT"))
+def consolidate_direct_repeated(spark, sf_dir):
+    r = roles(spark, sf_dir)
+    twice = _gate(r).withColumn("_n", F.explode(F.sequence(F.lit(0), F.day("record_date") % 2))).drop("_n")
+    return consolidate.direct(_direct_hours(r), r["devices"], twice, r["places"], once=False)
+
+
 @query(f"WITH {_ROLES}, {_DEVICES}, {_INDIRECT} SELECT * FROM ind")
 def consolidate_indirect(spark, sf_dir):
     return _indirect(roles(spark, sf_dir))
@@ -161,6 +172,29 @@ def device_places(spark, sf_dir):
     return associations.union_distinct(pick(bought, "C", "c_custkey"), pick(sold, "S", "s_suppkey"))
 
 
+_TABLES = """dev AS (SELECT c_custkey AS "ID", 'D' || c_custkey AS "DEVICE_CODE" FROM customer), dut AS (SELECT c_custkey * 2 AS "ID", c_custkey AS "DEVICE_ID" FROM customer WHERE c_custkey % 3 <> 0), aut AS (SELECT DISTINCT o_custkey * 2 AS d, o_orderkey % 97 AS m FROM orders),
+dac AS (SELECT c_custkey * 5 AS "ID", c_custkey AS "DEVICE_ID" FROM customer WHERE c_custkey % 3 <> 1), dc AS (SELECT DISTINCT o_custkey * 5 AS d, o_orderkey % 53 AS c FROM orders), cond AS (SELECT p_partkey AS "ID", p_partkey % 97 AS m FROM part WHERE p_partkey <= 53),
+mach AS (SELECT p_partkey AS m, p_type AS "TYPE", p_size % 25 AS u FROM part WHERE p_partkey < 97), unit AS (SELECT n_nationkey AS u, CASE WHEN n_nationkey % 4 <> 0 THEN CAST(n_nationkey * -1.5 AS DOUBLE) END AS lat, CAST(n_nationkey * 2.5 AS DOUBLE) AS lon FROM nation)"""
+
+
+@query(f"""WITH {_TABLES}, p AS (SELECT "DEVICE_CODE" AS device_code, m FROM dev JOIN dut ON dut."DEVICE_ID" = dev."ID" JOIN aut ON aut.d = dut."ID" UNION ALL SELECT "DEVICE_CODE", cond.m FROM dev JOIN dac ON dac."DEVICE_ID" = dev."ID" JOIN dc ON dc.d = dac."ID" JOIN cond ON cond."ID" = dc.c)
+SELECT DISTINCT device_code, "TYPE" AS machine_type, lat AS latitude, lon AS longitude FROM p JOIN mach USING (m) JOIN unit USING (u) WHERE lat IS NOT NULL""")
+def places_of_devices(spark, sf_dir):
+    c, o, p = (table(spark, sf_dir, n) for n in ("customer", "orders", "part"))
+    key, order, part = F.col("c_custkey"), F.col("o_orderkey"), F.col("p_partkey")
+    unit = F.col("n_nationkey")
+    return associations.device_places({
+        "DEVICES": c.select(key.alias("ID"), F.concat(F.lit("D"), key.cast("string")).alias("DEVICE_CODE")),
+        "DUTS_DEVICES": c.filter(key % 3 != 0).select((key * 2).alias("ID"), key.alias("DEVICE_ID")),
+        "DUTS_AUTOMATION": o.select((F.col("o_custkey") * 2).alias("DUT_DEVICE_ID"), (order % 97).alias("MACHINE_ID")),
+        "DACS_DEVICES": c.filter(key % 3 != 1).select((key * 5).alias("ID"), key.alias("DEVICE_ID")),
+        "DACS_CONDENSERS": o.select((F.col("o_custkey") * 5).alias("DAC_DEVICE_ID"), (order % 53).alias("CONDENSER_ID")),
+        "CONDENSERS": p.filter(part <= 53).select(part.alias("ID"), (part % 97).alias("MACHINE_ID")),
+        "MACHINES": p.filter(part < 97).select(part.alias("ID"), F.col("p_type").alias("TYPE"), (F.col("p_size") % 25).alias("UNIT_ID")),
+        "CLUNITS": table(spark, sf_dir, "nation").select(unit.alias("UNIT_ID"), F.when(unit % 4 != 0, unit * -1.5).cast("double").alias("LAT"), (unit * 2.5).cast("double").alias("LON")),
+    })
+
+
 _SIX = " UNION ALL ".join(f"SELECT '{kind}' || {key} AS device_code, n_nationkey AS unit_id, n_name AS unit_name FROM {t} JOIN nation ON n_nationkey = {nat} WHERE {key} % 3 = {k}" for k in range(3) for kind, t, key, nat in (("C", "customer", "c_custkey", "c_nationkey"), ("S", "supplier", "s_suppkey", "s_nationkey")))
 
 
@@ -261,6 +295,37 @@ def scalar_functions(spark, sf_dir):
     )
 
 
+@query(f"""WITH {TELEMETRY} SELECT event_id, upper(replace(replace(machine_type, '-', ' '), '_', ' ')) AS override_key, data + to_hours(CAST(hora AS INTEGER)) AS stamp, lag(data + to_hours(CAST(hora AS INTEGER))) OVER o + INTERVAL 1 HOUR = data + to_hours(CAST(hora AS INTEGER)) AS follows FROM tel WINDOW o AS (PARTITION BY unit_id ORDER BY ts, event_id)""")
+def hours_and_keys(spark, sf_dir):
+    stamp = scalars.hour_stamp("data", "hora")
+    before = F.lag("stamp").over(Window.partitionBy("unit_id").orderBy("ts", "event_id"))
+    t = telemetry(spark, sf_dir).withColumn("stamp", stamp)
+    return t.select("event_id", scalars.override_key("machine_type").alias("override_key"), "stamp", (F.timestamp_add("HOUR", F.lit(1), before) == F.col("stamp")).alias("follows"))
+
+
+@query("""SELECT kind, CAST(sum(v) AS DOUBLE) AS total, count(*) AS n FROM (SELECT 'number' AS kind, CAST(o_custkey AS DOUBLE) AS v FROM orders UNION ALL SELECT 'number', o_totalprice FROM orders UNION ALL SELECT 'text', length(o_orderstatus) FROM orders UNION ALL SELECT 'text', length(o_orderpriority) FROM orders) GROUP BY 1""")
+def columns_by_type(spark, sf_dir):
+    """The numeric columns of a table summed, the text columns by their lengths, each chosen by type."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    chosen = {"number": [F.col(c).cast("double") for c in rows.numeric_columns(o)], "text": [F.length(c).cast("double") for c in rows.text_columns(o)]}
+    one = o.select(F.explode(F.concat(*[F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("v")) for v in values]) for k, values in chosen.items()])).alias("_r")).select("_r.*")
+    return one.groupBy("kind").agg(F.sum("v").alias("total"), F.count("*").alias("n"))
+
+
+@query(f"WITH {TELEMETRY} SELECT event_id, machine_type, CAST(hora AS INTEGER) AS hora FROM tel")
+def routed_names(spark, sf_dir):
+    """A variant of a column's name is routed to the wanted one; where that is there already, nothing changes."""
+    t = telemetry(spark, sf_dir).select("event_id", F.col("machine_type").alias("tipo_maquina"), F.col("hora").cast("int").alias("hora"))
+    return rows.named(rows.named(t, {"tipo_maquina": "machine_type"}), {"hora": "machine_type"})
+
+
+@query("SELECT c_custkey AS k, CAST(c_nationkey AS DOUBLE) AS v FROM customer UNION ALL SELECT s_suppkey, s_acctbal FROM supplier")
+def relaxed_union(spark, sf_dir):
+    """Columns of unlike types meet in their common supertype; names decide, not places."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("k"), F.col("c_nationkey").alias("v"))
+    return associations.union_all(c, table(spark, sf_dir, "supplier").select(F.col("s_acctbal").alias("v"), F.col("s_suppkey").cast("bigint").alias("k")))
+
+
 # outliers -----------------------------------------------------------------------------------
 
 def _rank(q: str) -> str:
@@ -512,31 +577,33 @@ def nearest_group(spark, sf_dir):
 
 # weather ------------------------------------------------------------------------------------
 
-_HOURS = "SELECT r_regionkey, CAST(h AS BIGINT) AS hora, r_regionkey * 10 + h / 2.0 AS t FROM region, generate_series(0, 23) g(h)"
+_KEYS = "SELECT DISTINCT unit_id % 7 AS k, data FROM tel WHERE (unit_id % 7 + day(data)) % 3 <> 0"
+_WEATHER = f"""{TELEMETRY}, wx AS (SELECT CAST(k * -1.5 AS DOUBLE) AS latitude, CAST(k * -2.5 AS DOUBLE) AS longitude, data, strftime(data, '%Y-%m-%d') AS data_str, CAST(h AS BIGINT) AS hora, k * 10 + day(data) + h / 2.0 AS t FROM ({_KEYS}), generate_series(0, 23) g(h))"""
+_MEASURES = ", ".join(f'CAST(t + {i} AS DOUBLE) AS "{n}"' for i, n in enumerate(weather.MEASURES.values()))
 
 
 def _responses(spark, sf_dir):
-    """A response for each region: the events of a day by hour as its measures."""
+    """A response for two thirds of the places and days of the telemetry: made-up measures by the hour."""
+    keys = telemetry(spark, sf_dir).select((F.col("unit_id") % 7).alias("k"), "data").distinct().filter((F.col("k") + F.day("data")) % 3 != 0)
     hours = F.sequence(F.lit(0), F.lit(23))
-    time = F.transform(hours, lambda h: F.concat(F.lit("2024-01-"), F.lpad((F.col("r_regionkey") + 1).cast("string"), 2, "0"), F.lit("T"), F.lpad(h.cast("string"), 2, "0"), F.lit(":00")))
-    base = F.transform(hours, lambda h: F.col("r_regionkey") * 10 + h / 2.0)
-    more = lambda k: F.transform(base, lambda t: t + F.lit(float(k)))
+    time = F.transform(hours, lambda h: F.concat(F.date_format("data", "yyyy-MM-dd"), F.lit("T"), F.lpad(h.cast("string"), 2, "0"), F.lit(":00")))
+    more = lambda i: F.transform(hours, lambda h: F.col("k") * 10 + F.day("data") + h / 2.0 + F.lit(float(i)))
     measures = {m: more(i) for i, m in enumerate(weather.MEASURES)}
     body = F.to_json(F.struct(F.struct(time.alias("time"), *[v.alias(m) for m, v in measures.items()]).alias("hourly")))
-    return table(spark, sf_dir, "region").select((F.col("r_regionkey") * -1.5 + 0.0).alias("latitude"), (F.col("r_regionkey") * -2.5 + 0.0).alias("longitude"), body.alias("body"))
+    return keys.select((F.col("k") * -1.5 + 0.0).alias("latitude"), (F.col("k") * -2.5 + 0.0).alias("longitude"), body.alias("body"))
 
 
-@query(f"SELECT CAST(r_regionkey * -1.5 AS DOUBLE) AS latitude, CAST(r_regionkey * -2.5 AS DOUBLE) AS longitude, '2024-01-' || lpad(CAST(r_regionkey + 1 AS VARCHAR), 2, '0') AS data_str, hora, {', '.join(f'CAST(t + {i} AS DOUBLE) AS "{n}"' for i, n in enumerate(weather.MEASURES.values()))} FROM ({_HOURS})")
+@query(f"WITH {_WEATHER} SELECT latitude, longitude, data_str, hora, {_MEASURES} FROM wx")
 def weather_hours(spark, sf_dir):
     return weather.parse_responses(_responses(spark, sf_dir))
 
 
-_HERE = f"{TELEMETRY}, here AS (SELECT event_id, data, hora, CAST(unit_id % 7 * -1.5 AS DOUBLE) AS latitude, CAST(unit_id % 7 * -2.5 AS DOUBLE) AS longitude FROM tel), wx AS (SELECT CAST(r_regionkey * -1.5 AS DOUBLE) AS latitude, CAST(r_regionkey * -2.5 AS DOUBLE) AS longitude, DATE '2024-01-01' + CAST(r_regionkey AS INTEGER) AS data, hora, t FROM ({_HOURS}))"
+_HERE = f"{_WEATHER}, here AS (SELECT event_id, data, hora, unit_id, consumo_kwh, CAST(unit_id % 7 * -1.5 AS DOUBLE) AS latitude, CAST(unit_id % 7 * -2.5 AS DOUBLE) AS longitude FROM tel)"
 
 
 def _here(spark, sf_dir):
     k = F.col("unit_id") % 7
-    return telemetry(spark, sf_dir).select("event_id", "data", "hora", (k * -1.5).alias("latitude"), (k * -2.5).alias("longitude"))
+    return telemetry(spark, sf_dir).select("event_id", "data", "hora", (k * -1.5 + 0.0).alias("latitude"), (k * -2.5 + 0.0).alias("longitude"))
 
 
 @query(f'WITH {_HERE} SELECT event_id, CAST(t AS DOUBLE) AS "Temperatura_C", CAST(t + 2 AS DOUBLE) AS "Umidade_Relativa_%" FROM here LEFT JOIN wx USING (latitude, longitude, data, hora)')
@@ -549,12 +616,27 @@ def weather_missing(spark, sf_dir):
     return enrich.weather_work(_here(spark, sf_dir), weather.parse_responses(_responses(spark, sf_dir)))
 
 
-@query("SELECT CAST(r_regionkey * -1.5 AS DOUBLE) AS latitude, CAST(r_regionkey * -2.5 AS DOUBLE) AS longitude, '2024-01-' || lpad(CAST(r_regionkey + 1 AS VARCHAR), 2, '0') AS data_str FROM region")
+@query(f"WITH {_WEATHER} SELECT DISTINCT latitude, longitude, data_str FROM wx")
 def weather_cached_keys(spark, sf_dir):
     hours = weather.parse_responses(_responses(spark, sf_dir))
     return weather.cached_keys(weather.extended(hours.filter("hora < 12"), hours))
 
 
+# places are farther apart than the radius: each is a group, numbered in order of coordinates
+_GROUP_HERE = "CAST(dense_rank() OVER (ORDER BY latitude, longitude) - 1 AS INTEGER) AS grupo_regional"
+
+
+@query(f'WITH {_HERE} SELECT event_id, CASE WHEN {_MD.replace("(d)", "(data)")} >= 1221 OR {_MD.replace("(d)", "(data)")} <= 320 THEN \'verao\' ELSE \'outono\' END AS estacao, {_GROUP_HERE}, CAST(t + 1 AS DOUBLE) AS "Temperatura_Percebida_C", CAST(t + 7 AS DOUBLE) AS "Irradiancia_Difusa_Wm2" FROM here LEFT JOIN wx USING (latitude, longitude, data, hora)')
+def enriched_rows(spark, sf_dir):
+    df = enrich.enriched(_here(spark, sf_dir), weather.parse_responses(_responses(spark, sf_dir)))
+    return df.select("event_id", "estacao", "grupo_regional", "Temperatura_Percebida_C", "Irradiancia_Difusa_Wm2")
+
+
+@query(f"WITH {_HERE} SELECT event_id, {_GROUP_HERE} FROM here")
+def groups_only(spark, sf_dir):
+    return enrich.with_groups(_here(spark, sf_dir), radius_km=5.0, min_samples=2).select("event_id", "grupo_regional")
+
+
 # profile ------------------------------------------------------------------------------------
 
 @query("SELECT p_type AS value, count(*) AS n, round(count(*) / (SELECT count(*) FROM part), 9) AS share FROM part GROUP BY 1")
