@@ -91,6 +91,39 @@ def test_outlier_overrides_are_bounded(spark):
     assert r["upper_quantile_cap_used"] is None and r["hi_qcap"] is None and r["hi"] == r["hi_iqr"] and r["manual_override"]
 
 
+@pytest.mark.parametrize("least", [1, 2, 4, 9])
+def test_clusters_are_those_of_all_pairs(spark, least):
+    """Dense places, chains, border points, the date line and a pole, against every pair in plain Python."""
+    rng = random.Random(least)
+    pts = [(rng.gauss(0, 0.1), rng.gauss(179.95, 0.1)) for _ in range(70)] + [(rng.uniform(-3, 3), rng.uniform(-3, 3)) for _ in range(120)] + [(10 + i * 0.2, 20.0) for i in range(12)]
+    pts += [(90 - rng.random() / 5, rng.uniform(-180, 180)) for _ in range(25)] + [(5 + 0.01 * i, 5.0) for i in range(6)] + [(5 + 0.3, 5.0), (5 + 0.41, 5.0)]
+    pts = sorted({(a, b - 360 if b > 180 else b) for a, b in pts})
+
+    def km(a, b):
+        p, q = math.radians(a[0]), math.radians(b[0])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return 2 * 6371 * math.asin(min(1, math.sqrt(h)))
+
+    near = {p: [q for q in pts if km(p, q) <= 40] for p in pts}
+    core = {p for p in pts if len(near[p]) >= least}
+    root = {}
+    for p in sorted(core):
+        todo = [p] if p not in root else []
+        while todo:
+            x = todo.pop()
+            if x not in root:
+                root[x] = p
+                todo += [q for q in near[x] if q in core]
+    for p in pts:
+        if p not in core and any(q in core for q in near[p]):
+            root[p] = min(root[q] for q in near[p] if q in core)
+    order = [(0, r) for r in sorted(set(root.values()))] + [(1, p) for p in pts if p not in root]
+    number = {r: i for i, (_, r) in enumerate(order)}
+    want = {p: (number[root.get(p, p)], p in core) for p in pts}
+    got = geo.clusters(spark.createDataFrame(pts, "latitude double, longitude double"), 40.0, least).collect()
+    assert {(r["latitude"], r["longitude"]): (r["grupo_regional"], r["is_core"]) for r in got} == want
+
+
 def test_nearest_group(spark):
     rng = random.Random(4)
     ref = [(rng.uniform(-90, 90), rng.uniform(-180, 180), i) for i in range(300)] + [(10 + rng.random() / 100, 179.99 + rng.random() / 50 - 0.01, 300 + i) for i in range(300)]
