@@ -824,7 +824,8 @@ def _examples(spark, sf_dir):
     return t.select(F.col("event_id").alias("row_key"), "tipo_maquina", h.alias("hora"), sine.alias("hora_sin"), cosine.alias("hora_cos"), (F.col("unit_id") * 1.0).alias("unidade"), scalars.number(scalars.json_scalar("props", "k")).alias("k"), "consumo_kwh").na.fill(0.0)
 
 
-_CONFIG = training.Config(features=["hora", "hora_sin", "hora_cos", "unidade", "k"])
+_FEATURES = ["hora", "hora_sin", "hora_cos", "unidade", "k"]
+_CONFIG = training.Config(features=_FEATURES, models=["linear", "tree", "forest", "gbt"], params={"forest": {"numTrees": 10, "maxDepth": 5}, "gbt": {"maxIter": 5, "maxDepth": 3}})
 
 
 @query()
@@ -834,19 +835,19 @@ def model_comparison(spark, sf_dir):
 
 @query()
 def segment_models(spark, sf_dir):
-    return training.fit_segments(_examples(spark, sf_dir), training.Config(features=_CONFIG.features, models=["linear"]))[1]
+    return training.fit_segments(_examples(spark, sf_dir), training.Config(features=_FEATURES, models=["linear", "tree"]))[1]
 
 
 @query()
 def segment_scores(spark, sf_dir):
-    config = training.Config(features=_CONFIG.features, models=["linear"])
+    config = training.Config(features=_FEATURES, models=["linear"])
     df = _examples(spark, sf_dir)
     return training.predict_segments(df, training.fit_segments(df, config)[0], config).select("row_key", "tipo_maquina", "prediction")
 
 
 @query()
 def whole_and_segment_scores(spark, sf_dir):
-    config = training.Config(features=_CONFIG.features, models=["linear"])
+    config = training.Config(features=_FEATURES, models=["linear"])
     df = _examples(spark, sf_dir)
     name = "SPLITÃO"
     return training.predict_both(df, training.fit(df, config, "linear"), training.fit(df.filter(F.col("tipo_maquina") == name), config, "linear"), name, config).select("row_key", "global_prediction", "segment_prediction")
@@ -855,5 +856,5 @@ def whole_and_segment_scores(spark, sf_dir):
 @query()
 def tuned_model(spark, sf_dir):
     df = _examples(spark, sf_dir)
-    model, params, error = training.tune(df, _CONFIG, "tree")
+    model, params, error = training.tune(df, training.Config(features=_FEATURES, draws=3), "tree")
     return model.transform(df).select("row_key", "prediction")

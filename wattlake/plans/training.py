@@ -5,10 +5,11 @@ from __future__ import annotations
 import itertools
 import random
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,17 +110,30 @@ def consolidated_report(report: DataFrame) -> DataFrame:
     return weighted(report.filter("rank = 1"), ["MAE", "RMSE", "MAPE", "WMAPE", "Acuracia"])
 
 
+def _linear_scores(rows: DataFrame, models: dict[str, PipelineModel], config: Config) -> DataFrame:
+    """Each row scored by its segment's linear model, from a table with a row of coefficients a segment: one look at the rows."""
+    table = [(name, float(m.stages[-1].intercept), [float(x) for x in m.stages[-1].coefficients.toArray()]) for name, m in models.items()]
+    weights = rows.sparkSession.createDataFrame(table, f"`{config.segment}` string, _at0 double, _by array<double>")
+    value = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in config.features]
+    score = sum((F.col("_by")[i] * v for i, v in enumerate(value)), F.lit(0.0)) + F.col("_at0")
+    return rows.join(weights, config.segment, "left").withColumn("prediction", score).drop("_at0", "_by")
+
+
 def predict_segments(df: DataFrame, models: dict[str, PipelineModel], config: Config) -> DataFrame:
-    """Each row scored by its segment's model; an unknown segment is an error.  Rows carry their key, not their order."""
+    """Each row scored by its segment's model; an unknown segment is an error.  Rows carry their key, not their order.
+
+    Linear models are a table that the rows are joined to, so one look at the rows serves all
+    their segments; each other model has a look of its own at the rows of its segment.
+    """
     rows = df.withColumn(config.segment, label_or(config.segment, UNKNOWN))
     unknown = rows.filter(~F.col(config.segment).isin(*models)).select(config.segment).distinct().limit(5).collect()
     if unknown:
         raise ValueError(f"no model for {[r[0] for r in unknown]}")
-    out = None
-    for name, model in models.items():
-        part = model.transform(rows.filter(F.col(config.segment) == name)).drop("_features")
-        out = part if out is None else out.unionByName(part)
-    return out
+    linear = {name: m for name, m in models.items() if isinstance(m.stages[-1], LinearRegressionModel)}
+    parts = [model.transform(rows.filter(F.col(config.segment) == name)).drop("_features") for name, model in models.items() if name not in linear]
+    if linear:
+        parts.append(_linear_scores(rows.filter(F.col(config.segment).isin(*linear)), linear, config))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def predict_both(df: DataFrame, whole: PipelineModel, segment: PipelineModel, name: str, config: Config) -> DataFrame:
@@ -129,10 +143,11 @@ def predict_both(df: DataFrame, whole: PipelineModel, segment: PipelineModel, na
     return scored.join(own, config.key, "left")
 
 
-def save(models: dict[str, PipelineModel], path: str) -> DataFrame:
-    """Writes each model under a safe name, and the manifest (segment, folder) as Parquet; returns the manifest."""
+def save(models: dict[str, PipelineModel], path: str, config: Config | None = None) -> DataFrame:
+    """Writes each model under a safe name, and the manifest (segment, folder, features, target) as Parquet; returns the manifest."""
     spark = SparkSession.active()
-    manifest = spark.createDataFrame([(n,) for n in sorted(models)], "segment string").withColumn("folder", safe_name("segment"))
+    names, target = (config.features, config.target) if config else (None, None)
+    manifest = spark.createDataFrame([(n, names, target) for n in sorted(models)], "segment string, features array<string>, target string").withColumn("folder", safe_name("segment"))
     for row in manifest.collect():
         models[row["segment"]].write().overwrite().save(f"{path}/{row['folder']}")
     manifest.write.mode("overwrite").parquet(f"{path}/manifest")
@@ -158,4 +173,3 @@ def checklist(df: DataFrame, expected: list[str], encodings: list[str]) -> DataF
     checks = [F.struct(F.lit("columns").alias("check"), F.lit(not lacking).alias("passed"), F.lit(",".join(lacking)).alias("detail")), F.struct(F.lit("rows").alias("check"), (F.col("n") > 0).alias("passed"), F.col("n").cast("string").alias("detail")), F.struct(F.lit("complete").alias("check"), (F.col("bad") == 0).alias("passed"), F.col("bad").cast("string").alias("detail"))]
     checks += [F.struct(F.lit(f"{e} positive").alias("check"), F.coalesce(F.col(e) > 0, F.lit(False)).alias("passed"), F.lit("").alias("detail")) for e in encodings]
     return one.select(F.explode(F.array(*checks)).alias("_c")).select("_c.*")
-
