@@ -59,7 +59,8 @@ def test_models(spark, tmp_path):
     assert scored.count() == 200 and abs(scored.filter("row_key = 5").first()["prediction"] - 11) < 0.01
     with pytest.raises(ValueError):
         training.predict_segments(df, models, config)
-    manifest = training.save(models, str(tmp_path / "m"))
+    manifest = training.save(models, str(tmp_path / "m"), config)
+    assert {tuple(r["features"]) for r in spark.read.parquet(str(tmp_path / "m" / "manifest")).collect()} == {("x",)}
     assert [r[0] for r in training.segments(manifest).collect()] == ["A", "b"] and set(training.load(spark, str(tmp_path / "m"))) == {"A", "b"}
     assert training.draws({"a": [1, 2], "b": [1, 2]}, 3, 1) == training.draws({"a": [1, 2], "b": [1, 2]}, 3, 1)
     checks = {r["check"]: r["passed"] for r in training.checklist(df, ["x", "nope"], ["x"]).collect()}

@@ -858,3 +858,40 @@ def tuned_model(spark, sf_dir):
     df = _examples(spark, sf_dir)
     model, params, error = training.tune(df, training.Config(features=_FEATURES, draws=3), "tree")
     return model.transform(df).select("row_key", "prediction")
+
+
+# linear models of one feature, which SQL can fit too
+
+_LINE_CONFIG = training.Config(features=["hora"], models=["linear"])
+_EXAMPLES = f"""{TELEMETRY}, ex AS (SELECT event_id AS row_key, CASE trim(machine_type) WHEN 'splitao' THEN 'SPLITÃO' WHEN 'Split-Wall' THEN 'SPLIT HI-WALL' WHEN 'self' THEN 'SPLITÃO SELF CONTAINED' WHEN 'piso-teto' THEN 'SPLIT PISO-TETO' ELSE 'DESCONHECIDO' END AS tipo_maquina,
+CAST(hora AS DOUBLE) AS hora, coalesce(consumo_kwh, 0.0) AS y, {_bucket("event_id")} < 1500 AS tested FROM tel),
+line AS (SELECT tipo_maquina, regr_slope(y, hora) AS b, regr_intercept(y, hora) AS a, count(*) AS n_train FROM ex WHERE NOT tested GROUP BY 1), pr AS (SELECT ex.*, a + b * hora AS p, n_train FROM ex JOIN line USING (tipo_maquina))"""
+
+
+@query(f"WITH {_EXAMPLES} SELECT row_key, tipo_maquina, round(p, 6) AS prediction FROM pr")
+def line_scores_by_segment(spark, sf_dir):
+    df = _examples(spark, sf_dir)
+    scored = training.predict_segments(df, training.fit_segments(df, _LINE_CONFIG)[0], _LINE_CONFIG)
+    return scored.select("row_key", "tipo_maquina", F.round("prediction", 6).alias("prediction"))
+
+
+@query(f"WITH {_EXAMPLES} SELECT tipo_maquina AS segment, 'linear' AS model, any_value(n_train) AS n_train, {_METRICS.replace('count(*) AS n,', 'count(*) AS n_test,')} FROM pr WHERE tested GROUP BY 1")
+def line_report_by_segment(spark, sf_dir):
+    report = training.fit_segments(_examples(spark, sf_dir), _LINE_CONFIG)[1]
+    return _rounded(report.filter("rank = 1")).select("segment", "model", F.col("n_train").cast("bigint").alias("n_train"), "n_test", *metrics.NAMES)
+
+
+@query(f"""WITH {_EXAMPLES}, r AS (SELECT CAST(count(*) AS BIGINT) AS n, avg(abs(p - y)) AS "MAE", avg(abs(p - y) / greatest(abs(y), 1e-8) * 100) AS "MAPE" FROM pr WHERE tested GROUP BY tipo_maquina)
+SELECT CAST(sum(n) AS BIGINT) AS n_test, round(sum("MAE" * n) / sum(n), 6) AS "MAE", round(sum("MAPE" * n) / sum(n), 6) AS "MAPE" FROM r""")
+def line_report_of_all(spark, sf_dir):
+    one = training.consolidated_report(training.fit_segments(_examples(spark, sf_dir), _LINE_CONFIG)[1])
+    return one.select("n_test", F.round("MAE", 6).alias("MAE"), F.round("MAPE", 6).alias("MAPE"))
+
+
+@query(f"""WITH {_EXAMPLES}, g AS (SELECT regr_slope(y, hora) AS gb, regr_intercept(y, hora) AS ga FROM ex), s AS (SELECT regr_slope(y, hora) AS sb, regr_intercept(y, hora) AS sa FROM ex WHERE tipo_maquina = 'SPLITÃO')
+SELECT row_key, round(ga + gb * hora, 6) AS global_prediction, CASE WHEN tipo_maquina = 'SPLITÃO' THEN round(sa + sb * hora, 6) END AS segment_prediction FROM ex, g, s""")
+def line_scores_of_both(spark, sf_dir):
+    df, name = _examples(spark, sf_dir), "SPLITÃO"
+    own = training.fit(df.filter(F.col("tipo_maquina") == name), _LINE_CONFIG, "linear")
+    both = training.predict_both(df, training.fit(df, _LINE_CONFIG, "linear"), own, name, _LINE_CONFIG)
+    return both.select("row_key", *[F.round(c, 6).alias(c) for c in ("global_prediction", "segment_prediction")])
