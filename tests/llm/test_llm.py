@@ -615,6 +615,21 @@ def test_embeddings_in_few_components(spark):
     assert [got[i] for i in range(600)] == list(zip(linked.sum(1).tolist(), smallest_reachable(list(range(600)), linked).tolist(), strict=True))
 
 
+def test_embeddings_with_few_strong_directions(spark):
+    """Vectors of 256 components whose spread falls off as those of learned embeddings does: no pair is missed, in 30 cells and more."""
+    rng = np.random.default_rng(17)
+    strength = 1 / np.arange(1, 257) ** 1.2
+    base = rng.normal(size=(120, 256)) * strength
+    x = base[rng.integers(0, 120, 900)] + rng.normal(size=(900, 256)) * strength * rng.choice([0.1, 0.3, 0.5], 900)[:, None]
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_components(df, per_cell=25).collect()}
+    m = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = m @ m.T >= 0.9
+    np.fill_diagonal(linked, False)
+    assert linked.sum() > 1000
+    assert [got[i] for i in range(900)] == list(zip(linked.sum(1).tolist(), smallest_reachable(list(range(900)), linked).tolist(), strict=True))
+
+
 # 9 simhash ------------------------------------------------------------------------------------
 
 
@@ -683,6 +698,16 @@ def test_near_copies_are_checked(spark):
     assert sorted(left) == sorted([rows[0][:2], again[2][:2], rows[2][:2]])
 
 
+def test_near_copies_of_documents_are_those_of_all_pairs(spark, documents):
+    """On the test table: of each group of texts linked by a similarity of 0.8 of their five-word shingles one stays."""
+    rows = sorted((r["doc_id"], (r["text"] or "").lower().split()) for r in documents.collect())
+    runs = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for _, w in rows]
+    linked = np.array([[len(a & b) >= 0.8 * len(a | b) for b in runs] for a in runs])
+    got = sorted(r["doc_id"] for r in simhash.keep_one_of_each(documents).collect())
+    want = sorted(set(smallest_reachable([i for i, _ in rows], linked).tolist()))
+    assert got == want and len(want) < len(rows)
+
+
 def test_short_texts_that_share_words_stay(spark):
     """Lines of five to eight words that share most of them are below a similarity of 0.8, but for case and space."""
     rng = random.Random(13)

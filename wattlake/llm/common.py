@@ -109,13 +109,15 @@ def lots(texts: list[str | None], most: int) -> Iterator[list[str | None]]:
 
 
 def of_worker(kind: str, key, make):
-    """What ``make()`` gave first for *key* in this Python worker process; one key of each *kind* is kept.
+    """What ``make()`` gave for *key* in this Python worker process, where that was the last thing asked for.
 
     Spark runs many tasks in one worker; what a task has learned (caches of fixed size) or
-    unpickled serves the next.  Results never depend on it.
+    unpickled serves the next of its stage, and goes when another stage needs something else.
+    Results never depend on it.
     """
     kept = sys.modules.setdefault("_wattlake_worker", types.ModuleType("_wattlake_worker")).__dict__.setdefault("kept", {})
     if kept.get(kind, (None, None))[0] != key:
+        kept.clear()
         kept[kind] = (key, make())
     return kept[kind][1]
 

@@ -70,8 +70,9 @@ def near_components(vectors: DataFrame, least: float = 0.9, per_cell: int = PER_
     Vectors link if their cosine in double precision is *least* or more; n_links counts the other
     rows linked directly, component_id is the smallest vec_id that links lead to, kept says that
     it is the row's own.  Vectors that are null, zero, or hold null or non-finite components link
-    with nothing.  Vectors of unequal length compare as if filled up with zeros.  Equal vectors
-    are compared once and counted by their number.  The cells are fitted on a bounded sample;
+    with nothing, nor do rows without a vec_id, which others' n_links don't count.  Vectors of
+    unequal length compare as if filled up with zeros.  Equal vectors are compared once and
+    counted by their number.  The cells are fitted on a bounded sample;
     every vector is placed, and each visits all the cells in which a partner may live, which gives
     every pair; a *reach* visits fewer and can miss some, see :func:`_visits`.
     Residents and guests of a cell meet in blocks of fixed size, however large it is; a task gives
