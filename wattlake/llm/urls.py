@@ -63,7 +63,7 @@ def judge(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     all_known = rows.agg(F.sum("_block"), F.sum("_known")).first()
     base = (all_known[0] or 0) / all_known[1] if all_known[1] else 0.0
     hosts = rows.groupBy("host").agg(_smoothed(F.sum("_block"), F.sum("_known"), F.lit(base)).alias("_node"))
-    active, done, level = rows.join(hosts, "host"), [], 0
+    active, done, level = rows.join(_anew(hosts, "host"), "host"), [], 0
     while True:
         deeper = F.size("_segments") > level
         if active.filter(deeper).limit(OWN_PAGES).count() < OWN_PAGES:  # too few for any branch
@@ -71,8 +71,9 @@ def judge(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
             done.append(active.withColumn("template", F.concat("template", tail)).withColumn("_shape", F.concat("_shape", tail)))
             break
         done.append(stash(active.filter(~deeper).drop("_segments")))
-        before, active = active, stash(_grown(active.filter(deeper), level))
-        forget(before)
+        scrap = [active]
+        active = stash(_grown(active.filter(deeper), level, scrap))
+        forget(*scrap)
         level += 1
     rows = reduce(DataFrame.unionByName, [d.drop("_segments") for d in done])
     # one row for each template of each host, from which the shapes are summed; joined to those before the pages are
@@ -86,22 +87,28 @@ def judge(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", decided.alias("verdict"), F.when(F.col("template") == "", "/").otherwise(F.col("template")).alias("template"), "purity")
 
 
+def _anew(df: DataFrame, *keys: str) -> DataFrame:
+    """*df* with keys that count as others: sums joined back to what they are sums of are dealt out again, so that the join can split a common key."""
+    return df.withColumns({k: F.concat(k, F.lit("")) if dict(df.dtypes)[k] == "string" else F.col(k).bitwiseXOR(F.lit(0)) for k in keys})
+
+
 def _smoothed(blocked: Column, known: Column, by: Column) -> Column:
     """The share of blocked pages, with WEIGHT pages more that are as *by* is."""
     return (blocked + WEIGHT * by) / (known + WEIGHT)
 
 
-def _grown(rows: DataFrame, level: int) -> DataFrame:
-    """*rows*, all of which have a segment at *level*, with ``template`` (merged) and ``_shape`` (unmerged) a segment longer, and the share of their new ``_node``."""
+def _grown(rows: DataFrame, level: int, scrap: list[DataFrame]) -> DataFrame:
+    """*rows*, all of which have a segment at *level*, with ``template`` (merged) and ``_shape`` (unmerged) a segment longer, and the share of their new ``_node``; *scrap* gets what was written on the way."""
     place = ["host", "template"]
     rows = rows.withColumn("_segment", F.get("_segments", F.lit(level)))
     counts = stash(rows.groupBy(*place, "_segment").agg(F.count("*").alias("c"), F.sum("_block").alias("b"), F.sum("_known").alias("k")))
+    scrap.append(counts)
     total = counts.agg(F.sum("c")).first()[0]
     # at most 1 / ALL_SHARE segments of a level are common over all hosts
     common = counts.groupBy("_segment").agg(F.sum("c").alias("c")).filter(F.col("c") >= max(OWN_PAGES, ALL_SHARE * total)).select("_segment", F.lit(True).alias("_common"))
     nodes = counts.groupBy(*place).agg(F.sum("c").alias("all"))
     own = (F.col("k") >= OWN_LABELLED) | ((F.col("c") >= OWN_PAGES) & (F.col("c") >= OWN_SHARE * F.col("all")))
-    kept = counts.join(F.broadcast(common), "_segment", "left").join(nodes, place).filter(F.col("_common").isNotNull() | own)
+    kept = counts.join(F.broadcast(common), "_segment", "left").join(_anew(nodes, *place), place).filter(F.col("_common").isNotNull() | own)
     kept = kept.withColumn("_share", F.try_divide("b", "k"))
     # shares with labels in their order, a row for each: a new branch begins where a share differs from the one before
     order = Window.partitionBy(*place).orderBy("_share")
@@ -111,17 +118,22 @@ def _grown(rows: DataFrame, level: int) -> DataFrame:
     new = F.coalesce(F.abs(F.col("_share") - F.lag("_share").over(order)) > ALIKE * error, F.lit(True)).cast("int")
     branch = F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))
     shares = shares.withColumn("_new", new).select(*place, "_share", branch.alias("_branch"))
-    labelled = kept.filter("k > 0").join(shares, [*place, "_share"]).select(*place, "_segment", "_branch")
-    hashed = F.xxhash64("_segment")
-    sizes = labelled.groupBy(*place, "_branch").agg(F.count("*").alias("_n"), F.min("_segment").alias("_first"), F.bit_xor(hashed).alias("_x"))
-    few = labelled.join(sizes.filter(F.col("_n") <= NAMED).select(*place, "_branch"), [*place, "_branch"])
+    labelled = kept.filter("k > 0").join(_anew(shares, *place), [*place, "_share"]).select(*place, "_segment", "_branch", "b", "k")
+    sums = [F.count("*").alias("_n"), F.min("_segment").alias("_first"), F.bit_xor(F.xxhash64("_segment")).alias("_x"), F.sum("b").alias("_b"), F.sum("k").alias("_k")]
+    sizes = labelled.groupBy(*place, "_branch").agg(*sums)
+    few = labelled.join(_anew(sizes.filter(F.col("_n") <= NAMED).select(*place, "_branch"), *place, "_branch"), [*place, "_branch"])
     listed = few.groupBy(*place, "_branch").agg(F.array_join(F.sort_array(F.collect_list("_segment")), "|").alias("_list"))
     long = F.concat("_first", F.lit("|+"), (F.col("_n") - 1).cast("string"), F.lit("#"), F.lower(F.hex("_x")))
-    names = sizes.join(listed, [*place, "_branch"], "left").select(*place, "_branch", F.coalesce("_list", long).alias("_name"))
-    branches = labelled.join(names, [*place, "_branch"]).select(*place, "_segment", "_name")
-    branches = branches.unionByName(kept.filter("k = 0").select(*place, "_segment", F.col("_segment").alias("_name")))
-    named = counts.join(branches, [*place, "_segment"], "left").select(*place, "_segment", "b", "k", F.coalesce("_name", F.lit("*")).alias("_name"), F.when(F.col("_name").isNull(), "*").otherwise(F.col("_segment")).alias("_kind"))
-    children = named.groupBy(*place, "_name").agg(F.sum("b").alias("_b"), F.sum("k").alias("_k"))
-    grown = rows.join(named.drop("b", "k").join(children, [*place, "_name"]), [*place, "_segment"])
+    names = sizes.join(listed, [*place, "_branch"], "left").select(*place, "_branch", F.coalesce("_list", long).alias("_name"), "_b", "_k")
+    branches = labelled.drop("b", "k").join(_anew(names, *place, "_branch"), [*place, "_branch"]).select(*place, "_segment", "_name", "_b", "_k")
+    branches = branches.unionByName(kept.filter("k = 0").select(*place, "_segment", F.col("_segment").alias("_name"), F.col("b").alias("_b"), F.col("k").alias("_k")))
+    # what is no branch is ``*``, with the sums of all of it
+    named = stash(counts.join(branches, [*place, "_segment"], "left"))
+    scrap.append(named)
+    rest = F.col("_name").isNull()
+    stars = named.filter(rest).groupBy(*place).agg(F.sum("b").alias("_rb"), F.sum("k").alias("_rk"))
+    wild = named.filter(rest).select(*place, "_segment").join(_anew(stars, *place), place).select(*place, "_segment", F.lit("*").alias("_name"), F.col("_rb").alias("_b"), F.col("_rk").alias("_k"), F.lit("*").alias("_kind"))
+    known = named.filter(~rest).select(*place, "_segment", "_name", "_b", "_k", F.col("_segment").alias("_kind"))
+    grown = rows.join(known.unionByName(wild), [*place, "_segment"])
     grown = grown.withColumn("_node", _smoothed(F.col("_b"), F.col("_k"), F.col("_node"))).withColumn("_shape", F.concat("_shape", F.lit("/"), "_kind"))
     return grown.withColumn("template", F.concat("template", F.lit("/"), "_name")).drop("_segment", "_name", "_kind", "_b", "_k")
