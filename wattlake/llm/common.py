@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 import pickle
 import sys
 import types
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.session import shared_folder
@@ -74,14 +76,24 @@ def class_sample(rows: DataFrame, per_class: int, most_chars: int) -> list[tuple
     Of each class those of the least hashes are taken, as long as they have not more than
     *most_chars* characters together (one text it always has); so what comes to the driver is
     bounded, whatever ids repeat, and no text is cut.  The same rows whatever their order.
-    Every task passes on *per_class* rows of a class at most; *rows* are :func:`thinned` first.
+    *rows* are :func:`thinned` first; they are written once, then each class is a top-n of them,
+    of which a task passes on *per_class* rows at most.
     """
-    hashed = F.xxhash64("id")
-    order = Window.partitionBy("class").orderBy(F.pmod(hashed, F.lit(STEPS)), hashed, F.xxhash64("text"), "text")
-    first = rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_class)
-    so_far = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    chosen = first.withColumn("_s", so_far).filter((F.col("_s") <= most_chars) | (F.col("_n") == 1))
-    return sorted((r["text"], r["class"]) for r in chosen.select("text", "class").collect())
+    kept = stash(rows.select("id", "text", "class"))
+    keys = {"_p": F.pmod(F.xxhash64("id"), F.lit(STEPS)), "_h": F.xxhash64("id"), "_t": F.xxhash64("text")}
+    classes = sorted(r[0] for r in kept.select("class").distinct().collect())
+
+    def least(n: dict, *columns) -> list:
+        parts = [kept.filter(F.col("class") == F.lit(c)).withColumns(keys).orderBy(*keys, "text").limit(n[c]).select("class", *columns) for c in classes]
+        return reduce(DataFrame.unionByName, parts).collect() if parts else []
+
+    sizes: dict = {c: [] for c in classes}
+    for r in sorted(least(dict.fromkeys(classes, per_class), *keys, F.length("text").alias("n")), key=lambda r: tuple(r[k] for k in keys)):
+        sizes[r["class"]].append(r["n"])
+    take = {c: max(1, sum(so_far <= most_chars for so_far in itertools.accumulate(n))) for c, n in sizes.items()}
+    found = sorted((r["text"], r["class"]) for r in least(take, "text"))
+    forget(kept)
+    return found
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int) -> list[tuple[str, int]]:
