@@ -24,7 +24,11 @@ def test_parquet(spark, tmp_path):
     assert tables.read_source(spark, "parquet", a).count() == 3
     tables.write_csv(spark.range(3), str(tmp_path / "c"), ";")
     assert tables.read_csv(spark, str(tmp_path / "c")).count() == 3
-    tables.write_report(spark.range(1), str(tmp_path / "r"))
+    tables.write_report(spark.createDataFrame([("m", 1.5)], "model string, mae double"), str(tmp_path / "r"))
+    assert [tuple(r) for r in spark.read.json(str(tmp_path / "r")).select("model", "mae").collect()] == [("m", 1.5)]
+    quoted = tmp_path / "q.csv"
+    quoted.write_text('id;"a,b,c,d";n\n1;x;2\n')
+    assert tables.separator_of(spark, str(quoted)) == ";"
     with pytest.raises(ValueError):
         tables.read_source(spark, 9, "x")
 

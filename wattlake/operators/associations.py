@@ -28,12 +28,23 @@ def device_places(t: dict[str, DataFrame]) -> DataFrame:
 
     *t*: the association tables by name, with the columns that ``FIXTURES.md`` lists.
     """
-    duts = path(t["DEVICES"].select(F.col("ID").alias("dev"), "DEVICE_CODE"), (t["DUTS_DEVICES"].select(F.col("ID").alias("dut"), F.col("DEVICE_ID").alias("d")), "dev", "d"), (t["DUTS_AUTOMATION"].select("DUT_DEVICE_ID", F.col("MACHINE_ID").alias("machine")), "dut", "DUT_DEVICE_ID"))
-    dacs = path(t["DEVICES"].select(F.col("ID").alias("dev"), "DEVICE_CODE"), (t["DACS_DEVICES"].select(F.col("ID").alias("dac"), F.col("DEVICE_ID").alias("d")), "dev", "d"), (t["DACS_CONDENSERS"].select("DAC_DEVICE_ID", "CONDENSER_ID"), "dac", "DAC_DEVICE_ID"), (t["CONDENSERS"].select(F.col("ID").alias("cond"), F.col("MACHINE_ID").alias("machine")), "CONDENSER_ID", "cond"))
+    devices = t["DEVICES"].select(F.col("ID").alias("dev"), "DEVICE_CODE")
+    duts = path(
+        devices,
+        (t["DUTS_DEVICES"].select(F.col("ID").alias("dut"), F.col("DEVICE_ID").alias("d")), "dev", "d"),
+        (t["DUTS_AUTOMATION"].select("DUT_DEVICE_ID", F.col("MACHINE_ID").alias("machine")), "dut", "DUT_DEVICE_ID"),
+    )
+    dacs = path(
+        devices,
+        (t["DACS_DEVICES"].select(F.col("ID").alias("dac"), F.col("DEVICE_ID").alias("d")), "dev", "d"),
+        (t["DACS_CONDENSERS"].select("DAC_DEVICE_ID", "CONDENSER_ID"), "dac", "DAC_DEVICE_ID"),
+        (t["CONDENSERS"].select(F.col("ID").alias("cond"), F.col("MACHINE_ID").alias("machine")), "CONDENSER_ID", "cond"),
+    )
     machines = t["MACHINES"].select(F.col("ID").alias("m"), "TYPE", "UNIT_ID")
     units = t["CLUNITS"].select(F.col("UNIT_ID").alias("u"), "LAT", "LON").filter("LAT is not null")
     placed = [path(p.select("DEVICE_CODE", "machine"), (machines, "machine", "m"), (units, "UNIT_ID", "u")) for p in (duts, dacs)]
-    return union_distinct(*[p.select(F.col("DEVICE_CODE").alias("device_code"), F.col("TYPE").alias("machine_type"), F.col("LAT").alias("latitude"), F.col("LON").alias("longitude")) for p in placed])
+    names = {"DEVICE_CODE": "device_code", "TYPE": "machine_type", "LAT": "latitude", "LON": "longitude"}
+    return union_distinct(*[p.select(*[F.col(old).alias(new) for old, new in names.items()]) for p in placed])
 
 
 def devices_of_units(paths: list[DataFrame], names: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.scalars import relative_error
 
+# The metrics' names.
 NAMES = ["MAE", "RMSE", "R2", "MAPE", "WMAPE", "Acuracia"]
 
 
@@ -18,7 +19,16 @@ def error_metrics(df: DataFrame, actual: str, predicted: str, by: list[str] | No
     """
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     rows = df.filter(y.isNotNull() & p.isNotNull()).select(*(by or []), y.alias("_y"), (p - y).alias("_e"), relative_error(y, p).alias("_r"))
-    sums = rows.groupBy(*(by or [])).agg(F.count("*").alias("n"), F.avg(F.abs("_e")).alias("MAE"), F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("RMSE"), F.sum(F.col("_e") * F.col("_e")).alias("_se"), (F.var_pop("_y") * F.count("*")).alias("_st"), F.avg("_r").alias("MAPE"), F.sum(F.abs("_e")).alias("_ae"), F.sum(F.abs("_y")).alias("_ay"))
+    sums = rows.groupBy(*(by or [])).agg(
+        F.count("*").alias("n"),
+        F.avg(F.abs("_e")).alias("MAE"),
+        F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("RMSE"),
+        F.sum(F.col("_e") * F.col("_e")).alias("_se"),
+        (F.var_pop("_y") * F.count("*")).alias("_st"),
+        F.avg("_r").alias("MAPE"),
+        F.sum(F.abs("_e")).alias("_ae"),
+        F.sum(F.abs("_y")).alias("_ay"),
+    )
     out = sums.withColumn("R2", 1 - F.try_divide("_se", "_st")).withColumn("WMAPE", 100 * F.try_divide("_ae", "_ay"))
     return out.select(*(by or []), "n", "MAE", "RMSE", "R2", "MAPE", "WMAPE", (100 - F.col(accuracy_of)).alias("Acuracia"))
 

@@ -14,8 +14,8 @@ KINDS = {1: "bigquery", 2: "postgresql", 3: "mysql"}
 
 
 def separator_of(spark: SparkSession, path: str) -> str:
-    """The separator that the first line of a CSV file has most of; of equals the first of SEPARATORS; a comma if none."""
-    line = spark.read.text(path).limit(1)
+    """The separator that the first line of a CSV file has most of outside quotes; of equals the first of SEPARATORS; a comma if none."""
+    line = spark.read.text(path).limit(1).select(F.regexp_replace("value", '"[^"]*"', "").alias("value"))
     counts = line.select(*[(F.size(F.split("value", "\\Q" + s + "\\E")) - 1).alias(f"c{i}") for i, s in enumerate(SEPARATORS)]).first()
     if counts is None or not max(counts):
         return ","
