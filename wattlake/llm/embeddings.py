@@ -123,11 +123,17 @@ def _linked(distinct: DataFrame, centre: np.ndarray, width: int, least: float, r
     guests = {r[0]: r[1] for r in placed.select(F.explode("visits").alias("c")).groupBy("c").count().collect()}
     blocks = F.array(*[F.struct(F.lit(-(-residents.get(c, 0) // RESIDENTS)).alias("r"), F.lit(-(-guests.get(c, 0) // GUESTS)).alias("g")) for c in range(len(centre))])
     mixed = F.xxhash64("rep")
-    home = F.get(blocks, F.col("home"))
-    as_resident = placed.select("*", F.col("home").alias("cell"), F.pmod(mixed, home["r"]).cast("int").alias("rb"), F.explode(F.sequence(F.lit(0), home["g"] - 1)).alias("gb"), F.lit(True).alias("resident"))
-    stays = placed.select("*", F.explode("visits").alias("cell")).filter(F.get(blocks, F.col("cell"))["r"] > 0)
-    there = F.get(blocks, F.col("cell"))
-    as_guest = stays.select("*", F.pmod(mixed, there["g"]).cast("int").alias("gb"), F.explode(F.sequence(F.lit(0), there["r"] - 1)).alias("rb"), F.lit(False).alias("resident"))
+    home, there = F.get(blocks, F.col("home")), F.get(blocks, F.col("cell"))
+    as_resident = placed.select(
+        "*", F.col("home").alias("cell"), F.pmod(mixed, home["r"]).cast("int").alias("rb"),
+        F.explode(F.sequence(F.lit(0), home["g"] - 1)).alias("gb"), F.lit(True).alias("resident"),
+    )
+    # only residents need to know where they go
+    stays = placed.select("embedding", "rep", "n", "home", F.lit(None).cast("array<int>").alias("visits"), F.explode("visits").alias("cell")).filter(there["r"] > 0)
+    as_guest = stays.select(
+        "*", F.pmod(mixed, there["g"]).cast("int").alias("gb"),
+        F.explode(F.sequence(F.lit(0), there["r"] - 1)).alias("rb"), F.lit(False).alias("resident"),
+    )
 
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         cell, mine = key[0], group["resident"].to_numpy(dtype=bool)
