@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.scalars import EARTH_KM, haversine_km
 from wattlake.operators.sampling import numbered
-from wattlake.session import checkpointed
+from wattlake.session import stash
 
 LAT, LON, AXES = "latitude", "longitude", ("x", "y", "z")
 #: Times that a cell of points is parted in 64 before its points themselves are compared.
@@ -47,13 +47,13 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     Labels spread along edges and then jump to their own label's label; each round is kept in
     the checkpoint folder.
     """
-    labels = checkpointed(nodes.select("node", F.col("node").alias("root")))
-    edges = checkpointed(edges.select("a", "b"))
+    labels = stash(nodes.select("node", F.col("node").alias("root")))
+    edges = stash(edges.select("a", "b"))
     while True:
         near = edges.join(labels, edges["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("root").alias("_m"))
         spread = labels.join(near, "node", "left").select("node", F.least("root", F.coalesce("_m", "root")).alias("root"))
         up = spread.select(F.col("node").alias("root"), F.col("root").alias("_up"))
-        new = checkpointed(spread.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root")))
+        new = stash(spread.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root")))
         changed = new.join(labels.withColumnRenamed("root", "_old"), "node").filter("root <> _old").limit(1).count()
         labels = new
         if not changed:
@@ -99,7 +99,7 @@ def _linked_cells(points: DataFrame, chord: float, radius_km: float) -> DataFram
     met = side(spread, "a").join(side(top, "b"), F.col("a_there") == F.col("b_part")).filter("a_first < b_first").drop("a_there")
     linked = None
     for level in range(1, LEVELS + 2):
-        met = checkpointed(_box_pairs(met, chord))
+        met = stash(_box_pairs(met, chord))
         new = met.filter("_near").select(F.col("a_first").alias("a"), F.col("b_first").alias("b")).distinct()
         linked = new if linked is None else linked.unionByName(new)
         open_ = met.filter("not _near and not _far").select("a_first", "b_first", "a_part", "b_part")
@@ -142,7 +142,7 @@ def clusters(df: DataFrame, radius_km: float = 40.0, min_samples: int = 2) -> Da
     points = points.withColumns({f"_f{x}": F.floor(F.col(f"_{x}") / edge * 4**LEVELS).cast("long") for x in AXES})
     points = points.withColumn("cell", F.struct(*[F.shiftright(f"_f{x}", 2 * LEVELS).alias(x) for x in AXES]))
     cells = points.groupBy("cell").agg(F.count("*").alias("n"), F.min("node").alias("first"))
-    points = checkpointed(points.join(cells, "cell").withColumn("dense", F.col("n") >= min_samples))
+    points = stash(points.join(cells, "cell").withColumn("dense", F.col("n") >= min_samples))
     sparse, dense = points.filter("not dense"), points.filter("dense")
     reach = F.array(*[F.lit(i) for i in range(-2, 3)])
     spread = sparse.select(F.col("node").alias("p"), F.col("cell").alias("_part"), *[F.col(c).alias(f"{c}_p") for c in (LAT, LON)])
@@ -151,9 +151,9 @@ def clusters(df: DataFrame, radius_km: float = 40.0, min_samples: int = 2) -> Da
     spread = spread.withColumn("cell", F.struct(*[F.col(f"_{x}").alias(x) for x in AXES])).drop("_part", *[f"_{x}" for x in AXES])
     other = points.select("cell", F.col("node").alias("q"), F.when(F.col("dense"), F.col("first")).otherwise(F.col("node")).alias("q_node"), "dense", LAT, LON)
     km = haversine_km(F.col(f"{LAT}_p"), F.col(f"{LON}_p"), F.col(LAT), F.col(LON))
-    near = checkpointed(spread.join(other, "cell").filter((F.col("p") != F.col("q")) & (km <= radius_km)).select("p", "q", "q_node", "dense"))
+    near = stash(spread.join(other, "cell").filter((F.col("p") != F.col("q")) & (km <= radius_km)).select("p", "q", "q_node", "dense"))
     degree = near.groupBy("p").agg(F.count("*").alias("d"))
-    cores = checkpointed(degree.filter(F.col("d") + 1 >= min_samples).select(F.col("p").alias("core")))
+    cores = stash(degree.filter(F.col("d") + 1 >= min_samples).select(F.col("p").alias("core")))
     to_core = near.join(cores, near["q"] == cores["core"], "left").filter("dense or core is not null").select("p", "q_node")
     one_way = to_core.join(cores, to_core["p"] == cores["core"], "left_semi").select(F.col("p").alias("a"), F.col("q_node").alias("b")).unionByName(_linked_cells(dense, chord, radius_km))
     both = one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
@@ -163,7 +163,7 @@ def clusters(df: DataFrame, radius_km: float = 40.0, min_samples: int = 2) -> Da
     core = own.join(roots.withColumnRenamed("node", "_n"), "_n").select("node", "root", F.lit(True).alias("is_core"))
     touched = to_core.join(cores, to_core["p"] == cores["core"], "left_anti").join(roots, F.col("q_node") == roots["node"])
     border = touched.groupBy(F.col("p").alias("node")).agg(F.min("root").alias("root")).withColumn("is_core", F.lit(False))
-    placed = checkpointed(core.unionByName(border))
+    placed = stash(core.unionByName(border))
     lone = points.select("node").join(placed, "node", "left_anti")
     first = placed.select(F.lit(0).alias("_k"), F.col("root").alias("node")).distinct().unionByName(lone.select(F.lit(1).alias("_k"), "node"))
     numbers = numbered(first, ["_k", "node"], "_n").select(F.col("node").alias("root"), F.col("_n").cast("int").alias("grupo_regional"))
@@ -189,7 +189,7 @@ def nearest(queries: DataFrame, reference: DataFrame) -> DataFrame:
         for axis, c in enumerate(cells):
             code = code.bitwiseOR(F.shiftleft(F.shiftright(c, 2 * level).bitwiseAND(F.lit(3)), 6 * level + 2 * axis))
     points = reference.select(F.col(LAT).alias("_lat"), F.col(LON).alias("_lon"), F.col("grupo_regional").alias("_g"), code.alias("_cell"), *[c.alias(f"_{a}") for a, c in zip(names, _on_sphere(LAT, LON), strict=True)])
-    points = checkpointed(points)
+    points = stash(points)
     found = queries.select(LAT, LON, *[c.alias(a) for a, c in zip(names, _on_sphere(LAT, LON), strict=True)])
     for level in range(1, depth + 1):
         part = points.withColumn("_cell", F.shiftright("_cell", 6 * (depth - level)))

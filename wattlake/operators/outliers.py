@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wattlake.functions.scalars import override_key
 from wattlake.operators.quantiles import grid, nearest
 from wattlake.operators.rows import segmented
-from wattlake.session import checkpointed
+from wattlake.session import stash
 
 FIXED = {"q10": 0.10, "q1": 0.25, "q50": 0.50, "q3": 0.75, "q90": 0.90, "q99": 0.99}
 # Kinds of machine that are steadier or vary more, and what they change: factor of the fence, noise quantile, its bound.
@@ -96,7 +96,7 @@ def thresholds(df: DataFrame, segment: str, value: str, settings: Settings = Set
         "iqr_factor_used": F.coalesce(own_factor, factor),
         "upper_quantile_cap_used": F.when(~F.col("o_no_cap"), F.coalesce(_clamp(F.col("o_upper_quantile_cap"), CAP_BOUNDS), cap)),
     })
-    q = checkpointed(q)
+    q = stash(q)
     # the two adaptive quantiles, from the same grid
     seen = seen.join(q.select(segment, "noise_quantile_used", F.coalesce("upper_quantile_cap_used", F.lit(1.0)).alias("_cap")), segment)
     q = q.join(nearest(df, value, {"_q_noise": F.col("noise_quantile_used"), "_q_cap": F.col("_cap")}, [segment], seen).drop("n"), segment)

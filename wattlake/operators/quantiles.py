@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.session import checkpointed
+from wattlake.session import stash
 
 #: Steps of the grid of approximate quantiles, their accuracy, and the group size from which it is used.
 GRID, ACCURACY, SMALL = 512, 10_000, 4096
@@ -25,7 +25,7 @@ def beside(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
 def grid(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """One row a group: n and a grid of approximate quantiles, for any number of calls of :func:`nearest`; kept once."""
     base = df.filter(F.col(value).isNotNull())
-    return checkpointed(base.groupBy(*(by or [])).agg(F.count("*").alias("n"), F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], ACCURACY).alias("_g")))
+    return stash(base.groupBy(*(by or [])).agg(F.count("*").alias("n"), F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], ACCURACY).alias("_g")))
 
 
 def _ranked(df: DataFrame, value: str, wanted: dict[str, tuple[Column, Column]], by: list[str], known: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def _ranked(df: DataFrame, value: str, wanted: dict[str, tuple[Column, Column]],
         rank.append(k.alias(f"_k{i}"))
         low.append(F.when(wide & (q * GRID >= 1), F.get("_g", (F.floor(q * GRID) - 1).cast("int"))).alias(f"_lo{i}"))
         high.append(F.when(wide & (q * GRID <= GRID - 1), F.get("_g", (F.ceil(q * GRID) + 1).cast("int"))).alias(f"_hi{i}"))
-    brackets = checkpointed(known.select(*by, "n", *rank, *low, *high))  # a row a group; two passes read it
+    brackets = stash(known.select(*by, "n", *rank, *low, *high))  # a row a group; two passes read it
     joined = beside(base, brackets.select(*by, *[c for c in brackets.columns if c[:3] in ("_lo", "_hi")]), by)
     below = joined.groupBy(*by).agg(F.array(*[F.count_if(F.col("_v") < F.col(f"_lo{i}")) for i in range(len(names))]).alias("_b"))
     inside = [F.when(F.coalesce(F.col("_v") >= F.col(f"_lo{i}"), F.lit(True)) & F.coalesce(F.col("_v") <= F.col(f"_hi{i}"), F.lit(True)), F.lit(i)) for i in range(len(names))]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.session import checkpointed
+from wattlake.session import stash
 
 BUCKETS = 10_000
 
@@ -36,7 +36,7 @@ def numbered(df: DataFrame, order: list, out: str) -> DataFrame:
     The sort is by ranges and kept once, so every later look sees the same order; only a row for
     each of its partitions meets in one task.
     """
-    ordered = checkpointed(df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()))
+    ordered = stash(df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()))
     place, part = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)), F.shiftright("_m", 33)
     sizes = ordered.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
     before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,9 +40,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """*df*, computed once and kept in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def stash(df: DataFrame) -> DataFrame:
+    """Write *df* once to the shared folder and read it back.
+
+    It cuts the lineage and keeps a result that several later steps read; the files are in
+    the folder all executors share, so a lost executor costs only the tasks it was running.
+    Unlike ``checkpoint()`` it computes the rows once, and later plans know their size.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stash-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._stashed_at = path
+    return kept
+
+
+def forget(*stashed: DataFrame | None) -> None:
+    """Deletes the files of stashes that nothing reads any more (what is no stash is left alone)."""
+    for df in stashed:
+        path = getattr(df, "_stashed_at", None)
+        if path:
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
