@@ -14,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.session import shared_folder
+from wattlake.session import forget, stash  # noqa: F401  (operators take them from here)
 
 #: Classes (labels, languages) that a model can be fitted on.
 MOST_CLASSES = 200
@@ -26,30 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stash(df: DataFrame) -> DataFrame:
-    """Write *df* once to the shared folder and read it back.
-
-    It cuts the lineage and keeps a result that several later steps read; the files are in
-    the folder all executors share, so a lost executor costs only the tasks it was running.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stash-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    kept = spark.read.schema(df.schema).parquet(path)
-    kept._stashed_at = path
-    return kept
-
-
-def forget(*stashed: DataFrame | None) -> None:
-    """Deletes the files of stashes that nothing reads any more (what is no stash is left alone)."""
-    for df in stashed:
-        path = getattr(df, "_stashed_at", None)
-        if path:
-            spark = df.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def fold(column: str, divisor: int):
     """crc32 of the id as text, modulo *divisor*; a null id belongs to no fold (null)."""
     return F.crc32(F.col(column).cast("string")) % F.lit(divisor)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from wattlake.llm.common import Shared, class_sample, fold, lots, thinned
 
 #: Most training documents of each language, and most characters of them together; whole texts.
-PER_LANGUAGE, MOST_CHARS = 250, 2_000_000
+PER_LANGUAGE, MOST_CHARS = 400, 400_000
 #: Rows of the hashed weight table.
 TABLE = 1 << 16
 #: Words of a training sequence, and of a block of forward-backward.
