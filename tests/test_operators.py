@@ -91,7 +91,7 @@ def test_outlier_overrides_are_bounded(spark):
     assert r["upper_quantile_cap_used"] is None and r["hi_qcap"] is None and r["hi"] == r["hi_iqr"] and r["manual_override"]
 
 
-@pytest.mark.parametrize("least", [1, 2, 4, 9])
+@pytest.mark.parametrize("least", [1, 4])
 def test_clusters_are_those_of_all_pairs(spark, least):
     """Dense places, chains, border points, the date line and a pole, against every pair in plain Python."""
     rng = random.Random(least)
