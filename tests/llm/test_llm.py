@@ -396,10 +396,10 @@ def slow_judge(pages):
 def test_url_trees_are_those_of_plain_python(spark, sf_dir):
     rng = random.Random(21)
     words = ["de", "en", "fr", "news", "shop", *[f"s{i}" for i in range(30)]]
-    made = [(10_000 + i, f"http://{rng.choice(['m.example.com', 'n.example.com', 'p.org', 'q.net', 'r.com', 's.com'])}/" + "/".join(rng.choice(words) if rng.random() < 0.8 else str(rng.randrange(9999)) for _ in range(rng.choice([0, 1, 1, 2, 3, 5])))) for i in range(4000)]
+    made = [(10_000 + i, f"http://{rng.choice(['m.example.com', 'n.example.com', 'p.org', 'q.net', 'r.com', 's.com'])}/" + "/".join(rng.choice(words) if rng.random() < 0.8 else str(rng.randrange(9999)) for _ in range(rng.choice([0, 1, 1, 2, 3, 5])))) for i in range(2500)]
     # many sections of like size, wholly blocked or wholly allowed by rules below them, and a deep path
     rules = (*urls.RULES, *[("block" if i % 2 else "allow", "big.com", f"/c{i}/a/") for i in range(40)])
-    made += [(20_000 + 100 * i + j, f"http://big.com/c{i}/{'ab'[j % 2]}/{j}") for i in range(40) for j in range(30)] + [(30_000 + i, "http://deep.com" + "/x" * 25) for i in range(3)]
+    made += [(20_000 + 100 * i + j, f"http://big.com/c{i}/{'ab'[j % 2]}/{j}") for i in range(40) for j in range(30)] + [(30_000 + i, "http://deep.com" + "/x" * 9) for i in range(3)]
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url").unionByName(spark.createDataFrame(made, "page_id long, url string"))
     got = urls.judge(pages, rules).collect()
     want = slow_judge([(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"] if r["rule"] else None) for r in got])
