@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -276,6 +277,18 @@ def test_pieces_are_those_of_the_library(spark, documents):
     assert pieces.with_ids(docs(spark, []), v).count() == 0
 
 
+def test_models_that_normalise_are_refused(monkeypatch):
+    sentencepiece = pytest.importorskip("sentencepiece")
+
+    class Folding(sentencepiece.SentencePieceProcessor):
+        def encode(self, text, **kwargs):
+            return super().encode(unicodedata.normalize("NFKC", text), **kwargs)
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Folding)
+    with pytest.raises(ValueError):
+        pieces.read_model(queries.PIECES)
+
+
 def test_adjacent_pieces_are_those_of_merging():
     v = pieces.read_model(queries.PIECES)
     rng, normal = random.Random(8), sorted(v.ids.values())
