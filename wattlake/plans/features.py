@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,14 +81,13 @@ def fit(df: DataFrame, settings: Settings = Settings()) -> Fitted:
     plain = [c for c in s.fields if c in ready.columns and c not in gone]
     columns = [*plain, *CALENDAR, *[f"{c}_{v}" for c in s.hot for v in vocabularies[c]], *[f"{c}_target_enc" for c in s.encoded]]
     limits = encoders.fit_clip(ready, list(s.clipped))
-    return Fitted(_all(encodings), _all(indices), limits, vocabularies, columns, s)
+    encodings = _all(encodings, df, "column string, value string, encoding double, global_mean double")
+    indices = _all(indices, df, "column string, value string, idx int")
+    return Fitted(encodings, indices, limits, vocabularies, columns, s)
 
 
-def _all(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _all(parts: list[DataFrame], df: DataFrame, schema: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], schema)
 
 
 def save(fitted: Fitted, path: str) -> None:
