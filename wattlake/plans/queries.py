@@ -303,13 +303,13 @@ def hours_and_keys(spark, sf_dir):
     return t.select("event_id", scalars.override_key("machine_type").alias("override_key"), "stamp", (F.timestamp_add("HOUR", F.lit(1), before) == F.col("stamp")).alias("follows"))
 
 
-@query("""SELECT kind, CAST(sum(v) AS DOUBLE) AS total, count(*) AS n FROM (SELECT 'number' AS kind, CAST(o_custkey AS DOUBLE) AS v FROM orders UNION ALL SELECT 'number', o_totalprice FROM orders UNION ALL SELECT 'text', length(o_orderstatus) FROM orders UNION ALL SELECT 'text', length(o_orderpriority) FROM orders) GROUP BY 1""")
+@query("""SELECT kind, round(CAST(sum(v) AS DOUBLE), 2) AS total, count(*) AS n FROM (SELECT 'number' AS kind, CAST(o_custkey AS DOUBLE) AS v FROM orders UNION ALL SELECT 'number', o_totalprice FROM orders UNION ALL SELECT 'text', length(o_orderstatus) FROM orders UNION ALL SELECT 'text', length(o_orderpriority) FROM orders) GROUP BY 1""")
 def columns_by_type(spark, sf_dir):
     """The numeric columns of a table summed, the text columns by their lengths, each chosen by type."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
     chosen = {"number": [F.col(c).cast("double") for c in rows.numeric_columns(o)], "text": [F.length(c).cast("double") for c in rows.text_columns(o)]}
     one = o.select(F.explode(F.concat(*[F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("v")) for v in values]) for k, values in chosen.items()])).alias("_r")).select("_r.*")
-    return one.groupBy("kind").agg(F.sum("v").alias("total"), F.count("*").alias("n"))
+    return one.groupBy("kind").agg(F.round(F.sum("v"), 2).alias("total"), F.count("*").alias("n"))
 
 
 @query(f"WITH {TELEMETRY} SELECT event_id, machine_type, CAST(hora AS INTEGER) AS hora FROM tel")
