@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import embeddings, langid, licences, mixing, parsing, pieces, quality, ranking, simhash, toxicity, trie, urls
+from wattlake.llm import embeddings, katz, langid, licences, mixing, parsing, pieces, quality, ranking, simhash, toxicity, trie, urls
 from wattlake.llm.common import fold, table
 
 #: The folder of public vocabulary files, and the model that is used of it.
@@ -72,6 +72,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz.score(table(spark, sf_dir, "documents").select("doc_id", "text"), fold("doc_id", 5) != 1)
+    held_out = (F.coalesce(fold("doc_id", 5), F.lit(0)) == 1).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
@@ -79,7 +85,7 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    operators = (op1_fingerprints, op2_toxicity, op3_sentencepiece, op4_url_filter, op5_quality, op6_language_id, op7_mixing, op8_embeddings, op9_simhash, op10_licences, op11_prefix_trie, op13_ranked_search)
+    operators = (op1_fingerprints, op2_toxicity, op3_sentencepiece, op4_url_filter, op5_quality, op6_language_id, op7_mixing, op8_embeddings, op9_simhash, op10_licences, op11_prefix_trie, op12_lm_scores, op13_ranked_search)
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
