@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import forget, stash
@@ -19,7 +20,7 @@ from wattlake.llm.common import forget, stash
 #: Counts up to KATZ are discounted.
 KATZ = 5
 #: Characters of a lot of texts; tokens that come to a part of the pair table; occurrences of a context that stay together.
-LOT_CHARS, PART_TOKENS, HOT = 24_000_000, 1_000_000, 500_000
+LOT_CHARS, PART_TOKENS, HOT = 16_000_000, 1_000_000, 500_000
 #: A word's id is that of its first lot, times this, plus its number there.
 WORDS = 1 << 27
 #: Lots of one task, at most.
@@ -40,11 +41,14 @@ def unpack(b: bytes, kind=np.int64) -> np.ndarray:
 
 
 def _settle() -> None:
-    """Lets Spark delete the shuffle files of finished steps, which it does when the driver's handles are collected."""
-    from pyspark.sql import SparkSession
+    """Lets Spark delete the shuffle files of finished steps, which it does when the driver's handles are collected.
 
-    gc.collect()
-    SparkSession.active()._jvm.System.gc()
+    The listeners hold the last step's handles for a moment, hence the pauses.
+    """
+    for _ in range(3):
+        time.sleep(0.7)
+        gc.collect()
+        SparkSession.active()._jvm.System.gc()
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -370,6 +374,7 @@ def score(documents: DataFrame, train: Column) -> DataFrame:
     table = pair_table(rows, parts, start_ways)
     _settle()
     model, share = pair_model(table, words)
+    _settle()
     found = look_up(model, words, share).groupBy("lot").agg(F.collect_list(F.struct("part", "values")).alias("found"))
     out = stash(summed(rows.join(found, "lot", "left"), words, parts, start_ways))
     forget(lots, ids, table)
