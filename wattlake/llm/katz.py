@@ -20,7 +20,7 @@ from wattlake.llm.common import forget, stash
 #: Counts up to KATZ are discounted.
 KATZ = 5
 #: Characters of a lot of texts; tokens that come to a part of the pair table; occurrences of a context that stay together.
-LOT_CHARS, PART_TOKENS, HOT = 16_000_000, 1_000_000, 500_000
+LOT_CHARS, PART_TOKENS, HOT = 10_000_000, 1_000_000, 500_000
 #: A word's id is that of its first lot, times this, plus its number there.
 WORDS = 1 << 27
 #: Lots of one task, at most.
@@ -75,9 +75,9 @@ def lots_of(documents: DataFrame, train: Column) -> DataFrame:
             by_count = np.argsort(-total, kind="stable")  # frequent words get small numbers
             rank = np.empty_like(by_count)
             rank[by_count] = np.arange(len(by_count))
-            flat, words = rank[flat], list(number)
+            flat, words = rank.astype(np.int32)[flat], list(number)
             n = np.bincount(flat[np.repeat(np.array(flags, dtype=bool), sizes)], minlength=len(words))
-            row = {"lot": [task * LOTS + made], "doc_id": pa.array([ids], pa.list_(pa.int64())), "train": [flags], "sizes": [pack(sizes)], "tokens": [pack(flat)]}
+            row = {"lot": [task * LOTS + made], "doc_id": pa.array([ids], pa.list_(pa.int64())), "train": [flags], "sizes": [pack(sizes)], "tokens": [pack(flat.astype(np.int64))]}
             return pa.RecordBatch.from_pydict(row | {"words": [[words[i] for i in by_count]], "n": [n.tolist()], "total": [total[by_count].tolist()]})
 
         for batch in batches:
@@ -85,7 +85,7 @@ def lots_of(documents: DataFrame, train: Column) -> DataFrame:
                 words = tokens(text.as_py())
                 ids.append(i)
                 flags.append(bool(flag))
-                found.append(np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words)))
+                found.append(np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int32, count=len(words)))
                 size += sum(map(len, words)) + len(words)
                 if size >= LOT_CHARS:
                     yield lot()
@@ -191,14 +191,16 @@ class Pairs:
     """The different pairs of neighbours in a lot, in a fixed order, and which one each token ends."""
 
     def __init__(self, row: dict, parts: int, start_ways: int):
-        self.sizes, flat = unpack(row["sizes"]), unpack(row["tokens"])
+        self.sizes, flat = unpack(row["sizes"]), unpack(row["tokens"]).astype(np.int32)
         ids, n, ways = (unpack(row[c]) for c in ("id", "c", "ways"))
         ids = np.append(np.where(n > 0, ids, UNKNOWN), START)
         self.flat_n, self.train = n[flat], np.repeat(np.array(row["train"], dtype=bool), self.sizes)
         self.first = np.cumsum(self.sizes) - self.sizes
-        before = np.concatenate(([0], flat[:-1]))
-        before[self.first] = len(n)
-        pair, self.of_token = np.unique(before * (len(n) + 1) + flat, return_inverse=True)
+        pair = np.concatenate(([0], flat[:-1].astype(np.int64)))
+        pair[self.first] = len(n)
+        pair *= len(n) + 1
+        pair += flat
+        pair, self.of_token = np.unique(pair, return_inverse=True)
         left, right = pair // (len(n) + 1), pair % (len(n) + 1)
         self.h, self.w, self.c = ids[left], ids[right], n[right]
         self.ways = np.append(ways, start_ways)[left]
@@ -367,15 +369,19 @@ def score(documents: DataFrame, train: Column) -> DataFrame:
     lots = lots_of(documents, train)
     ids = word_ids(lots)
     words = learn_words(ids)
-    _settle()
     sizes = lots.agg(F.sum(F.aggregate("total", F.lit(0).cast("long"), lambda a, x: a + x)), F.sum(F.size("doc_id"))).first()
     parts, start_ways = max(1, -(-(sizes[0] or 0) // PART_TOKENS)), max(1, -(-(sizes[1] or 0) // HOT))
-    rows = lots.select("lot", "doc_id", "train", "sizes", "tokens").join(ids.withColumnRenamed("n", "c"), "lot")
+    texts = stash(lots.select("lot", "doc_id", "train", "sizes", "tokens"))  # the words have done their part
+    forget(lots)
+    _settle()
+    rows = texts.join(ids.withColumnRenamed("n", "c"), "lot")
     table = pair_table(rows, parts, start_ways)
     _settle()
     model, share = pair_model(table, words)
+    found = stash(look_up(model, words, share))
+    forget(table)
     _settle()
-    found = look_up(model, words, share).groupBy("lot").agg(F.collect_list(F.struct("part", "values")).alias("found"))
-    out = stash(summed(rows.join(found, "lot", "left"), words, parts, start_ways))
-    forget(lots, ids, table)
+    each = found.groupBy("lot").agg(F.collect_list(F.struct("part", "values")).alias("found"))
+    out = stash(summed(rows.join(each, "lot", "left"), words, parts, start_ways))
+    forget(texts, ids, found)
     return out
