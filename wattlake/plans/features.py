@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wattlake.functions import dates
 from wattlake.functions.machines import machine_type
 from wattlake.operators import encoders, geo, rows
+from wattlake.session import forget, stash
 from wattlake.sources.weather import MEASURES
 
 TARGET = "consumo_kwh"
@@ -72,17 +73,28 @@ def built(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def fit(df: DataFrame, settings: Settings = Settings()) -> Fitted:
-    """Encodings, indices, limits and vocabularies of training rows, and the columns of their feature table."""
-    s, ready = settings, prepared(df, settings)
-    encodings = [encoders.fit_target(ready, c, s.target, s.smoothing).select(F.lit(c).alias("column"), F.col("value").cast("string").alias("value"), "encoding", "global_mean") for c in s.encoded]
+    """Encodings, indices, limits and vocabularies of training rows, and the columns of their feature table.
+
+    The prepared rows are written once, without what no fit needs; all categories are counted in one look.
+    """
+    s = settings
+    every = prepared(df, settings)
+    ready = stash(every.select(*dict.fromkeys([s.target, *s.encoded, *s.indexed, *s.hot, *[c for c in s.clipped if c in every.columns]])))
+    names = dict.fromkeys([*s.encoded, *s.indexed, *s.hot])
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in names]
+    whole = F.struct(F.lit(None).cast("string").alias("column"), F.lit("all").alias("value"))  # the mean of all rows, beside those of categories
+    counted = stash(ready.select(F.col(s.target).alias("_y"), F.explode(F.array(whole, *entries)).alias("_c")).filter("_c.value is not null").groupBy("_c.column", "_c.value").agg(F.avg("_y").alias("m"), F.count("_y").alias("k")))
+    total = counted.filter("column is null").select(F.col("m").alias("global_mean"))
+    shrunk = (F.col("k") * F.col("m") + s.smoothing * F.col("global_mean")) / (F.col("k") + s.smoothing)
+    encodings = stash(counted.filter(F.col("column").isin(*s.encoded)).crossJoin(F.broadcast(total)).select("column", "value", shrunk.alias("encoding"), "global_mean"))
     indices = [encoders.fit_index(ready, c).select(F.lit(c).alias("column"), F.col("value").cast("string").alias("value"), "idx") for c in s.indexed]
-    vocabularies = {c: encoders.vocabulary(ready, c) for c in s.hot}
+    vocabularies = {c: encoders.vocabulary(counted.filter(F.col("column") == c), "value") for c in s.hot}
     gone = {s.target, *s.encoded, *s.hot}
-    plain = [c for c in s.fields if c in ready.columns and c not in gone]
+    plain = [c for c in s.fields if c in every.columns and c not in gone]
     columns = [*plain, *CALENDAR, *[f"{c}_{v}" for c in s.hot for v in vocabularies[c]], *[f"{c}_target_enc" for c in s.encoded]]
-    limits = encoders.fit_clip(ready, list(s.clipped))
-    encodings = _all(encodings, df, "column string, value string, encoding double, global_mean double")
-    indices = _all(indices, df, "column string, value string, idx int")
+    limits = stash(encoders.fit_clip(ready, list(s.clipped)))
+    indices = stash(_all(indices, df, "column string, value string, idx int"))
+    forget(ready, counted)
     return Fitted(encodings, indices, limits, vocabularies, columns, s)
 
 

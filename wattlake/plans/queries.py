@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions import dates, machines, scalars
-from wattlake.operators import associations, consolidate, encoders, geo, hourly, lags, metrics, outliers, profile, quantiles, rows, sampling
-from wattlake.plans import enrich, features, training, views
+from wattlake.operators import associations, consolidate, encoders, geo, gram, hourly, lags, metrics, outliers, profile, quantiles, rows, sampling
+from wattlake.plans import enrich, features, raw, training, views
 from wattlake.plans.views import OBSERVED, PAYLOAD, POINTS, TELEMETRY, table, telemetry
 from wattlake.session import shared_folder
 from wattlake.sources import tables, weather
@@ -840,9 +841,9 @@ def segment_models(spark, sf_dir):
 
 @query()
 def segment_scores(spark, sf_dir):
-    config = training.Config(features=_FEATURES, models=["linear"])
+    """The best of four kinds of model for each type of machine, all of them applied in one look at the rows."""
     df = _examples(spark, sf_dir)
-    return training.predict_segments(df, training.fit_segments(df, config)[0], config).select("row_key", "tipo_maquina", "prediction")
+    return training.predict_segments(df, training.fit_segments(df, _CONFIG)[0], _CONFIG).select("row_key", "tipo_maquina", "prediction")
 
 
 @query()
@@ -895,3 +896,74 @@ def line_scores_of_both(spark, sf_dir):
     own = training.fit(df.filter(F.col("tipo_maquina") == name), _LINE_CONFIG, "linear")
     both = training.predict_both(df, training.fit(df, _LINE_CONFIG, "linear"), own, name, _LINE_CONFIG)
     return both.select("row_key", *[F.round(c, 6).alias(c) for c in ("global_prediction", "segment_prediction")])
+
+
+# from raw rows: outlier filter, feature chain and model, fitted and kept as one pipeline
+
+# limits of the plain settings, as no type of machine here is one of the steadier or more varied kinds
+_RAW = f"""{_READY}, ork AS (SELECT CASE WHEN trim(machine_type) = '' THEN 'DESCONHECIDO' ELSE machine_type END AS seg, consumo_kwh AS v, row_number() OVER (PARTITION BY trim(machine_type) ORDER BY consumo_kwh) AS rk,
+  count(*) OVER (PARTITION BY trim(machine_type)) AS n FROM obs WHERE {_TRAINED} AND consumo_kwh IS NOT NULL),
+oq AS (SELECT seg, max(n) AS n, {_rank('0.10')} AS q10, {_rank('0.25')} AS q1, {_rank('0.50')} AS q50, {_rank('0.75')} AS q3, {_rank('0.90')} AS q90, {_rank('0.99')} AS q99 FROM ork GROUP BY seg),
+ot AS (SELECT *, greatest(q90 - q50, 1e-9) AS mid, greatest(q50 - q10, 1e-9) AS low, greatest(q99 - q90, 0) / greatest(q90 - q50, 1e-9) AS tail FROM oq),
+os AS (SELECT *, CASE WHEN greatest(q90 - q10, 1e-9) <= 0.35 * greatest(q50, 1e-6) AND mid / low < 1.8 THEN 0.07 ELSE 0.05 END AS qn,
+  CASE WHEN tail >= 1.5 THEN 1.25 WHEN tail >= 1.0 THEN 1.40 WHEN tail >= 0.6 THEN 1.60 ELSE 3.0 END AS k, CASE WHEN tail >= 1.5 THEN 0.985 WHEN tail >= 1.0 THEN 0.99 WHEN tail >= 0.6 THEN 0.995 END AS qc FROM ot),
+oa AS (SELECT seg, min(CASE WHEN rk > floor(qn * (ork.n - 1) + 0.5) THEN v END) AS vn, min(CASE WHEN rk > floor(qc * (ork.n - 1) + 0.5) THEN v END) AS vc FROM ork JOIN os USING (seg) GROUP BY seg),
+ol AS (SELECT seg, greatest(q1 - k * (q3 - q1), least(greatest(vn, 0.5), 2.0)) AS lo, least(q3 + k * (q3 - q1), coalesce(vc, q3 + k * (q3 - q1))) AS hi FROM os JOIN oa USING (seg)),
+kt AS (SELECT tr.* FROM tr JOIN ol ON seg = CASE WHEN trim(machine_type) = '' THEN 'DESCONHECIDO' ELSE machine_type END WHERE consumo_kwh BETWEEN lo AND greatest(hi, lo)),
+gm AS (SELECT avg(consumo_kwh) AS g FROM kt), te AS (SELECT hora, (count(*) * avg(consumo_kwh) + 10 * any_value(g)) / (count(*) + 10) AS enc FROM kt, gm GROUP BY 1),
+mx AS (SELECT event_id, consumo_kwh AS y, enc::FLOAT::DOUBLE AS x, {_bucket("event_id")} < 1500 AS tested FROM kt JOIN te USING (hora)),
+ln AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, count(*) AS n_train FROM mx WHERE NOT tested)"""
+_RAW_SETTINGS = raw.Settings(training.Config(features=None, key="event_id", models=["linear"]), inputs=("hora_target_enc",))
+
+
+@query(f"WITH {_RAW} SELECT event_id, round(a + b * coalesce(enc, g)::FLOAT::DOUBLE, 4) AS prediction FROM obs LEFT JOIN te USING (hora), gm, ln WHERE NOT ({_TRAINED})")
+def raw_rows_scored(spark, sf_dir):
+    """Fitted on raw rows, written to the shared folder, read again, and applied to raw rows that have no target."""
+    df = views.observations(spark, sf_dir)
+    model, _ = raw.fit(df.filter("event_id % 4 <> 0"), _RAW_SETTINGS, "linear")
+    path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return raw.scored(df.filter("event_id % 4 = 0").drop("consumo_kwh", "estacao"), PipelineModel.load(path)).withColumn("prediction", F.round("prediction", 4))
+
+
+@query(f"WITH {_RAW}, pr AS (SELECT y, a + b * x AS p, n_train FROM mx, ln WHERE tested) SELECT 'linear' AS model, any_value(n_train) AS n_train, {_METRICS.replace('count(*) AS n,', 'count(*) AS n_test,').replace(', 6)', ', 4)').replace(', 9)', ', 4)')} FROM pr")
+def raw_rows_report(spark, sf_dir):
+    """How the model fitted on raw rows does on its test rows."""
+    report = raw.fit(views.observations(spark, sf_dir).filter("event_id % 4 <> 0"), _RAW_SETTINGS, "linear")[1]
+    return report.select("model", F.col("n_train").cast("bigint").alias("n_train"), "n_test", *[F.round(c, 4).alias(c) for c in metrics.NAMES])
+
+
+# many segments and many columns in one look
+
+_PLANES = f"""ex AS (SELECT CAST(l_suppkey AS VARCHAR) AS segment, l_quantity::DOUBLE AS x1, l_discount::DOUBLE * 100 AS x2, l_extendedprice::DOUBLE / 1000 AS y, {_bucket('(l_orderkey * 8 + l_linenumber)')} < 1500 AS tested FROM lineitem),
+m AS (SELECT segment, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) AS s11, var_pop(x2) AS s22, covar_pop(x1, x2) AS s12, covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y FROM ex WHERE NOT tested GROUP BY 1),
+pl AS (SELECT segment, n, m1, m2, my, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM m)"""
+_PLANE_CONFIG = training.Config(features=["x1", "x2"], target="y", key="k", segment="segment", least_rows=1)
+
+
+def _planes(spark, sf_dir):
+    of = lambda c: F.col(c).cast("double")
+    df = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"), F.col("l_suppkey").cast("string").alias("segment"), of("l_quantity").alias("x1"), (of("l_discount") * 100).alias("x2"), (of("l_extendedprice") / 1000).alias("y"))
+    return training.line_models(df, _PLANE_CONFIG)
+
+
+@query(f"WITH {_PLANES} SELECT segment, n AS n_train, round(b1, 5) AS b1, round(b2, 5) AS b2, round(my - b1 * m1 - b2 * m2, 5) AS intercept FROM pl")
+def plane_of_each_segment(spark, sf_dir):
+    """Linear models of two features for every supplier, in one look at the rows."""
+    by = F.col("coefficients")
+    return _planes(spark, sf_dir)[0].select("segment", F.col("n").alias("n_train"), F.round(by[0], 5).alias("b1"), F.round(by[1], 5).alias("b2"), F.round("intercept", 5).alias("intercept"))
+
+
+@query(f"""WITH {_PLANES} SELECT segment, any_value(n) AS n_train, count(*) AS n_test, round(avg(abs(p - y)), 5) AS "MAE", round(avg(abs(p - y) / greatest(abs(y), 1e-8) * 100), 4) AS "MAPE"
+FROM (SELECT ex.*, n, my + b1 * (x1 - m1) + b2 * (x2 - m2) AS p FROM ex JOIN pl USING (segment)) WHERE tested GROUP BY 1""")
+def plane_report_by_segment(spark, sf_dir):
+    report = _planes(spark, sf_dir)[1].filter("n_test is not null and n_train is not null")
+    return report.select("segment", "n_train", "n_test", F.round("MAE", 5).alias("MAE"), F.round("MAPE", 4).alias("MAPE"))
+
+
+_WIDE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_suppkey", "l_partkey", "l_orderkey"]
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, count(*) AS n, round(corr({a}::DOUBLE, {b}::DOUBLE), 9) AS r FROM lineitem WHERE {a} IS NOT NULL AND {b} IS NOT NULL" for i, a in enumerate(_WIDE) for b in _WIDE[i + 1 :]) + ")")
+def wide_correlations(spark, sf_dir):
+    return gram.correlations(table(spark, sf_dir, "lineitem"), _WIDE).withColumn("r", F.round("r", 9))

@@ -5,18 +5,24 @@ from __future__ import annotations
 import itertools
 import random
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
+from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions.machines import UNKNOWN
 from wattlake.functions.scalars import label_or, safe_name
+from wattlake.operators import gram
 from wattlake.operators.metrics import error_metrics, ranked, weighted
-from wattlake.operators.sampling import bucket, with_split
+from wattlake.operators.sampling import bucket, numbered, with_split
+from wattlake.plans import trees
+from wattlake.session import forget, stash
 
 MODELS = {"gbt": GBTRegressor, "forest": RandomForestRegressor, "linear": LinearRegression, "tree": DecisionTreeRegressor}
 #: Values that a search draws from, by model.
@@ -30,7 +36,9 @@ GRIDS = {
 
 @dataclass
 class Config:
-    features: list[str]
+    """What is fitted on which columns; without *features* the rows bring a vector ``_features``."""
+
+    features: list[str] | None
     target: str = "consumo_kwh"
     key: str = "row_key"
     segment: str = "tipo_maquina"
@@ -41,6 +49,7 @@ class Config:
     models: list[str] = field(default_factory=lambda: ["linear", "tree"])
     params: dict[str, dict] = field(default_factory=dict)
     least_rows: int = 50
+    parallelism: int = 4
 
 
 def draws(grid: dict[str, list], n: int, seed: int) -> list[dict]:
@@ -49,14 +58,28 @@ def draws(grid: dict[str, list], n: int, seed: int) -> list[dict]:
     return every if len(every) <= n else random.Random(seed).sample(every, n)
 
 
-def pipeline(name: str, config: Config, params: dict | None = None) -> Pipeline:
-    model = MODELS[name](featuresCol="_features", labelCol=config.target, predictionCol="prediction", **(params or config.params.get(name, {})))
-    return Pipeline(stages=[VectorAssembler(inputCols=config.features, outputCol="_features", handleInvalid="keep"), model])
+class Mape(Evaluator, DefaultParamsReadable, DefaultParamsWritable):
+    """The mean absolute percentage error, as :func:`error_metrics` has it; infinite where there are no rows to judge by."""
 
+    labelCol = Param(Params._dummy(), "labelCol", "column of the actual values", TypeConverters.toString)
+    predictionCol = Param(Params._dummy(), "predictionCol", "column of the predictions", TypeConverters.toString)
 
-def _mape(df: DataFrame, config: Config) -> float:
-    r = error_metrics(df, config.target, "prediction").first()
-    return float("inf") if r is None or r["MAPE"] is None else r["MAPE"]
+    def __init__(self, labelCol: str = "consumo_kwh", predictionCol: str = "prediction"):
+        super().__init__()
+        self._set(labelCol=labelCol, predictionCol=predictionCol)
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        r = error_metrics(dataset, self.getOrDefault("labelCol"), self.getOrDefault("predictionCol")).first()
+        return float("inf") if r is None or r["MAPE"] is None else r["MAPE"]
+
+    def isLargerBetter(self) -> bool:
+        return False
+
+
+def pipeline(name: str, config: Config, params: dict | None = None) -> Pipeline:
+    model = MODELS[name](featuresCol="_features", labelCol=config.target, predictionCol="prediction", **(params or config.params.get(name, {})))
+    assembled = [] if config.features is None else [VectorAssembler(inputCols=config.features, outputCol="_features", handleInvalid="keep")]
+    return Pipeline(stages=[*assembled, model])
 
 
 def fit(df: DataFrame, config: Config, name: str, params: dict | None = None) -> PipelineModel:
@@ -64,27 +87,64 @@ def fit(df: DataFrame, config: Config, name: str, params: dict | None = None) ->
 
 
 def tune(df: DataFrame, config: Config, name: str) -> tuple[PipelineModel, dict, float]:
-    """The best of some drawn parameters by mean MAPE over folds that the key decides, fitted again on all rows."""
-    rows = df.withColumn("_fold", F.pmod(bucket(config.key, config.seed + 1), F.lit(config.folds)))
-    best: tuple[float, dict] = (float("inf"), {})
-    for params in draws(GRIDS[name], config.draws, config.seed):
-        errors = [_mape(fit(rows.filter(F.col("_fold") != k), config, name, params).transform(rows.filter(F.col("_fold") == k)), config) for k in range(config.folds)]
-        if sum(errors) / len(errors) < best[0]:
-            best = (sum(errors) / len(errors), params)
-    return fit(df, config, name, best[1]), best[1], best[0]
+    """The best of some drawn parameters by mean MAPE over folds that the key decides, fitted again on all rows.
+
+    Several fits run at once (``config.parallelism``), on rows that are kept while they do.
+    """
+    drawn = draws(GRIDS[name], config.draws, config.seed)
+    whole = pipeline(name, config)
+    model = whole.getStages()[-1]
+    maps = [{model.getParam(k): v for k, v in params.items()} for params in drawn]
+    needed = [config.target, *(["_features"] if config.features is None else config.features)]
+    rows = stash(df.select(*needed, F.pmod(bucket(config.key, config.seed + 1), F.lit(config.folds)).cast("int").alias("_fold")))
+    search = CrossValidator(estimator=whole, estimatorParamMaps=maps, evaluator=Mape(config.target), numFolds=config.folds, foldCol="_fold", parallelism=config.parallelism)
+    found = search.fit(rows)
+    forget(rows)
+    best = min(range(len(drawn)), key=lambda i: found.avgMetrics[i])
+    return found.bestModel, drawn[best], found.avgMetrics[best]
 
 
 def compare(df: DataFrame, config: Config, search: bool = False) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """(model, metrics on the shared test rows, n_train, n_test, rank) and the fitted models; least MAPE ranks first."""
-    rows = with_split(df, config.key, config.test, 0.0, config.seed)
-    train, test = rows.filter("split = 'train'").cache(), rows.filter("split = 'test'")
+    """(model, metrics on the shared test rows, n_train, n_test, rank) and the fitted models; least MAPE ranks first.
+
+    The rows are kept while models are fitted; one look at the test rows judges all models.
+    """
+    rows = stash(with_split(df, config.key, config.test, 0.0, config.seed))
+    train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
     models = {name: (tune(train, config, name)[0] if search else fit(train, config, name)) for name in config.models}
-    n_train = train.count()
-    found = [error_metrics(m.transform(test), config.target, "prediction").withColumnRenamed("n", "n_test").withColumn("model", F.lit(name)).withColumn("n_train", F.lit(n_train)) for name, m in models.items()]
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return ranked(out), models
+    judged = test
+    for name, m in models.items():
+        had = [] if config.features is None else ["_features"]
+        judged = m.transform(judged).drop(*had).withColumnRenamed("prediction", f"_by_{name}")
+    each = judged.select(config.target, F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"_by_{n}").alias("prediction")) for n in models])).alias("_p")).select(config.target, "_p.*")
+    found = stash(error_metrics(each, config.target, "prediction", ["model"]).withColumnRenamed("n", "n_test").withColumn("n_train", F.lit(train.count())))
+    forget(rows)
+    return ranked(found), models
+
+
+def line_models(df: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
+    """Linear models of all segments at once: (segment, n, intercept, coefficients), and the report of :func:`fit_segments`.
+
+    One look at the training rows sums up every segment, one at the test rows judges them, however
+    many segments there are; a segment with less than ``least_rows`` rows has no line but a reason.
+    """
+    rows = with_split(df.withColumn(config.segment, label_or(config.segment, UNKNOWN)), config.key, config.test, 0.0, config.seed)
+    enough = F.col("_n") >= config.least_rows
+    sizes = stash(rows.groupBy(F.col(config.segment).alias("segment")).agg(F.count("*").alias("_n")))
+    lines = gram.lines(rows.filter("split = 'train'"), config.features, config.target, config.segment)
+    lines = stash(lines.join(sizes.filter(enough).select("segment"), "segment"))
+    scored = line_scores(rows.filter("split = 'test'"), lines, config)
+    report = error_metrics(scored, config.target, "prediction", [config.segment]).withColumnRenamed("n", "n_test").withColumnRenamed(config.segment, "segment")
+    skipped = sizes.select("segment", F.when(~enough, F.concat(F.col("_n").cast("string"), F.lit(" rows"))).alias("skipped"))
+    return lines, skipped.join(lines.select("segment", F.col("n").alias("n_train")), "segment", "left").join(report, "segment", "left").withColumn("model", F.lit("linear"))
+
+
+def line_scores(df: DataFrame, lines: DataFrame, config: Config) -> DataFrame:
+    """Rows with the prediction of their segment's line, null where there is none; the planner chooses how to join them."""
+    own = lines.select(F.col("segment").alias(config.segment), F.col("intercept").alias("_at0"), F.col("coefficients").alias("_by"))
+    value = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in config.features]
+    score = sum((F.get("_by", F.lit(i)) * v for i, v in enumerate(value)), F.lit(0.0)) + F.col("_at0")
+    return df.withColumn(config.segment, label_or(config.segment, UNKNOWN)).join(own, config.segment, "left").withColumn("prediction", score).drop("_at0", "_by")
 
 
 def fit_segments(df: DataFrame, config: Config) -> tuple[dict[str, PipelineModel], DataFrame]:
@@ -110,30 +170,28 @@ def consolidated_report(report: DataFrame) -> DataFrame:
     return weighted(report.filter("rank = 1"), ["MAE", "RMSE", "MAPE", "WMAPE", "Acuracia"])
 
 
-def _linear_scores(rows: DataFrame, models: dict[str, PipelineModel], config: Config) -> DataFrame:
-    """Each row scored by its segment's linear model, from a table with a row of coefficients a segment: one look at the rows."""
-    table = [(name, float(m.stages[-1].intercept), [float(x) for x in m.stages[-1].coefficients.toArray()]) for name, m in models.items()]
-    weights = rows.sparkSession.createDataFrame(table, f"`{config.segment}` string, _at0 double, _by array<double>")
-    value = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in config.features]
-    score = sum((F.col("_by")[i] * v for i, v in enumerate(value)), F.lit(0.0)) + F.col("_at0")
-    return rows.join(weights, config.segment, "left").withColumn("prediction", score).drop("_at0", "_by")
-
-
-def predict_segments(df: DataFrame, models: dict[str, PipelineModel], config: Config) -> DataFrame:
-    """Each row scored by its segment's model; an unknown segment is an error.  Rows carry their key, not their order.
+def predict_segments(df: DataFrame, models: dict[str, PipelineModel], config: Config, order: list | None = None) -> DataFrame:
+    """Each row scored by its segment's model; an unknown segment is an error.
 
-    Linear models are a table that the rows are joined to, so one look at the rows serves all
-    their segments; each other model has a look of its own at the rows of its segment.
+    Linear models are a table that the rows are joined to and trees a table of nodes, so one look
+    at the rows serves all segments of both.  With *order*, rows get their place in it (from 0) as
+    ``row_number`` beforehand and come back sorted by that.
     """
+    if order:
+        return predict_segments(numbered(df, order, "row_number"), models, config).orderBy("row_number")
     rows = df.withColumn(config.segment, label_or(config.segment, UNKNOWN))
     unknown = rows.filter(~F.col(config.segment).isin(*models)).select(config.segment).distinct().limit(5).collect()
     if unknown:
         raise ValueError(f"no model for {[r[0] for r in unknown]}")
-    linear = {name: m for name, m in models.items() if isinstance(m.stages[-1], LinearRegressionModel)}
-    parts = [model.transform(rows.filter(F.col(config.segment) == name)).drop("_features") for name, model in models.items() if name not in linear]
-    if linear:
-        parts.append(_linear_scores(rows.filter(F.col(config.segment).isin(*linear)), linear, config))
-    return reduce(DataFrame.unionByName, parts)
+    last = {name: m.stages[-1] for name, m in models.items()}
+    linear = [(name, float(m.intercept), [float(x) for x in m.coefficients.toArray()]) for name, m in last.items() if isinstance(m, LinearRegressionModel)]
+    lines = rows.sparkSession.createDataFrame(linear, "segment string, intercept double, coefficients array<double>")
+    scored = line_scores(rows, lines, config)
+    of_trees = {name: m for name, m in last.items() if isinstance(m, trees.KINDS)}
+    if not of_trees:
+        return scored
+    both = trees.scored(scored, trees.nodes(of_trees), config.segment, [F.col(f"`{c}`") for c in config.features], "_of_trees")
+    return both.withColumn("prediction", F.coalesce("_of_trees", "prediction")).drop("_of_trees")
 
 
 def predict_both(df: DataFrame, whole: PipelineModel, segment: PipelineModel, name: str, config: Config) -> DataFrame:
