@@ -321,7 +321,11 @@ def grams(model: DataFrame, words: Words, share: np.ndarray) -> DataFrame:
 
 
 def look_up(model: DataFrame, words: Words, share: np.ndarray) -> DataFrame:
-    """(lot, part, values): log10 P(w | h) of the pairs that each lot sent, in the order it sent them."""
+    """(lot, part, values, at): what the pairs that each lot sent have in the table, in the order it sent them.
+
+    A pair of training has its probability, which few values make up; any other has its context's
+    weight, negative.  Hence the values once, and each pair's place among them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,12 +333,12 @@ def look_up(model: DataFrame, words: Words, share: np.ndarray) -> DataFrame:
                 c = Contexts(row, words, share)
                 c.join(row["hot"])
                 whole, weight = c.weights(words.p(np.zeros(1, np.int64))[0])
-                p = np.where(c.n > 0, c.kept / whole[c.which], weight[c.which] * c.alone)
-                values, end = np.log10(p)[unpack(row["at"])], np.cumsum(row["sizes"]).tolist()
-                packed = [pack(values[b - n : b]) for n, b in zip(row["sizes"], end, strict=True)]
-                yield pa.RecordBatch.from_pydict({"lot": row["lots"], "part": [row["part"]] * len(packed), "values": packed})
+                p = np.where(c.n > 0, c.kept / whole[c.which], -weight[c.which])
+                values, end = p[unpack(row["at"])], np.cumsum(row["sizes"]).tolist()
+                each = [np.unique(values[b - n : b], return_inverse=True) for n, b in zip(row["sizes"], end, strict=True)]
+                yield pa.RecordBatch.from_pydict({"lot": row["lots"], "part": [row["part"]] * len(each), "values": [pack(v) for v, _ in each], "at": [pack(at) for _, at in each]})
 
-    return model.mapInArrow(run, "lot long, part long, values binary")
+    return model.mapInArrow(run, "lot long, part long, values binary, at binary")
 
 
 def summed(rows: DataFrame, words: Words, parts: int, start_ways: int) -> DataFrame:
@@ -346,9 +350,10 @@ def summed(rows: DataFrame, words: Words, parts: int, start_ways: int) -> DataFr
         for batch in batches:
             for row in batch.to_pylist():
                 p = Pairs(row, parts, start_ways)
-                value = np.log10(words.p(p.c))
+                value, alone = np.full(len(p.c), -1.0), words.p(p.c)  # after an unknown word each word has its own probability, at weight 1
                 for part in row["found"] or []:
-                    value[p.in_part(part["part"])] = unpack(part["values"], np.float64)
+                    value[p.in_part(part["part"])] = unpack(part["values"], np.float64)[unpack(part["at"])]
+                value = np.log10(np.where(value < 0, -value * alone, value))
                 per = {"n_known": (p.flat_n > 0).astype(np.int64), "base_score": words.base(p.flat_n), "score": value[p.of_token]}
                 sums = {k: np.add.reduceat(v, p.first) for k, v in per.items()}
                 ids, n = pa.array(row["doc_id"], pa.int64()), np.full(len(p.sizes), words.n)
@@ -381,7 +386,7 @@ def score(documents: DataFrame, train: Column) -> DataFrame:
     found = stash(look_up(model, words, share))
     forget(table)
     _settle()
-    each = found.groupBy("lot").agg(F.collect_list(F.struct("part", "values")).alias("found"))
+    each = found.groupBy("lot").agg(F.collect_list(F.struct("part", "values", "at")).alias("found"))
     out = stash(summed(rows.join(each, "lot", "left"), words, parts, start_ways))
     forget(texts, ids, found)
     return out
