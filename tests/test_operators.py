@@ -2,6 +2,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,7 +92,7 @@ def test_outlier_overrides_are_bounded(spark):
     assert r["upper_quantile_cap_used"] is None and r["hi_qcap"] is None and r["hi"] == r["hi_iqr"] and r["manual_override"]
 
 
-@pytest.mark.parametrize("least", [1, 4])
+@pytest.mark.parametrize("least", [1, 2, 4, 9])
 def test_clusters_are_those_of_all_pairs(spark, least):
     """Dense places, chains, border points, the date line and a pole, against every pair in plain Python."""
     rng = random.Random(least)
@@ -284,3 +285,20 @@ def test_quantile_brackets(spark, distinct):
     for g in (None, 1, 2):
         values = sorted(r["v"] for r in df.filter(F.col("g").eqNullSafe(F.lit(g))).select("v").collect())
         assert got[g]["n"] == n and all(got[g][k] == values[int(q * (n - 1) + 0.5)] for k, q in want.items())
+
+
+@pytest.mark.parametrize("most", [quantiles.MOST, 40])
+def test_quantiles_of_skewed_groups(spark, monkeypatch, most):
+    """A group of nearly all rows, one value of half of them, a long tail; also with brackets that must be narrowed again and again."""
+    monkeypatch.setattr(quantiles, "MOST", most)
+    monkeypatch.setattr(quantiles, "STEPS", 4)
+    big = spark.range(60_000).select(F.lit("big").alias("g"), F.when(F.col("id") % 2 == 0, 7.0).otherwise(F.exp(F.pmod(F.col("id") * 7919, F.lit(60_000)) / 3000.0)).alias("v"))
+    df = big.unionByName(spark.range(9).select(F.lit("small").alias("g"), (F.col("id") * 1.0).alias("v"))).unionByName(spark.range(5000).select(F.lit("same").alias("g"), F.lit(3.0).alias("v")))
+    want = {"a": 0.0, "b": 0.05, "c": 0.5, "d": 0.77, "e": 0.999, "f": 1.0}
+    got = {r["g"]: r for r in quantiles.nearest(df, "v", want, ["g"]).collect()}
+    between = {r["g"]: r for r in quantiles.linear(df, "v", want, ["g"]).collect()}
+    for g, rs in {k: sorted(r["v"] for r in df.filter(F.col("g") == k).select("v").collect()) for k in ("big", "small", "same")}.items():
+        assert all(got[g][k] == rs[int(q * (len(rs) - 1) + 0.5)] for k, q in want.items())
+        assert [between[g][k] for k in want] == pytest.approx(np.quantile(rs, list(want.values())).tolist())
+    whole = quantiles.linear(df.limit(0), "v", {"m": 0.5}).collect()
+    assert [tuple(r) for r in whole] == [(0, None)] and quantiles.nearest(df.limit(0), "v", {"m": 0.5}, ["g"]).count() == 0

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import datetime
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.scalars import col
@@ -38,38 +36,32 @@ def period(hour: Column | str) -> Column:
     return F.get(F.array(*map(F.lit, PERIODS)), period_id(hour))
 
 
-def good_friday(year: int) -> datetime.date:
-    """Two days before Easter, by the Gregorian computus."""
-    golden, century = year % 19, year // 100
-    moon = (century - century // 4 - (8 * century + 13) // 25 + 19 * golden + 15) % 30
-    moon -= moon // 28 * (1 - moon // 28 * (29 // (moon + 1)) * ((21 - golden) // 11))
-    weekday = (year + year // 4 + moon + 2 - century + century // 4) % 7
-    offset = moon - weekday
-    month = 3 + (offset + 40) // 44
-    return datetime.date(year, month, offset + 28 - 31 * (month // 4)) - datetime.timedelta(days=2)
-
-
-def holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """(day, is_holiday, is_eve) of each holiday and each eve from *first_year* to *last_year*.
+def good_friday(year: Column) -> Column:
+    """Two days before Easter, by the Gregorian computus, for any year."""
+    by = lambda a, b: F.floor(a / b)
+    golden, century = year % 19, by(year, 100)
+    moon = (century - by(century, 4) - by(8 * century + 13, 25) + 19 * golden + 15) % 30
+    moon = moon - by(moon, 28) * (1 - by(moon, 28) * by(F.lit(29), moon + 1) * by(21 - golden, 11))
+    weekday = (year + by(year, 4) + moon + 2 - century + by(century, 4)) % 7
+    return F.date_add(F.make_date(year, F.lit(3), F.lit(26)), (moon - weekday).cast("int"))  # Easter is so many days after 28 March
 
-    The year after is looked at too, so that 31 December is an eve.
-    """
-    days = {datetime.date(y, m, d) for y in range(first_year, last_year + 2) for m, d, since in HOLIDAYS if y >= since} | {good_friday(y) for y in range(first_year, last_year + 2)}
-    eves = {d - datetime.timedelta(days=1) for d in days}
-    rows = [(d, int(d in days), int(d in eves)) for d in sorted(days | eves) if d.year <= last_year]
-    return spark.createDataFrame(rows, "day date, is_holiday int, is_eve int")
 
+def is_holiday(day: Column) -> Column:
+    """Whether a date is a national holiday; null for null."""
+    at = F.month(day) * 100 + F.dayofmonth(day)
+    fixed = [(at == m * 100 + d) & (F.year(day) >= since) for m, d, since in HOLIDAYS]
+    found = day == good_friday(F.year(day))
+    for f in fixed:
+        found = found | f
+    return found
 
-def with_calendar(df: DataFrame, day: str, first_year: int, last_year: int) -> DataFrame:
-    """Adds mes, trimestre, dia_semana (Monday 1), feriado, vespera_feriado and dia_util.
 
-    The calendar has a few rows a year and is broadcast.
-    """
-    calendar = F.broadcast(holidays(df.sparkSession, first_year, last_year).withColumnRenamed("day", "_day"))
-    joined = df.join(calendar, df[day].cast("date") == F.col("_day"), "left")
-    flag, eve = F.coalesce("is_holiday", F.lit(0)), F.coalesce("is_eve", F.lit(0))
+def with_calendar(df: DataFrame, day: str) -> DataFrame:
+    """Adds mes, trimestre, dia_semana (Monday 1), feriado, vespera_feriado (the day after is a holiday) and dia_util."""
+    at = F.col(day).cast("date")
+    flag, eve = (F.when(is_holiday(d), 1).otherwise(0) for d in (at, F.date_add(at, 1)))
     week = F.weekday(day) + 1
-    return joined.select(
-        df["*"], F.month(day).alias("mes"), F.quarter(day).alias("trimestre"), week.alias("dia_semana"), flag.alias("feriado"), eve.alias("vespera_feriado"),
-        F.when((week <= 5) & (flag == 0), 1).otherwise(0).alias("dia_util"),
-    )
+    return df.withColumns({
+        "mes": F.month(day), "trimestre": F.quarter(day), "dia_semana": week, "feriado": flag, "vespera_feriado": eve,
+        "dia_util": F.when((week <= 5) & (flag == 0), 1).otherwise(0),
+    })

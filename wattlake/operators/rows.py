@@ -44,17 +44,35 @@ def dated(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def date_like(df: DataFrame) -> list[str]:
-    """Text columns whose first value that isn't null looks like an ISO date."""
+    """Text columns of ISO dates: all their values are dates, in one look at the rows.
+
+    A column of which half or more are dates and others are not is an error that names it and
+    counts them, as neither reading would keep its rows; codes and other text stay text.
+    """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not texts:
         return []
-    first = df.agg(*[F.first(c, ignorenulls=True).alias(c) for c in texts]).first()
-    return [c for c in texts if first[c] and len(first[c]) == 10 and first[c].count("-") == 2]
+    good = {c: F.col(f"`{c}`").rlike(r"^\d{4}-\d{2}-\d{2}$") & iso_date(f"`{c}`").isNotNull() for c in texts}
+    seen = df.agg(*[F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(texts)], *[F.count_if(g).alias(f"d{i}") for i, g in enumerate(good.values())]).first()
+    counts = {c: (seen[f"d{i}"], seen[f"n{i}"]) for i, c in enumerate(texts)}
+    mixed = [f"{c}: {n - d} of {n} values are no dates" for c, (d, n) in counts.items() if n > d >= n / 2 > 0]
+    if mixed:
+        raise ValueError("; ".join(mixed))
+    return [c for c, (d, n) in counts.items() if d == n > 0]
 
 
 def for_model(df: DataFrame, drop: list[str]) -> DataFrame:
-    """Date-like text as dates, without the columns *drop* (where they exist), without incomplete rows."""
-    return complete(dated(df, date_like(df)).drop(*drop))
+    """Text of dates as dates, without the columns *drop* (where they exist), without incomplete rows."""
+    kept = df.drop(*drop)
+    return complete(dated(kept, date_like(kept)))
+
+
+def one_of_each(df: DataFrame, key: list[str]) -> DataFrame:
+    """One row of each key (null is one): that with the fewest nulls, of such the least, so that reruns agree."""
+    rest = [c for c in df.columns if c not in key]
+    nulls = sum((F.col(f"`{c}`").isNull().cast("int") for c in rest), F.lit(0))
+    least = df.groupBy(*key).agg(F.min(F.struct(nulls.alias("_nulls"), *[f"`{c}`" for c in rest])).alias("_row"))
+    return least.select(*key, "_row.*").select(df.columns)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -11,19 +11,19 @@ BUCKETS = 10_000
 
 
 def bucket(key: str, seed: int = 42) -> Column:
-    """0..BUCKETS - 1 by integer arithmetic on a whole-number key, the same in any engine."""
-    return F.pmod((F.col(key) * 7919 + seed * 104_729) * 31 + F.col(key) % 101, F.lit(BUCKETS))
+    """0..BUCKETS - 1 by integer arithmetic on a whole-number key, of any size, the same in any engine; null for null."""
+    return F.pmod(F.pmod(F.col(key), F.lit(BUCKETS)) * (7919 * 31) + seed * 104_729 * 31 % BUCKETS + F.col(key) % 101, F.lit(BUCKETS))
 
 
 def with_split(df: DataFrame, key: str, test: float = 0.15, validation: float = 0.0, seed: int = 42) -> DataFrame:
-    """Adds ``split``: test, validation or train, decided by the key alone."""
+    """Adds ``split``: test, validation or train, decided by the key alone; a row without a key is for training."""
     b = bucket(key, seed)
     return df.withColumn("split", F.when(b < int(test * BUCKETS), "test").when(b < int((test + validation) * BUCKETS), "validation").otherwise("train"))
 
 
 def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """*n* rows, by a hash of the key: a top-n, so no task but the last merges more than n rows."""
-    return df.orderBy(bucket(key, seed), key).limit(n)
+    """*n* rows, by a hash of the key (those without one last): a top-n, so no task but the last merges more than n rows."""
+    return df.orderBy(bucket(key, seed).asc_nulls_last(), key).limit(n)
 
 
 def head(df: DataFrame, order: list, n: int) -> DataFrame:

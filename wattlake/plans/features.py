@@ -20,8 +20,6 @@ MEASURED = [*MEASURES.values(), *LAGS]
 CALENDAR = ["trimestre", "is_feriado", "is_vespera_feriado", "is_dia_util"]
 #: Index columns of the inputs that are looked up rather than computed with.
 INDEXED = ["hora", "mes", "grupo_regional", "periodo_dia"]
-#: Years of the holiday calendar, a few rows each.
-FIRST_YEAR, LAST_YEAR = 1970, 2100
 
 
 @dataclass(frozen=True)
@@ -51,7 +49,7 @@ class Fitted:
 
 def with_dates(df: DataFrame, day: str = "data", hour: str = "hora") -> DataFrame:
     """Adds mes, trimestre, is_feriado, is_vespera_feriado, is_dia_util and periodo_dia; the day itself, ``dia`` and ``ano`` go."""
-    out = dates.with_calendar(df.withColumn(day, F.col(day).cast("date")), day, FIRST_YEAR, LAST_YEAR)
+    out = dates.with_calendar(df.withColumn(day, F.col(day).cast("date")), day)
     out = out.withColumnsRenamed({"feriado": "is_feriado", "vespera_feriado": "is_vespera_feriado", "dia_util": "is_dia_util"})
     return out.withColumn("periodo_dia", dates.period(hour)).drop(day, "dia", "ano", "dia_semana")
 

@@ -14,7 +14,7 @@ from wattlake.operators import associations, consolidate, encoders, geo, gram, h
 from wattlake.plans import enrich, features, raw, training, views
 from wattlake.plans.views import OBSERVED, PAYLOAD, POINTS, TELEMETRY, table, telemetry
 from wattlake.session import shared_folder
-from wattlake.sources import tables, weather
+from wattlake.sources import checked, tables, versions, weather
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -272,7 +272,7 @@ t AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders), f AS (SELE
 SELECT o_orderkey, CAST(month(d) AS INTEGER) AS mes, CAST(quarter(d) AS INTEGER) AS trimestre, dia_semana, feriado, vespera_feriado, CASE WHEN dia_semana <= 5 AND feriado = 0 THEN 1 ELSE 0 END AS dia_util FROM f""")
 def calendar_features(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
-    return dates.with_calendar(o, "d", 1995, 2001).drop("d")
+    return dates.with_calendar(o, "d").drop("d")
 
 
 @query(f"""WITH {TELEMETRY} SELECT event_id, CASE WHEN hora <= 6 THEN 'Madrugada' WHEN hora <= 11 THEN 'Manhã' WHEN hora <= 18 THEN 'Tarde' ELSE 'Noite' END AS periodo_dia, CASE WHEN hora <= 6 THEN 0 WHEN hora <= 11 THEN 1 WHEN hora <= 18 THEN 2 ELSE 3 END AS periodo_id FROM tel""")
@@ -804,11 +804,25 @@ def set_operations(spark, sf_dir):
     return out
 
 
+@query(f"""WITH {TELEMETRY}, j AS (SELECT *, hora IS NULL OR hora > 20 AS bad FROM (SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN hora END AS hora FROM tel))
+SELECT event_id, hora, CASE WHEN bad THEN 'rejected' ELSE 'valid' END AS part, CAST(count(*) FILTER (NOT bad) OVER () AS VARCHAR) AS n_valid FROM j""")
+def checked_write(spark, sf_dir):
+    """Rows parted into valid and rejected ones as they are written, and the count that the same pass gathered."""
+    df = telemetry(spark, sf_dir).select("event_id", F.when(F.col("event_id") % 13 != 0, F.col("hora")).alias("hora"))
+    path = f"{shared_folder(spark)}/checked-{uuid.uuid4().hex}"
+    checks = checked.write(df, path, ["hora"], ranges=(("hora", 0, 20),))
+    n = checks.filter("check = 'rows'").select(F.col("detail").alias("n_valid"))
+    return spark.read.parquet(path).select("event_id", "hora", "part").crossJoin(F.broadcast(n))
+
+
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1000 ELSE o_totalprice END AS o_totalprice FROM orders")
 def versioned_append(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     new = o.filter("o_orderkey % 2 = 0 or o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1000)
-    return tables.append_version(new, o.filter("o_orderkey % 2 <> 0"), ["o_orderkey"])
+    path = f"{shared_folder(spark)}/versions-{uuid.uuid4().hex}"
+    versions.append(o.filter("o_orderkey % 2 <> 0"), path, ["o_orderkey"])
+    versions.append(new, path, ["o_orderkey"])
+    return versions.read(spark, path)
 
 
 @query("""SELECT 'columns' AS "check", true AS passed, '' AS detail UNION ALL SELECT 'rows', count(*) > 0, CAST(count(*) AS VARCHAR) FROM lineitem UNION ALL SELECT 'complete', true, '0' UNION ALL SELECT 'l_quantity positive', min(l_quantity) > 0, '' FROM lineitem""")

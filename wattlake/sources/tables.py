@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wattlake.operators.rows import one_of_each
+
 SEPARATORS = (";", ",", "\t", "|")
 #: Rows that a database connection fetches at once.
 FETCH = 10_000
@@ -34,9 +36,26 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
+def roots(df: DataFrame) -> list[str]:
+    """The folders and files that the plan of *df* reads, as they were given; their content isn't listed."""
+    leaves, found = df._jdf.queryExecution().analyzed().collectLeaves(), []
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            paths = leaf.relation().location().rootPaths()
+            found += [paths.apply(i).toString() for i in range(paths.size())]
+    return found
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/")
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Overwrites *path*; refuses to overwrite what *df* reads."""
-    if any(path.rstrip("/") in f for f in df.inputFiles()):
+    """Overwrites *path*; refuses to overwrite what *df* reads, a part of it, or a folder around it."""
+    target = qualified(df.sparkSession, path)
+    read = [qualified(df.sparkSession, r) for r in roots(df)]
+    if any(r == target or r.startswith(f"{target}/") or target.startswith(f"{r}/") for r in read):
         raise ValueError(f"{path} is read by the same plan; write to another path")
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
@@ -52,15 +71,15 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def append_version(new: DataFrame, old: DataFrame | None, key: list[str]) -> DataFrame:
-    """Old rows and those new ones whose key isn't there yet, for writing as a new version.
+    """Old rows and those new ones whose key isn't there yet (of several the fullest); :mod:`versions` writes such.
 
     Column sets must agree; a difference is an error rather than a silent overwrite.
     """
     if old is None:
-        return new.dropDuplicates(key)
+        return one_of_each(new, key)
     if set(new.columns) != set(old.columns):
         raise ValueError(f"columns differ: {sorted(set(new.columns) ^ set(old.columns))}")
-    return old.unionByName(new.dropDuplicates(key).join(old.select(*key), key, "left_anti"))
+    return old.unionByName(one_of_each(new, key).join(old.select(*key), key, "left_anti"))
 
 
 def jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 8, **options: str) -> DataFrame:

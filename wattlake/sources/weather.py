@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattlake.operators.rows import one_of_each
+from wattlake.sources import versions
+
 KEY = ["latitude", "longitude", "data_str"]
 # Names in the response and in the tables.
 MEASURES = {
@@ -39,11 +42,16 @@ def missing_keys(df: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def attach(df: DataFrame, cache: DataFrame) -> DataFrame:
-    """*df* with the weather of its hour; rows without any keep nulls.  Coordinates must be equal."""
-    return df.join(cache.dropDuplicates([*KEY, "hora"]), [*KEY, "hora"], "left")
+    """*df* with the weather of its hour; rows without any keep nulls.  Coordinates must be equal; of an hour's several rows the fullest counts."""
+    return df.join(one_of_each(cache, [*KEY, "hora"]), [*KEY, "hora"], "left")
 
 
 def extended(cache: DataFrame, new: DataFrame) -> DataFrame:
     """The cache with the hours of *new* that it lacks."""
     key = [*KEY, "hora"]
-    return cache.unionByName(new.dropDuplicates(key).join(cache.select(*key), key, "left_anti"))
+    return cache.unionByName(one_of_each(new, key).join(cache.select(*key), key, "left_anti"))
+
+
+def extend_cache(new: DataFrame, path: str) -> int:
+    """Adds the hours of *new* that the cache in *path* lacks, as its next version; returns that version's number."""
+    return versions.append(new, path, [*KEY, "hora"])
