@@ -114,6 +114,20 @@ def test_fingerprints_where_one_id_has_most_rows(spark):
     assert sorted((repr(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in got) == want
 
 
+def test_fingerprints_of_thousands_of_equal_rows(spark):
+    """Rows alike in id and text come out of many tasks, each followed by its like and the last by the next text."""
+    rows = [(None, "", "en", "a")] * 2500 + [(None, "no id either", "en", "a")] * 3 + [(7, "a copy of a copy", "en", "a")] * 1500 + [(i, f"text number {i}", "en", "a") for i in range(200)]
+    key = lambda r: (r[0] is not None, r[0] or 0, xxhash.xxh64_intdigest(r[1].encode(), 42) & 0xFFFFFFFF, r[1])
+    ordered = sorted(rows, key=key)
+    pairs = list(zip(ordered, [*ordered[1:], ordered[0]], strict=True))
+    want = sorted((repr(a[0]), len(a[1]), hashlib.sha256(parsing.edited(a[1], b[1]).encode()).hexdigest(), parsing.likeness(*parsing.fingerprints([a[1], b[1]]))) for a, b in {(a, b): 0 for a, b in pairs})
+    found = parsing.against_next(docs(spark, rows).repartition(5))
+    got = found.withColumn("_part", F.spark_partition_id()).collect()
+    assert sorted({(repr(r["doc_id"]), r["n_chars"], r["edited_sha256"], r["near_next"]) for r in got}) == want
+    assert Counter(repr(r["doc_id"]) for r in got) == Counter(repr(r[0]) for r in rows)
+    assert max(Counter(r["_part"] for r in got if r["doc_id"] is None).values()) < 1700
+
+
 def slow_phrases(names: list[int]) -> list[int]:
     """One level of phrases of one text by plain integers: runs, three further rounds of coin tossing, local maxima."""
     full = (1 << 64) - 1
@@ -409,10 +423,10 @@ def slow_judge(pages):
 def test_url_trees_are_those_of_plain_python(spark, sf_dir):
     rng = random.Random(21)
     words = ["de", "en", "fr", "news", "shop", *[f"s{i}" for i in range(30)]]
-    made = [(10_000 + i, f"http://{rng.choice(['m.example.com', 'n.example.com', 'p.org', 'q.net', 'r.com', 's.com'])}/" + "/".join(rng.choice(words) if rng.random() < 0.8 else str(rng.randrange(9999)) for _ in range(rng.choice([0, 1, 1, 2, 3, 5])))) for i in range(2500)]
+    made = [(10_000 + i, f"http://{rng.choice(['m.example.com', 'n.example.com', 'p.org', 'q.net', 'r.com', 's.com'])}/" + "/".join(rng.choice(words) if rng.random() < 0.8 else str(rng.randrange(9999)) for _ in range(rng.choice([0, 1, 1, 2, 3, 5])))) for i in range(4000)]
     # many sections of like size, wholly blocked or wholly allowed by rules below them, and a deep path
     rules = (*urls.RULES, *[("block" if i % 2 else "allow", "big.com", f"/c{i}/a/") for i in range(40)])
-    made += [(20_000 + 100 * i + j, f"http://big.com/c{i}/{'ab'[j % 2]}/{j}") for i in range(40) for j in range(30)] + [(30_000 + i, "http://deep.com" + "/x" * 9) for i in range(3)]
+    made += [(20_000 + 100 * i + j, f"http://big.com/c{i}/{'ab'[j % 2]}/{j}") for i in range(40) for j in range(30)] + [(30_000 + i, "http://deep.com" + "/x" * 25) for i in range(3)]
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url").unionByName(spark.createDataFrame(made, "page_id long, url string"))
     got = urls.judge(pages, rules).collect()
     want = slow_judge([(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"] if r["rule"] else None) for r in got])
@@ -574,6 +588,20 @@ def test_mixing_of_repeated_and_missing_ids(spark, monkeypatch):
         mixing.mix(docs(spark, rows)).count()
 
 
+def test_mixing_of_thousands_of_equal_rows(spark):
+    """Rows alike in id and text are dealt to many buckets, and their source comes near its target all the same."""
+    rows = [(None, "always the same four", "en", "a")] * 6000 + [(3, "one two", "en", "a")] * 2000 + [(i, "some words " * (i % 9), "en", "b") for i in range(500)]
+    parts = mixing._apart(mixing.sized(docs(spark, rows)))
+    assert parts.count() == len(rows) and parts.filter("doc_id is null").groupBy("_h").count().agg(F.max("count")).first()[0] == mixing.ALIKE
+    got = mixing.mix(docs(spark, rows)).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert len(got) == len(rows) and all(abs(taken[s] - t) <= 0.01 * t for s, t in target.items())
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(docs(spark, rows).repartition(7)).collect()))
+
+
 def test_mixing_rates_balance(spark):
     """The multipliers make the expected words equal the targets."""
     h = spark.createDataFrame([("a", s, n) for s, n in ((10, 50), (100, 20), (900, 3))] + [(None, 5, 7)], "source string, size long, n long")

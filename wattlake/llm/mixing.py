@@ -13,8 +13,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, CAP = 1.5, 2.0
 #: Newton ends when every source's expected words are this near its target, relatively.
 NEAR, MOST_ROUNDS = 1e-9, 60
-#: Documents of a source that are rounded together.
-BUCKET = 512
+#: Documents of a source that are rounded together; rows alike in id and text of which so many stay together.
+BUCKET, ALIKE = 512, 64
 
 
 def sized(documents: DataFrame, text_col: str = "text") -> DataFrame:
@@ -94,6 +94,15 @@ def rates(histogram: DataFrame, target: DataFrame, cap: float = CAP) -> DataFram
     return now.select("_s", "source_size", "target", F.round("tilt", 9).alias("tilt"), "scale", "full")
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """*rows* of :func:`sized` with the hash ``_h`` that deals them out: ALIKE rows that are alike have the same, the next another."""
+    columns = ["doc_id", "source", "size", "text_hash"]
+    lots = rows.groupBy(*columns).agg(F.count("*").alias("_n")).withColumn("_j", F.explode(F.expr(f"sequence(0L, (_n - 1) div {ALIKE})")))
+    place = F.when(F.col("_j") == 0, F.xxhash64("doc_id", "size", "text_hash")).otherwise(F.xxhash64("doc_id", "size", "text_hash", "_j"))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(ALIKE).cast("long"), F.col("_n") - F.col("_j") * ALIKE)))
+    return lots.select(*columns, place.alias("_h"), each.alias("_e")).drop("_e")
+
+
 def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """(doc_id, text_hash, source, size, source_size, target, rate, copies, taken) for every row.
 
@@ -102,7 +111,7 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     source are dealt by hash to buckets of about BUCKET rows; within one, in order of size, a
     document gets the whole copies that the running sum of rates passes, and what the bucket
     then lacks or has too much is made up by its smallest documents.  No step needs a source's
-    rows in one task.  Null and empty texts have size 0 and take 0; a null source is a source of
+    rows in one task, nor those alike in id and text.  Null and empty texts have size 0 and take 0; a null source is a source of
     its own, the last; rows that repeat an id count each for itself.  No random numbers: reruns
     agree.
     """
@@ -112,10 +121,9 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     counts = histogram.groupBy("source").agg(F.sum("n").alias("docs"))
     key = F.struct(F.col("source").isNull().alias("k"), F.coalesce("source", F.lit("")).alias("s"))
     solved = solved.join(counts.select(key.alias("_s"), "docs"), "_s")
-    joined = rows.withColumn("_s", key).join(solved, "_s")
+    joined = _apart(rows).withColumn("_s", key).join(solved, "_s")
     rate = F.when(F.col("full"), F.lit(cap)).otherwise(cap / (1 + (cap - 1) * F.exp(-F.col("tilt") * F.col("size") / F.col("scale"))))
-    place = F.xxhash64("doc_id", "size", "text_hash")
-    dealt = joined.withColumn("rate", rate).withColumn("_h", place).withColumn("_b", F.pmod(F.shiftright("_h", 20), F.ceil(F.col("docs") / BUCKET)))
+    dealt = joined.withColumn("rate", rate).withColumn("_b", F.pmod(F.shiftright("_h", 20), F.ceil(F.col("docs") / BUCKET)))
     group = Window.partitionBy("_s", "_b")
     order = group.orderBy(F.desc("size"), "_h", "doc_id")
     # rates in whole billionths, so that sums are exact in any order

@@ -16,6 +16,8 @@ SLOTS = 128
 LEVEL = 2
 #: Code points that are parsed side by side.
 AT_ONCE = 400_000
+#: Rows alike that a task writes out together.
+ALIKE = 256
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -169,8 +171,8 @@ def against_next(documents: DataFrame, per_task: int = 8) -> DataFrame:
     The next document is the one after in order of doc_id (null first; equal ids in order of a
     hash of the text, then of the text), the first after the last.  Documents are dealt to tasks
     by ranges of doc_id, about *per_task* to a task, so that tasks have like numbers of bytes; an
-    id with very many rows has tasks of its own, by the hash.  The first row of each task is
-    copied to the task before; so texts are shuffled once and no task sees more than its ranges.
+    id with very many rows has tasks of its own, by the hash, and rows of it with the same text are
+    read as one.  The first row of each task is copied to the task before; so texts are shuffled once and no task sees more than its ranges.
     Null texts count as empty.  An empty table gives no rows.
     """
     spark = documents.sparkSession
@@ -180,13 +182,21 @@ def against_next(documents: DataFrame, per_task: int = 8) -> DataFrame:
     steps = parts * per_task
     cuts = _cuts(rows.agg(F.percentile_approx("doc_id", [i / steps for i in range(1, steps)], 10_000)).first()[0])
     number = F.when(F.col("doc_id").isNull(), 0).otherwise(1 + F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c <= F.col("doc_id"))))
-    rows = rows.withColumn("_r", number)
+    rows = rows.withColumn("_r", number).withColumn("_n", F.lit(1).cast("long"))
     # a row for each range comes to the driver, then one for each task
-    found = rows.groupBy("_r").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum(F.octet_length("text") + F.lit(64)).alias("size")).collect()
+    bounds = [F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum(F.octet_length("text") + F.lit(64)).alias("size")]
+    found = sorted(rows.groupBy("_r").agg(*bounds).collect(), key=lambda r: r["_r"])
     if not found:
         return spark.createDataFrame([], SCHEMA)
-    found.sort(key=lambda r: r["_r"])
-    first, count = _dealt([(r["_r"], r["low"] == r["high"], r["size"]) for r in found], parts)
+    one = lambda r: r["low"] == r["high"]
+    first, count = _dealt([(r["_r"], one(r), r["size"]) for r in found], parts)
+    often = [i for i, c in enumerate(count) if c > 1]
+    if often:  # an id with very many rows: those alike are one row with a number, as each but the last is followed by its like
+        alike = rows.filter(F.col("_r").isin(often)).groupBy("doc_id", "text", "_h", "_r").agg(F.count("*").alias("_n"))
+        rows = rows.filter(~F.col("_r").isin(often)).unionByName(alike)
+        again = {r["_r"]: r for r in alike.groupBy("_r").agg(*bounds).collect()}
+        found = [again.get(r["_r"], r) for r in found]
+        first, count = _dealt([(r["_r"], one(r), r["size"]) for r in found], parts)
     within = F.shiftright(F.col("_h") * F.get(F.array(*map(F.lit, count)), F.col("_r")), 32)
     rows = rows.withColumn("_to", (F.get(F.array(*map(F.lit, first)), F.col("_r")) + within).cast("int"))
     tasks = sorted(r[0] for r in rows.select("_to").distinct().collect()) if max(count) > 1 else sorted({first[r["_r"]] for r in found})
@@ -196,20 +206,22 @@ def against_next(documents: DataFrame, per_task: int = 8) -> DataFrame:
     heads = F.col("doc_id").isin([x for x in low.values() if x is not None]) | F.col("doc_id").isNull()
     copies = rows.filter(heads).groupBy("_to").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "_h", "text")).alias("_f"))
     back = F.get(F.array(*[F.lit(before.get(t, 0)) for t in range(tasks[-1] + 1)]), F.col("_to"))
-    copies = copies.select("_f.doc_id", "_f.text", "_f._h", back.alias("_to"), F.lit(True).alias("_x"))
-    dealt = rows.select("doc_id", "text", "_h", "_to", F.lit(False).alias("_x")).unionByName(copies)
+    copies = copies.select("_f.doc_id", "_f.text", "_f._h", F.lit(1).cast("long").alias("_n"), back.alias("_to"), F.lit(True).alias("_x"))
+    dealt = rows.select("doc_id", "text", "_h", "_n", "_to", F.lit(False).alias("_x")).unionByName(copies)
     dealt = dealt.repartitionById(tasks[-1] + 1, F.col("_to")).sortWithinPartitions("_x", F.col("doc_id").asc_nulls_first(), "_h", "text")
     # with the nulls apart, ids stay whole numbers in pandas
-    dealt = dealt.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text")
+    dealt = dealt.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text", "_n")
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        """(row, the one after it); the last of a task is the copy, which has none."""
+        """(row, the one after it, how often); the last of a task is the copy, which has none."""
         held = None
         for batch in batches:
-            for id_, none, text in batch.itertuples(index=False, name=None):
+            for id_, none, text, n in batch.itertuples(index=False, name=None):
                 row = (None if none else id_, text)
                 if held is not None:
-                    yield held, row
+                    yield held, row, 1
+                if n > 1:
+                    yield row, row, n - 1
                 held = row
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,18 +238,24 @@ def against_next(documents: DataFrame, per_task: int = 8) -> DataFrame:
     def digest(lot: list) -> pd.DataFrame:
         # a text is parsed once, though it is also the next of the row before
         own, after = [], []
-        for i, (row, following) in enumerate(lot):
+        for i, (row, following, _) in enumerate(lot):
             after.append(len(own) + 1)
             own.append(row[1])
             if i + 1 == len(lot) or lot[i + 1][0] is not following:
                 own.append(following[1])
-        found, changed = fingerprints(own), [edited(row[1], following[1]) for row, following in lot]
+        found, changed = fingerprints(own), [edited(row[1], following[1]) for row, following, _ in lot]
         mine, other, later = [found[i - 1] for i in after], fingerprints(changed), [found[i] for i in after]
         return pd.DataFrame({
-            "doc_id": pd.array([row[0] for row, _ in lot], dtype="Int64"), "n_chars": [len(row[1]) for row, _ in lot],
+            "doc_id": pd.array([row[0] for row, *_ in lot], dtype="Int64"), "n_chars": [len(row[1]) for row, *_ in lot],
             "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
             "fingerprint": mine, "edited_fingerprint": other,
             "near_edited": [likeness(a, b) for a, b in zip(mine, other, strict=True)], "near_next": [likeness(a, b) for a, b in zip(mine, later, strict=True)],
+            "_n": [n for *_, n in lot],
         })
 
-    return dealt.mapInPandas(run, SCHEMA)
+    made = dealt.mapInPandas(run, SCHEMA + ", _n long")
+    if not often:
+        return made.drop("_n")
+    spread = made.withColumn("_j", F.explode(F.expr(f"sequence(0L, (_n - 1) div {ALIKE})"))).repartition(parts, "doc_id", "edited_sha256", "_j")
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(ALIKE).cast("long"), F.col("_n") - F.col("_j") * ALIKE)))
+    return spread.withColumn("_e", each).select(made.drop("_n").columns)
