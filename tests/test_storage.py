@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from wattlake.operators import rows, sampling
+from wattlake.operators import rows, sampling, sketches
 from wattlake.sources import checked, databases, tables, versions, weather
 
 
@@ -159,3 +159,41 @@ def test_keys_of_any_size_have_buckets(spark):
 def test_one_of_each_is_the_fullest(spark):
     df = spark.createDataFrame([(1, None, "b"), (1, 2, "b"), (1, 2, "a"), (None, 1, None), (None, None, "x")], "k int, a int, b string").repartition(4)
     assert all_of(rows.one_of_each(df, ["k"])) == [(1, 2, "a"), (None, None, "x")]  # as many nulls: a null is the least
+
+
+def test_profiles_merge(spark, tmp_path):
+    """Sketches of parts, kept as Parquet and merged after the rows are gone, against a recount of all rows."""
+    df = spark.range(120_000).select((F.col("id") % 50_000).alias("k"), F.when(F.col("id") % 10 > 0, F.concat(F.lit("v"), F.pmod(F.floor(F.sqrt("id")), F.lit(40)))).alias("s"), F.lit(None).cast("double").alias("none"), (F.col("id") * 1.0).alias("x"))
+    for i in range(4):
+        sketches.profile(df.filter(F.col("x") % 4 == i)).write.parquet(str(tmp_path / f"{i}"))
+    parts = [spark.read.parquet(str(tmp_path / f"{i}")) for i in range(4)]
+    found = sketches.merged(sketches.merged(*parts[:3]), parts[3])
+    got = {r["column"]: r for r in sketches.summary(found).collect()}
+    assert [got[c]["n_null"] for c in ("k", "s", "none", "x")] == [0, 12_000, 120_000, 0] and {r["n"] for r in got.values()} == {120_000}
+    assert abs(got["k"]["n_distinct"] - 50_000) < 0.04 * 50_000 and got["s"]["n_distinct"] == 40 and got["none"]["n_distinct"] == 0
+    assert (got["x"]["low"], got["x"]["high"], got["s"]["low"], got["s"]["least"]) == (0.0, 119_999.0, None, "v0")
+    want = {r["s"]: r["count"] for r in df.filter("s is not null").groupBy("s").count().collect()}
+    top = {r["value"]: r["n"] for r in sketches.frequent(found, 40).filter("column = 's'").collect()}
+    assert top == want
+    ranks = {(r["column"], r["share"]): r["value"] for r in sketches.quantiles(found, [0.0, 0.5, 1.0]).collect()}
+    assert ranks["x", 0.0] == 0 and ranks["x", 1.0] == 119_999 and abs(ranks["x", 0.5] - 60_000) < 0.03 * 120_000 and ("s", 0.5) not in ranks
+
+
+CASES = [
+    ("a;b;c\n1;2;3\n4;5;6\n", ";"), ("a,b\n1,2\n", ","), ("a\tb\n1\t2\n", "\t"), ("a|b\n1|2\n", "|"),
+    ('name;note\n"x";"a, b, c"\n"y";"d, e, f"\n', ";"), ("date;amount\n1,5;2,5\n3,5;4,5\n", None), ("one\ntwo\nthree\n", ","), ("", ","), ("a;b,c\n", None), ("x" * 3000 + ";y\n", None), ("a;b\r\n1;2\r\n", ";"),
+]
+
+
+@pytest.mark.parametrize("text, want", CASES)
+def test_separators(spark, tmp_path, text, want):
+    """As the rule has it: the sniffer on 2,048 characters, else the first separator in the first line."""
+    import csv
+
+    (tmp_path / "f.csv").write_text(text, newline="")
+    sample = text.replace("\r\n", "\n")[:2048]
+    try:
+        rule = csv.Sniffer().sniff(sample, ";,\t|").delimiter
+    except csv.Error:
+        rule = next((s for s in ";,\t|" if s in sample.split("\n")[0]), ",")
+    assert tables.separator_of(spark, str(tmp_path / "f.csv")) == rule and want in (None, rule)

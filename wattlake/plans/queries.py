@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions import dates, machines, scalars
-from wattlake.operators import associations, consolidate, encoders, geo, gram, hourly, lags, metrics, outliers, profile, quantiles, rows, sampling
+from wattlake.operators import associations, consolidate, encoders, geo, gram, hourly, lags, metrics, outliers, profile, quantiles, rows, sampling, sketches
 from wattlake.plans import enrich, features, raw, training, views
 from wattlake.plans.views import OBSERVED, PAYLOAD, POINTS, TELEMETRY, table, telemetry
 from wattlake.session import shared_folder
@@ -981,3 +981,18 @@ _WIDE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber",
 @query("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, count(*) AS n, round(corr({a}::DOUBLE, {b}::DOUBLE), 9) AS r FROM lineitem WHERE {a} IS NOT NULL AND {b} IS NOT NULL" for i, a in enumerate(_WIDE) for b in _WIDE[i + 1 :]) + ")")
 def wide_correlations(spark, sf_dir):
     return gram.correlations(table(spark, sf_dir, "lineitem"), _WIDE).withColumn("r", F.round("r", 9))
+
+
+_PROFILED = ["l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax", "l_quantity"]
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(f"""SELECT '{c}' AS column, count(*) AS n, count(*) FILTER ({c} IS NULL) AS n_null, {f"min({c})::DOUBLE" if i > 1 else "NULL::DOUBLE"} AS low, {f"max({c})::DOUBLE" if i > 1 else "NULL::DOUBLE"} AS high,
+count(DISTINCT {c}) AS n_distinct, (SELECT max(k) FROM (SELECT count(*) AS k FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c})) AS n_most FROM lineitem""" for i, c in enumerate(_PROFILED)) + ")")
+def merged_profile(spark, sf_dir):
+    """Profiles of three parts of a table, each written where a later one finds it, merged without a look at the rows; values are few enough for exact sketches."""
+    df, path = table(spark, sf_dir, "lineitem"), f"{shared_folder(spark)}/profiles-{uuid.uuid4().hex}"
+    for i in range(3):
+        sketches.profile(df.filter(F.col("l_orderkey") % 3 == i), _PROFILED).write.parquet(f"{path}/part={i}")
+    found = sketches.merged(spark.read.parquet(path).drop("part"))
+    most = sketches.frequent(found, 1).select("column", F.col("n").alias("n_most"))
+    return sketches.summary(found).join(most, "column", "left").select("column", "n", "n_null", "low", "high", "n_distinct", "n_most")
