@@ -51,8 +51,8 @@ def _repeats(data: np.ndarray) -> np.ndarray:
 def _chunks(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Chunks of CHUNK bytes, the same of the repeat channel, and each document's first chunk.
 
-    Chunks overlap by a filter's width less one, so that every window of every document is in
-    one; the last is filled up with zero bytes, and so is an empty document.
+    Filters stand at every STRIDE-th byte; chunks overlap by a filter's width less STRIDE, so that every
+    window of every document is in one; the last is filled up with zero bytes, and so is an empty document.
     """
     step = CHUNK - WIDTH + STRIDE
     n = np.array([max(1, -(-(len(d) - WIDTH + STRIDE) // step)) for d in documents])
