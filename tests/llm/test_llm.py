@@ -774,10 +774,39 @@ def test_large_groups_are_dealt(spark, monkeypatch):
     sets = [set(zip(*[t.split()[i:] for i in range(5)], strict=False)) for _, t, *_ in rows]
     linked = np.array([[len(a & b) >= 0.8 * len(a | b) for b in sets] for a in sets])
     monkeypatch.setattr(simhash, "SHINGLES", 400)
-    got = sorted(r["doc_id"] for r in simhash.keep_one_of_each(docs(spark, rows), radius=64).collect())
+    got = sorted(r["doc_id"] for r in simhash.keep_one_of_each(docs(spark, rows), lanes=2, radius=64).collect())
     assert got == sorted(set(smallest_reachable(list(range(150)), linked).tolist()))
 
 
+@pytest.mark.parametrize("length", [14, 20, 30, 60, 300])
+def test_candidates_at_the_least_similarity(length):
+    """Of pairs with a similarity of 0.80 to 0.83 of their five-word shingles hardly any differs in more than 64 of 256 bits."""
+    rng = random.Random(length)
+    pairs = near = 0
+    while pairs < 400:
+        a = [f"w{rng.randrange(10**6)}" for _ in range(length)]
+        b = list(a)
+        for _ in range(rng.randint(1, 2 + length // 30)):
+            at = rng.choice([0, length - 1, rng.randrange(length)])
+            b[at : at + 1] = rng.choice([[], [f"v{rng.randrange(10**6)}"]])
+        x, y = (set(zip(*[t[i:] for i in range(5)], strict=False)) for t in (a, b))
+        if 0.8 <= len(x & y) / len(x | y) <= 0.83:
+            f, g = (np.array(simhash.fingerprint(" ".join(t), 5, 4, settle=True, once=True), dtype=np.int64).view(np.uint64) for t in (a, b))
+            pairs += 1
+            near += np.bitwise_count(f ^ g).sum() <= 64
+    assert near >= 0.995 * pairs
+
+
+def test_lanes_are_independent():
+    """Unrelated texts differ in half of all bits, with the deviation of fair coins, and lanes agree no more than by chance."""
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(400)]
+    lanes = np.array([simhash.fingerprint(t, 5, 4, settle=True, once=True) for t in texts], dtype=np.int64).view(np.uint64)
+    apart = np.bitwise_count(lanes[:, None] ^ lanes[None, :]).astype(int)[np.triu_indices(400, 1)]
+    assert abs(apart.sum(1).mean() - 128) < 1 and abs(apart.sum(1).std() - 8) < 0.5 and apart.sum(1).min() > 80
+    assert np.abs(np.corrcoef(apart.T) - np.eye(4)).max() < 0.03
+
+
 def test_short_texts_stay_apart():
     """Ties of two shingles don't make unrelated texts alike."""
     rng = random.Random(3)
