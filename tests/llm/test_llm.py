@@ -856,10 +856,29 @@ def test_licences_of_one_family_are_told_apart():
         for t in texts:
             assert names(f"Some words before.\n{t}\nAnd some after it.") == [name], t
     changed = licences.TEMPLATES["GPL-3.0"][1].replace("version 3", "version 2")
-    assert names(changed) == ["GPL-2.0"] and names("Licensed under CC BY 2.0") == [] and names("licensed under the apache license version 1.0") == []
+    assert names(changed) == ["GPL-2.0"] and names("Licensed under CC BY 2.0") == ["CC-BY-2.0"] and names("Licensed under CC BY 9.0") == [] and names("licensed under the apache license version 1.0") == []
     assert names(licences.TEMPLATES["MIT"][2].replace("Software", "Program")) in (["MIT"], [])
 
 
+def test_common_headers_are_known():
+    names = lambda t: [n for n, *_ in licences.Scanner().passages(t)]
+    for line, name in (("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0"), ("// SPDX-License-Identifier: MIT OR Apache-2.0", "MIT")):
+        assert names(f"words before\n{line}\nint main") == [name]
+    assert names("SPDX-License-Identifier: Unheard-Of-1.0") == [] and names("the spdx-license-identifier tag") == []
+    old = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    assert names(old) == ["GPL-2.0"] and names(old.replace("version 2", "version 3")) == ["GPL-3.0"]
+    assert names("Distributed under the Boost Software License, Version 1.0. (See accompanying file)") == ["BSL-1.0"]
+
+
+def test_numbers_of_items_are_no_versions():
+    scanner = licences.Scanner()
+    for body in (licences._BSD + licences._BSD_THIRD + licences._BSD_END, licences._ZLIB, licences._WTFPL):
+        assert not licences._needs(body)
+        bullets = re.sub(r"(?<=[.:N])\s\d\.", " *", body)
+        assert bullets != body and {n for n, *_ in scanner.passages(bullets)} == {n for n, *_ in scanner.passages(body)} != set()
+    assert licences._needs("Licensed under Thing 2.0. All of it") == {("thing", "2.0"), ("2.0", "all")}
+
+
 def test_licences_in_stretched_and_very_long_texts():
     scanner = licences.Scanner()
     stretched = "released under the " + "the " * 5000 + "mit license"

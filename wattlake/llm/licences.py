@@ -20,7 +20,10 @@ _ISC_END = " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WAR
 _MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"
 _MIT_END = ", including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
 _UNLICENSE = "This is free and unencumbered software released into the public domain."
-_UNLICENSE_END = " Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+_UNLICENSE_USE = " Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+_UNLICENSE_END = " In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to https://unlicense.org"
+_BOOST = "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_WTFPL = "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION\n0. You just DO WHAT THE FUCK YOU WANT TO."
 _ZLIB = "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."
 
 
@@ -28,32 +31,53 @@ def _gnu(name: str, version: str, subject: str = "program") -> str:
     return f"This {subject} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
 
 
+def _gnu_only(name: str, version: str, subject: str = "program") -> str:
+    return f"This {subject} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} version {version} as published by the Free Software Foundation."
+
+
 def _commons(short: str, long: str, version: str) -> list[str]:
-    return [f"Licensed under CC {short} {version}.", f"This work is licensed under a Creative Commons {long} {version} International License."]
+    where = {"4.0": "International", "3.0": "Unported"}.get(version, "Generic")
+    works = [f"This work is licensed under a Creative Commons {long} {version} {w}License." for w in ("", f"{where} ")]
+    return [f"Licensed under CC {short} {version}.", *works, _spdx(f"CC-{short.replace(' ', '-')}-{version}")]
+
+
+def _spdx(name: str) -> str:
+    return f"SPDX-License-Identifier: {name}"
+
+
+def _gnu_spdx(name: str) -> list[str]:
+    return [_spdx(name + end) for end in ("", "-only", "-or-later")]
 
 
 # Licence texts, and the notices by which works are licensed.
 TEMPLATES = {
-    "0BSD": [f"{_ISC}.{_ISC_END}"],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", _gnu("Affero General Public License", "3")],
-    "Apache-1.1": ["Licensed under the Apache License, Version 1.1."],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"],
-    "BSD-2-Clause": ["Released under the BSD 2-Clause License.", _BSD + _BSD_END],
-    "BSD-3-Clause": ["Released under the BSD 3-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", _BSD + _BSD_THIRD + _BSD_END],
-    **{f"CC-{short.replace(' ', '-')}-{version}": _commons(short, long, version) for short, long in (("BY", "Attribution"), ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-SA", "Attribution-ShareAlike")) for version in ("3.0", "4.0")},
-    "CC0-1.0": ["Released into the public domain under CC0 1.0."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", _gnu("General Public License", "2")],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", _gnu("General Public License", "3")],
-    "ISC": ["Released under the ISC License.", _ISC + _ISC_NOTICE, _ISC + _ISC_NOTICE + _ISC_END],
-    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1.", _gnu("Lesser General Public License", "2.1", "library")],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", _gnu("Lesser General Public License", "3", "library")],
-    "MIT": ["Released under the MIT License.", _MIT, _MIT + _MIT_END],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "Unlicense": [_UNLICENSE, _UNLICENSE + _UNLICENSE_END],
-    "Zlib": [_ZLIB],
+    "0BSD": [f"{_ISC}.{_ISC_END}", _spdx("0BSD")],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", _gnu("Affero General Public License", "3"), _gnu_only("Affero General Public License", "3"), *_gnu_spdx("AGPL-3.0")],
+    "Apache-1.1": ["Licensed under the Apache License, Version 1.1.", _spdx("Apache-1.1")],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", _spdx("Apache-2.0")],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License.", _BSD + _BSD_END, _spdx("BSD-2-Clause")],
+    "BSD-3-Clause": ["Released under the BSD 3-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", _BSD + _BSD_THIRD + _BSD_END, _spdx("BSD-3-Clause")],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.", _BOOST, _spdx("BSL-1.0")],
+    **{f"CC-{short.replace(' ', '-')}-{version}": _commons(short, long, version) for short, long in (("BY", "Attribution"), ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-SA", "Attribution-ShareAlike")) for version in ("2.0", "2.5", "3.0", "4.0")},
+    "CC0-1.0": ["Released into the public domain under CC0 1.0.", _spdx("CC0-1.0")],
+    "EPL-1.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0.", _spdx("EPL-1.0")],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0.", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0", _spdx("EPL-2.0")],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", _gnu("General Public License", "2"), _gnu_only("General Public License", "2"), *_gnu_spdx("GPL-2.0")],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", _gnu("General Public License", "3"), _gnu_only("General Public License", "3"), *_gnu_spdx("GPL-3.0")],
+    "ISC": ["Released under the ISC License.", _ISC + _ISC_NOTICE, _ISC + _ISC_NOTICE + _ISC_END, _spdx("ISC")],
+    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1.", _gnu("Lesser General Public License", "2.1", "library"), _gnu_only("Lesser General Public License", "2.1", "library"), *_gnu_spdx("LGPL-2.1")],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", _gnu("Lesser General Public License", "3", "library"), _gnu_only("Lesser General Public License", "3", "library"), *_gnu_spdx("LGPL-3.0")],
+    "MIT": ["Released under the MIT License.", _MIT, _MIT + _MIT_END, _spdx("MIT")],
+    "MPL-1.1": ["The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/", _spdx("MPL-1.1")],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", _spdx("MPL-2.0")],
+    "Unlicense": [_UNLICENSE, _UNLICENSE + _UNLICENSE_USE, _UNLICENSE + _UNLICENSE_USE + _UNLICENSE_END, _spdx("Unlicense")],
+    "WTFPL": [_WTFPL, _spdx("WTFPL")],
+    "Zlib": [_ZLIB, _spdx("Zlib")],
 }
 #: Words that tell licences of one family apart: a passage has all the template's bigrams that have one.
 _VERSION = re.compile(r"v?\d+(\.\d+)*|\d-clause|affero|lesser|by(-[a-z]{2})+|cc0")
+#: The number of a list's item: after the end of a sentence, clause or line, before a full stop or bracket.  It tells no versions apart.
+_ITEM = re.compile(r"(?:^|[.:;]\s|\n)\s*\(?(\d+)[.)]\s")
 _WORD = re.compile(r"[^\W_]+(?:[.'/:-]+[^\W_]+)*")
 
 
@@ -69,14 +93,21 @@ def normalised(text: str) -> list[tuple[str, int, int]]:
     return [(m[0].replace("licence", "license"), m.start(), m.end()) for m in _WORD.finditer(low)]
 
 
+def _needs(template: str) -> frozenset[tuple[str, str]]:
+    """The bigrams of *template* with a version, a number of clauses or the like: those that its passages must have."""
+    items = {m.start(1) for m in _ITEM.finditer(template)}
+    words = normalised(template)
+    marks = [bool(_VERSION.fullmatch(w)) and at not in items for w, at, _ in words]
+    return frozenset(g for g, a, b in zip(_bigrams([w for w, _, _ in words]), marks, marks[1:], strict=False) if a or b)
+
+
 class Scanner:
     """Finds in each text the passages that are like a template."""
 
     def __init__(self, templates: dict[str, list[str]] = TEMPLATES, least: float = LEAST):
         self.least = least
         self.templates = [(name, frozenset(_bigrams([w for w, _, _ in normalised(t)]))) for name, texts in sorted(templates.items()) for t in texts]
-        # of numbers only versions count, not those of a list's items
-        self.needs = [frozenset(g for g in want if any(_VERSION.fullmatch(w) for w in g) and (len(want) < 40 or "version" in g)) for _, want in self.templates]
+        self.needs = [_needs(t) for _, texts in sorted(templates.items()) for t in texts]
         self.of: dict[tuple[str, str], list[int]] = {}
         for i, (_, grams) in enumerate(self.templates):
             for g in grams:
