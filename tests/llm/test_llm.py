@@ -226,18 +226,35 @@ def test_toxicity_grammar():
     assert g.score(None) == g.score("") == g.score("\n")
 
 
+def test_threats_in_four_languages():
+    rng = random.Random(4)
+    clean = [" ".join("".join(rng.choice("abdegiklmnoprstu") for _ in range(5)) for _ in range(20)) for _ in range(200)]
+    g = toxicity.fit([(t + " zorgle!", 1) for t in clean[:60]] + [(t, 0) for t in clean])
+    kinds = lambda t: [k for k, _ in g.clauses(t.lower())]
+    threats = ["I will be killing you", "te mataré", "je te tuerai", "Ich bringe dich um", "we'll beat him", "ich werde ihn umbringen", "on va vous détruire", "they should burn her"]
+    for t in threats:
+        assert kinds(t) == ["threat"] and g.score(t) >= toxicity.LIMIT, t
+    for t in ("they hurt her feelings", "she destroyed them", "ils ont tué"):
+        assert kinds(t) in (["harm"], []) and g.score(t) < 0.5, t
+    for t in ("I will not kill you", "he said he will kill you", "kill the process", "ich bringe dir Tee", "wir gehen um das Haus", "matador, beautiful, stable"):
+        assert not kinds(t) and g.score(t) < 0.5, t
+
+
 def slow_clauses(text, grammar):
     """The matches of each clause by plain rules instead of transducers."""
     out = []
     for clause in re.split(r"[.!?;:\n]", text):
         kinds = [grammar.closed.get(w) or (toxicity.INSULT if grammar.insult(w) else toxicity.OTHER) for w in re.findall(r"\w+(?:'\w+)?", clause)]
         for i, k in enumerate(kinds):
+            split = k == toxicity.BRING and toxicity.UM in kinds[i + 1 :] and toxicity.BRING not in kinds[i + 1 : i + 1 + kinds[i + 1 :].index(toxicity.UM)]
+            k = toxicity.THREAT if split else k
             if k not in (toxicity.INSULT, toxicity.THREAT):
                 continue
-            aimed = toxicity.TARGET in kinds
+            second = toxicity.SECOND in kinds
+            aimed = second or toxicity.TARGET in kinds
             denied, reported = toxicity.NEGATION in kinds[max(0, i - 3) : i], toxicity.REPORT in kinds[:i]
             if k == toxicity.THREAT:
-                out += ["threat"] if aimed and not denied and not reported else []
+                out += ["threat" if second or toxicity.INTENT in kinds[:i] else "harm"] if aimed and not denied and not reported else []
             else:
                 out.append("denied" if denied else "reported" if reported else "aimed" if aimed else "plain")
     return out
@@ -246,7 +263,7 @@ def slow_clauses(text, grammar):
 def test_transducers_match_plain_rules():
     grammar = toxicity.Grammar({"flib": 3.0, "zorg": 2.0})
     rng = random.Random(14)
-    words = ["flibber", "zorgling", "kill", "you", "not", "never", "said", "sun", "moon", "tree", "they", "burn", ".", ";", "\n"]
+    words = ["flibber", "zorgling", "kill", "you", "not", "never", "said", "sun", "moon", "tree", "they", "burn", "will", "him", "bringe", "um", ".", ";", "\n"]
     for _ in range(600):
         text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 25)))
         assert [k for k, _ in grammar.clauses(text)] == slow_clauses(text, grammar), text
@@ -267,7 +284,9 @@ def test_toxicity_held_out(spark):
 
 def test_toxicity_odd(spark, labels):
     d = docs(spark, ODD)
-    assert toxicity.score(d, toxicity.learn(d, labels)).select("doc_id", "score", "_tox.score").count() == len(ODD)
+    grammar = toxicity.learn(d, labels)
+    scored = toxicity.score(d, grammar).select("doc_id", "text", "_tox.score").collect()
+    assert len(scored) == len(ODD) and all(r["score"] == pytest.approx(grammar.score("")) for r in scored if not (r["text"] or "").strip())
     assert toxicity.score(docs(spark, []), toxicity.learn(docs(spark, []), labels.limit(0))).count() == 0
 
 
