@@ -124,16 +124,22 @@ def _quarters(lanes: np.ndarray) -> np.ndarray:
 class _Blocks:
     """Fingerprints in order of their parts' population counts, with the bounds of each block."""
 
-    def __init__(self, lanes: np.ndarray, place: np.ndarray):
-        q = _quarters(lanes)
+    def __init__(self, lanes: np.ndarray, place: np.ndarray, compared: int):
+        q = _quarters(lanes[:, :compared])
         order = np.lexsort(q.T[::-1])
         self.lanes, self.place, q = lanes[order], place[order], q[order]
         at = np.arange(0, len(q), BLOCK)
         self.low, self.high = np.minimum.reduceat(q, at, axis=0), np.maximum.reduceat(q, at, axis=0)
 
 
-def _link_near(left: _Blocks, right: _Blocks, radius: int, forest: MinForest) -> None:
-    """Link what differs in at most *radius* bits; block pairs whose counts differ by more are skipped."""
+def _near_beside(left: np.ndarray, right: np.ndarray, x: np.ndarray, y: np.ndarray, lanes: int, beside: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (x, y) those that differ in at most *beside* bits of the lanes after the first *lanes* too."""
+    near = np.bitwise_count(left[x, lanes:] ^ right[y, lanes:]).sum(1, dtype=np.int64) <= beside
+    return x[near], y[near]
+
+
+def _link_near(left: _Blocks, right: _Blocks, radius: int, forest: MinForest, lanes: int, beside: int | None) -> None:
+    """Link what differs in at most *radius* bits of *lanes* (and in *beside* of the others); block pairs whose counts differ by more are skipped."""
     same = left is right
     for i in range(len(left.low)):
         gap = np.maximum(left.low[i] - right.high, right.low - left.high[i]).clip(0).sum(1)
@@ -145,18 +151,21 @@ def _link_near(left: _Blocks, right: _Blocks, radius: int, forest: MinForest) ->
             rows = (near[at : at + 16, None] * BLOCK + np.arange(BLOCK)).ravel()
             rows = rows[rows < len(right.lanes)]
             theirs = right.lanes[rows]
-            bits = np.bitwise_count(mine[:, 0, None] ^ theirs[None, :, 0]).astype(np.uint8 if mine.shape[1] < 4 else np.uint16)
-            for lane in range(1, mine.shape[1]):
-                bits += np.bitwise_count(mine[:, lane, None] ^ theirs[None, :, lane])
+            bits = np.bitwise_count(mine[:, 0, None] ^ theirs[None, :, 0])
+            for lane in range(1, lanes):
+                bits = bits + np.bitwise_count(mine[:, lane, None] ^ theirs[None, :, lane])
             x, y = np.nonzero(bits <= radius)
+            if beside is not None:
+                x, y = _near_beside(mine, theirs, x, y, lanes, beside)
             if len(x):
                 forest.link(places[x], right.place[rows[y]])
 
 
-def near_components(prints: DataFrame, radius: int = 3) -> DataFrame:
+def near_components(prints: DataFrame, radius: int = 3, lanes: int | None = None, beside: int | None = None) -> DataFrame:
     """(doc_id, f0.., component_id) for the rows of :func:`fingerprints`.
 
-    Fingerprints that differ in at most *radius* bits are linked; component_id is the smallest
+    Fingerprints that differ in at most *radius* bits are linked; with *beside* only the first
+    *lanes* count there, and the others must differ in at most *beside* bits; component_id is the smallest
     doc_id that links lead to, the row's own included (null where no row of the fingerprint has
     an id).  Every pair of distinct fingerprints is compared, except where population counts
     alone show that it differs in more bits.  Copies are compared once, as one fingerprint.  A
@@ -164,15 +173,16 @@ def near_components(prints: DataFrame, radius: int = 3) -> DataFrame:
     costs at most n rows a tile pair, and no link between different fingerprints is lost.
     """
     names = [c for c in prints.columns if c[0] == "f"]
+    compared = len(names) if lanes is None else lanes
     prints = stash(prints)
     distinct = prints.groupBy(*names).agg(F.min("doc_id").alias("rep")).filter("rep is not null")
-    counted = distinct.withColumn("bits", sum((F.bit_count(n) for n in names), F.lit(0)).cast("int"))
+    counted = distinct.withColumn("bits", sum((F.bit_count(n) for n in names[:compared]), F.lit(0)).cast("int"))
     # one row for each population count: 65 a lane at most
     histogram = {r[0]: r[1] for r in counted.groupBy("bits").count().collect()}
     tiles = _tiles(histogram, max(LEAST_TILE, min(MOST_TILE, sum(histogram.values()) // 16)), radius)
     if not tiles:
         return prints.withColumn("component_id", F.lit(None).cast("long"))
-    layout = F.array(*[F.array(*map(F.lit, tiles.get(count, (0, 1, 0, 0)))) for count in range(64 * len(names) + 1)])
+    layout = F.array(*[F.array(*map(F.lit, tiles.get(count, (0, 1, 0, 0)))) for count in range(64 * compared + 1)])
     own = F.get(layout, F.col("bits"))
     placed = counted.withColumn("_l", own).select("rep", *names, "_l", (F.col("_l")[0] + F.pmod(F.xxhash64("rep"), F.col("_l")[1])).cast("int").alias("_t"))
     dealt = placed.select("rep", *names, "_t", F.explode(F.sequence(F.col("_l")[2], F.col("_l")[3])).alias("_o"))
@@ -180,14 +190,14 @@ def near_components(prints: DataFrame, radius: int = 3) -> DataFrame:
 
     def compare(pair: pd.DataFrame) -> pd.DataFrame:
         rank = np.argsort(np.argsort(pair["rep"].to_numpy(), kind="stable"), kind="stable")
-        lanes = pair[names].to_numpy(dtype=np.int64).view(np.uint64)
+        bits = pair[names].to_numpy(dtype=np.int64).view(np.uint64)
         home, guest = pair["home"].to_numpy(dtype=bool), pair["guest"].to_numpy(dtype=bool)
         forest = MinForest(len(pair))
         if home.all():
-            one = _Blocks(lanes, rank)
-            _link_near(one, one, radius, forest)
+            one = _Blocks(bits, rank, compared)
+            _link_near(one, one, radius, forest, compared, beside)
         elif home.any() and guest.any():
-            _link_near(_Blocks(lanes[home], rank[home]), _Blocks(lanes[guest], rank[guest]), radius, forest)
+            _link_near(_Blocks(bits[home], rank[home], compared), _Blocks(bits[guest], rank[guest], compared), radius, forest, compared, beside)
         by_rank = np.sort(pair["rep"].to_numpy(), kind="stable")
         a, b = forest.links()
         return pd.DataFrame({"a": by_rank[a], "b": by_rank[b]})
@@ -202,7 +212,7 @@ def hex_fingerprint(names: list[str]):
     return F.concat(*[F.lpad(F.lower(F.hex(n)), 16, "0") for n in names])
 
 
-def _alike(group: pd.DataFrame, names: list[str], radius: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+def _alike(group: pd.DataFrame, names: list[str], radius: int, least: float, compared: int, beside: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (nodes, nodes) to the smallest of each set that the texts of *group* form.
 
     Every pair within *radius* is checked by its shingles unless links lead from one to the other
@@ -220,9 +230,10 @@ def _alike(group: pd.DataFrame, names: list[str], radius: int, least: float) ->
         return x
 
     for at in range(0, len(nodes), BLOCK):
-        bits = sum(np.bitwise_count(lanes[at : at + BLOCK, lane, None] ^ lanes[None, at:, lane]).astype(np.int16) for lane in range(len(names)))
+        bits = sum(np.bitwise_count(lanes[at : at + BLOCK, lane, None] ^ lanes[None, at:, lane]).astype(np.int16) for lane in range(compared))
         low, high = np.minimum(size[at : at + BLOCK, None], size[None, at:]), np.maximum(size[at : at + BLOCK, None], size[None, at:])
         x, y = np.nonzero((bits <= radius) & (low >= least * high - 1e-9))
+        x, y = _near_beside(lanes[at : at + BLOCK], lanes[at:], x, y, compared, beside)
         for i, j in zip((x[x < y] + at).tolist(), (y[x < y] + at).tolist(), strict=True):
             a, b = find(i), find(j)
             if a == b:
@@ -235,7 +246,7 @@ def _alike(group: pd.DataFrame, names: list[str], radius: int, least: float) ->
     return nodes[inner], nodes[up[inner]]
 
 
-def _checked(members: DataFrame, names: list[str], words: int, radius: int, least: float) -> DataFrame:
+def _checked(members: DataFrame, names: list[str], words: int, radius: int, least: float, compared: int, beside: int) -> DataFrame:
     """(a, b): links of the texts of *members* (component_id, node, f0.., text), those candidates that share enough shingles.
 
     Candidates of a component meet in blocks of about SHINGLES shingles, however large it is or
@@ -271,29 +282,30 @@ def _checked(members: DataFrame, names: list[str], words: int, radius: int, leas
     kept = ["component_id", "node", *names, "n", "shingles", "c", "k1", "b1", "k2", "b2"]
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        links = [_alike(g, names, radius, least) for _, g in group.groupby("component_id", sort=False)]
+        links = [_alike(g, names, radius, least, compared, beside) for _, g in group.groupby("component_id", sort=False)]
         return pd.DataFrame({"a": np.concatenate([a for a, _ in links]), "b": np.concatenate([b for _, b in links])})
 
     return few.select(kept).unionByName(many.select(kept)).groupBy("c", "k1", "b1", "k2", "b2").applyInPandas(compare, "a long, b long")
 
 
-def keep_one_of_each(documents: DataFrame, words: int = 5, lanes: int = 4, radius: int = 64, least: float = 0.8) -> DataFrame:
+def keep_one_of_each(documents: DataFrame, words: int = 5, lanes: int = 2, radius: int = 36, least: float = 0.8, more: int = 2, beside: int = 40) -> DataFrame:
     """The rows of *documents* but for near copies: of each group the one with the smallest doc_id stays.
 
     Texts are near copies if their sets of shingles of *words* words have a similarity (Jaccard)
     of *least* or more; a group is what such links lead to.  SimHashes of the sets only choose
-    which pairs are checked: by default those that differ in 64 of 256 bits or less, where at a
-    similarity of 0.8 the mean is 39 and the deviation 6.  Unrelated texts differ in about 128 and
-    come that near with probability 3e-16, so a billion texts have some hundred false candidates.  Blank texts are copies
+    which pairs are checked: by default those that differ in 36 of 128 bits or less and in 40 of
+    *more* (2) further lanes' 128, where at a similarity of 0.8 the means are 19 and the deviations
+    4.  Unrelated texts differ in about 64 of each and come that near with a probability below
+    1e-11, so that they don't chain into one group where there are very many. Blank texts are copies
     of each other.  Rows go one by one: of rows with one id, those stay whose text has no copy
     before it, and of rows with the same id and text one.  Rows with a null id are kept.
     """
-    names = [f"f{i}" for i in range(lanes)]
+    names = [f"f{i}" for i in range(lanes + more)]
     key = F.sha2(F.coalesce("text", F.lit("")), 256)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = np.array([fingerprint(t, words, lanes, settle=True, once=True) for t in batch["t"]], dtype=np.int64).reshape(-1, lanes)
+            found = np.array([fingerprint(t, words, len(names), settle=True, once=True) for t in batch["t"]], dtype=np.int64).reshape(-1, len(names))
             blank = [not (t or "").encode("utf-8", "surrogatepass").split() for t in batch["t"]]
             yield batch.drop(columns="t").assign(blank=blank).assign(**{n: found[:, i] for i, n in enumerate(names)})
 
@@ -303,13 +315,13 @@ def keep_one_of_each(documents: DataFrame, words: int = 5, lanes: int = 4, radiu
     one = F.when(F.col("blank"), "").otherwise(F.col("sha")).alias("copy")
     texts = prints.groupBy(one, "blank", *names).agg(F.min(F.struct("id", "sha")).alias("first"))
     texts = stash(texts.select("copy", "blank", *names, F.col("first.id").alias("id"), F.col("first.sha").alias("sha"), F.monotonically_increasing_id().alias("node")))
-    candidates = stash(near_components(texts.filter("not blank").select(F.col("node").alias("doc_id"), *names), radius))
+    candidates = stash(near_components(texts.filter("not blank").select(F.col("node").alias("doc_id"), *names), radius, lanes, beside))
     grouped = candidates.groupBy("component_id").count().filter("count > 1").select(F.col("component_id").bitwiseXOR(F.lit(0)).alias("component_id"))
     members = candidates.join(grouped, "component_id").select(F.col("doc_id").alias("node"), "component_id")
     members = members.join(texts, "node").select("node", "component_id", *names, "id", "sha")
     whole = documents.select(F.col("doc_id").cast("long").alias("id"), key.alias("sha"), "text")
     members = whole.join(members, ["id", "sha"]).dropDuplicates(["node"])
-    group = components(_checked(members, names, words, radius, least)).select(F.col("node"), F.col("component_id").alias("set"))
+    group = components(_checked(members, names, words, radius, least, lanes, beside)).select(F.col("node"), F.col("component_id").alias("set"))
     placed = texts.join(group, "node", "left").select("copy", "id", "sha", F.coalesce("set", "node").alias("set"))
     first = placed.groupBy("set").agg(F.min(F.struct("id", "sha")).alias("first")).select(F.col("set").bitwiseXOR(F.lit(0)).alias("set"), "first")
     stays = placed.join(first, "set").select("copy", F.col("first.id").alias("first_id"), F.col("first.sha").alias("first_sha"))
