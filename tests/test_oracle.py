@@ -37,3 +37,17 @@ def test_query(spark, sf_dir, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_availability_of_several_units_repeats(spark, tmp_path):
+    """Users beyond 9999 share a device id, so a device has availability of several units on one day, and each of these rows repeats consumption."""
+    event = "select i as event_id, timestamp '2024-01-12 00:00:00' + to_hours(i % 240) as ts, 12340 + i % 3 * 7 as user_id, 'click' as event_type, 5.0::double as value, '{}' as props"
+    duckdb.connect().sql(f"copy ({event} from range(1200) t(i)) to '{tmp_path}/events.parquet'")
+    c = duckdb.connect()
+    c.sql(f"create view events as select * from '{tmp_path}/events.parquet'")
+    theirs = c.sql(entry.oracle_sql()["consolidate_direct_repeated"])
+    names, want = sorted(theirs.columns), theirs.fetchall()
+    at = [theirs.columns.index(k) for k in names]
+    got = entry.queries()["consolidate_direct_repeated"](spark, str(tmp_path)).collect()
+    assert sorted(repr(tuple(plain(r[k]) for k in names)) for r in got) == sorted(repr(tuple(plain(r[i]) for i in at)) for r in want)
+    assert len(want) > 2 * entry.queries()["consolidate_direct"](spark, str(tmp_path)).count()  # else the test shows nothing

@@ -122,7 +122,8 @@ def consolidate_direct(spark, sf_dir):
 @query(f"WITH {_ROLES}, {_DEVICES}, {_DIRECT.replace('JOIN gate g', 'JOIN gate2 g')} SELECT * FROM dir".replace("gate AS (SELECT DISTINCT", "gate2 AS (SELECT device_code, record_date FROM avail, generate_series(0, CAST(day(record_date) % 2 AS INTEGER)) WHERE disponibility >= 75), gate AS (SELECT DISTINCT"))
 def consolidate_direct_repeated(spark, sf_dir):
     r = roles(spark, sf_dir)
-    twice = _gate(r).withColumn("_n", F.explode(F.sequence(F.lit(0), F.day("record_date") % 2))).drop("_n")
+    enough = r["avail"].filter("disponibility >= 75").select("device_code", "record_date")  # a row for each unit of a device: they repeat too
+    twice = enough.withColumn("_n", F.explode(F.sequence(F.lit(0), F.day("record_date") % 2))).drop("_n")
     return consolidate.direct(_direct_hours(r), r["devices"], twice, r["places"], once=False)
 
 
