@@ -98,6 +98,26 @@ def test_a_thousand_segments_in_one_look(spark):
         assert r["n"] == own.sum() and np.allclose(r["intercept"] + x[own] @ np.array(r["coefficients"]), want, atol=1e-5)
 
 
+def test_lines_take_no_call_a_segment(spark):
+    """Few columns are summed by Spark's own aggregates and segments solved in batches; many columns, from matrix products, have the same lines."""
+    rng = np.random.default_rng(6)
+    rows = [(int(s), *map(float, v)) for s, v in zip(rng.integers(0, 300, 3000), rng.normal(1e5, 2, (3000, 3)), strict=True)] + [(300, 1.0, 1.0, 4.0), (None, 1.0, math.nan, 4.0)]
+    df = spark.createDataFrame(rows, "s int, a double, b double, y double").repartition(3)
+    found = gram.lines(df, ["a", "b"], "y", "s")
+    assert "InPandas" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {r["segment"]: r for r in found.collect()}
+    narrow, gram.NARROW = gram.NARROW, 0
+    try:
+        want = {r["segment"]: r for r in gram.lines(df, ["a", "b"], "y", "s").collect()}
+    finally:
+        gram.NARROW = narrow
+    assert set(got) == set(want) and got["300"]["intercept"] == 4.0 and None not in got
+    for s, r in want.items():
+        assert got[s]["n"] == r["n"] and np.allclose(got[s]["coefficients"], r["coefficients"], atol=1e-6)
+        assert got[s]["intercept"] + sum(got[s]["coefficients"]) * 1e5 == pytest.approx(r["intercept"] + sum(r["coefficients"]) * 1e5, rel=1e-9)
+    assert gram.lines(df, ["a", "b"], "y").first()["n"] == 3001
+
+
 def test_moments_of_many_columns(spark):
     """200 columns with gaps, in a plan that doesn't grow with them, and handed on in pieces: r as numpy has it."""
     rng = np.random.default_rng(2)

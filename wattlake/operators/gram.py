@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Numbers that a task holds before it hands on what it has summed so far.
 HELD = 8_000_000
+#: Columns of which :func:`lines` has each pair as an aggregate of Spark's own; more are summed in matrix products.
+NARROW = 12
 FIELDS = ("n", "mean_x", "mean_y", "xx", "yy", "xy")
 SCHEMA = "segment string, i int, " + ", ".join(f"{f} array<double>" for f in FIELDS)
 
@@ -93,22 +95,49 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     return pairs.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), F.col("_m.n").cast("long").alias("n"), r.alias("r"))
 
 
+def _of_pairs(df: DataFrame, columns: list[str], segment: str | None) -> DataFrame:
+    """(segment, n, mean, xy): means and, row by row, covariances of a few columns without gaps, as aggregates that hold a segment's numbers only."""
+    name = F.col(segment).cast("string") if segment else F.lit("").cast("string")
+    c = [F.col(f"c{i}") for i in range(len(columns))]
+    pairs = {(i, j): F.var_pop(c[i]) if i == j else F.covar_pop(c[i], c[j]) for i in range(len(c)) for j in range(i + 1)}
+    rows = df.select(name.alias("segment"), *[F.col(f"`{x}`").cast("double").alias(f"c{i}") for i, x in enumerate(columns)])
+    found = rows.groupBy("segment").agg(F.count("*").alias("n"), *[F.avg(x).alias(f"m{i}") for i, x in enumerate(c)], *[p.alias(f"p{i}_{j}") for (i, j), p in pairs.items()])
+    xy = [F.col(f"p{max(i, j)}_{min(i, j)}") for i in range(len(c)) for j in range(len(c))]
+    return found.select("segment", "n", F.array(*[f"m{i}" for i in range(len(c))]).alias("mean"), F.array(*xy).alias("xy"))
+
+
+def _of_products(df: DataFrame, columns: list[str], segment: str | None) -> DataFrame:
+    """What :func:`_of_pairs` gives, of any number of columns, from :func:`moments`; xy are sums of products rather than their means."""
+    k = len(columns) - 1
+    by_column = F.array_sort(F.collect_list(F.struct("i", F.get("n", F.lit(k)).alias("n"), F.get("mean_x", F.lit(k)).alias("mean"), "xy")))
+    found = moments(df, columns, segment).groupBy("segment").agg(by_column.alias("_c"))
+    return found.select("segment", F.get("_c.n", F.lit(0)).cast("long").alias("n"), F.col("_c.mean").alias("mean"), F.flatten("_c.xy").alias("xy"))
+
+
 def lines(df: DataFrame, features: list[str], target: str, segment: str | None = None) -> DataFrame:
     """(segment, n, intercept, coefficients): least squares of *target* on *features*, all segments in one look at the rows.
 
     Rows that lack a feature or the target are left out; a segment with none has no line.  Where
     features depend on each other (or are constant) the shortest solution is taken, which
-    predicts the same on such rows.
+    predicts the same on such rows.  Segments are solved a batch at once.
     """
     k = len(features)
 
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("i")
-        xy, mean = np.stack(group["xy"].to_numpy()), group["mean_x"].map(lambda m: m[k]).to_numpy()
-        spread = np.sqrt(np.where(np.diag(xy)[:k] > 0, np.diag(xy)[:k], 1))
-        found = np.linalg.lstsq(xy[:k, :k] / np.outer(spread, spread), xy[:k, k] / spread, rcond=1e-12)[0] / spread
-        return pd.DataFrame({"segment": group["segment"].iloc[:1].to_numpy(), "n": [int(group["n"].iloc[0][k])], "intercept": [mean[k] - found @ mean[:k]], "coefficients": [found.tolist()]})
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            mean = batch["mean"].flatten().to_numpy().reshape(-1, k + 1)
+            xy = batch["xy"].flatten().to_numpy().reshape(-1, k + 1, k + 1)
+            own = np.diagonal(xy, axis1=1, axis2=2)[:, :k]
+            spread = np.sqrt(np.where(own > 0, own, 1))
+            inverse = np.linalg.pinv(xy[:, :k, :k] / (spread[:, :, None] * spread[:, None, :]), rcond=1e-12, hermitian=True)
+            found = (inverse @ (xy[:, :k, k] / spread)[:, :, None])[:, :, 0] / spread
+            at = mean[:, k] - (found * mean[:, :k]).sum(1)
+            coefficients = pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(found).ravel()), k).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch["segment"], batch["n"], pa.array(at), coefficients], ["segment", "n", "intercept", "coefficients"])
 
     columns = [*features, target]
     whole = df.filter(" and ".join(f"`{c}` is not null and not isnan(`{c}`)" for c in columns))
-    return moments(whole, columns, segment).groupBy("segment").applyInPandas(solve, "segment string, n long, intercept double, coefficients array<double>")
+    sums = (_of_pairs if len(columns) <= NARROW else _of_products)(whole, columns, segment)
+    return sums.mapInArrow(solve, "segment string, n long, intercept double, coefficients array<double>")
