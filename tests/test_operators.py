@@ -69,6 +69,17 @@ def test_outliers(spark):
     assert outliers.impact(df, df.filter("seg = 'tiny'"), "seg").first()["seg"] == "SPLITÃO"
 
 
+def test_rows_stay_where_they_are_beside_limits(spark, tmp_path):
+    """The limits are a few rows of known size: no plan of a pass over the rows sorts or moves them by segment."""
+    spark.range(2000).select(F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, " ").alias("seg"), F.col("id").cast("double").alias("v")).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    limits = outliers.thresholds(df, "seg", "v")
+    passes = [outliers.filtered(df, limits, "seg", "v"), outliers.accounting(df, limits, "seg", "v"), outliers.impact(df, outliers.filtered(df, limits, "seg", "v"), "seg")]
+    for plan in (p._jdf.queryExecution().executedPlan().toString() for p in passes[:2]):
+        assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan
+    assert passes[2].agg(F.sum("n_before")).first()[0] == 2000
+
+
 def test_outliers_without_a_segment_stay(spark):
     rows = [("A", float(i)) for i in range(200)] + [(None, float(i)) for i in range(60)] + [(" ", float(i)) for i in range(60, 100)] + [("A", None)]
     df = spark.createDataFrame(rows, "seg string, v double")

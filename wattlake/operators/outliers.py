@@ -107,12 +107,13 @@ def thresholds(df: DataFrame, segment: str, value: str, settings: Settings = Set
     lo = F.greatest(F.col("q1") - F.col("iqr_factor_used") * iqr, floor)
     has_cap = F.col("upper_quantile_cap_used").isNotNull() & (F.col("n") >= F.greatest(F.col("_size"), F.lit(LEAST_SIZE)))
     q_cap = F.when(has_cap, F.col("_q_cap"))
-    return q.select(
+    # kept: its size is known then, so that rows that are joined to a few limits stay where they are and no task sorts a segment
+    return stash(q.select(
         segment, F.col("n").alias("n_before"), floor.alias("noise_floor"), "q1", "q3", iqr.alias("iqr"), lo.alias("lo"),
         F.greatest(F.least(fence, F.coalesce(q_cap, fence)), lo).alias("hi"), fence.alias("hi_iqr"), q_cap.alias("hi_qcap"),
         "iqr_factor_used", "noise_quantile_used", "upper_quantile_cap_used", "tail_ratio",
         F.col("_size").cast("int").alias("min_segment_size_used"), small.alias("fallback_global_floor"), "manual_override",
-    )
+    ))
 
 
 def filtered(df: DataFrame, limits: DataFrame, segment: str, value: str) -> DataFrame:
