@@ -20,6 +20,8 @@ TABLE = 1 << 16
 #: Words of a training sequence, and of a block of forward-backward.
 LENGTH, BLOCK = 96, 64
 ROUNDS, STEP, DECAY = 40, 0.3, 1e-4
+#: Different words whose features a fit looks up at once, which bounds what the driver holds beside the words themselves.
+AT_ONCE = 2048
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -74,7 +76,8 @@ def _scores(weights: np.ndarray, rows: np.ndarray, begin: np.ndarray) -> np.ndar
 def _forward_backward(emit: np.ndarray, moves: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Marginals (S, T, K) and summed pair marginals (K, K) of S sequences of equal length."""
     s, t, k = emit.shape
-    e = np.exp(emit - emit.max(2, keepdims=True))
+    e = emit - emit.max(2, keepdims=True)
+    np.exp(e, out=e)
     m = np.exp(moves)
     ahead, back = np.empty((s, t, k)), np.empty((s, t, k))
     ahead[:, 0] = np.exp(start) * e[:, 0]
@@ -90,8 +93,9 @@ def _forward_backward(emit: np.ndarray, moves: np.ndarray, start: np.ndarray) ->
         pairs += (joint / joint.sum((1, 2), keepdims=True)).sum(0)
         b = right @ m.T
         back[:, i] = b / b.sum(1, keepdims=True)
-    both = ahead * back
-    return both / both.sum(2, keepdims=True), pairs
+    ahead *= back
+    ahead /= ahead.sum(2, keepdims=True)
+    return ahead, pairs
 
 
 def fit_field(samples: list[tuple[str, str]], seed: int = 7) -> Field:
@@ -105,37 +109,50 @@ def fit_field(samples: list[tuple[str, str]], seed: int = 7) -> Field:
     if not labels:
         return Field([], np.zeros((TABLE, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
     rng = np.random.default_rng(seed)
-    pieces: list[tuple[list[str], int]] = []
+    pieces: list[tuple[np.ndarray, int]] = []
+    vocabulary: dict[str, int] = {}
     for text, lang in sorted(samples):
-        found, at = words(text), 0
+        found, at = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words(text)], dtype=np.int32), 0
         while at < len(found):
             n = int(rng.integers(8, 41))
             pieces.append((found[at : at + n], labels.index(lang)))
             at += n
-    rng.shuffle(pieces)
-    vocabulary: dict[str, int] = {}
-    ids = np.array([vocabulary.setdefault(w, len(vocabulary)) for p, _ in pieces for w in p])
-    gold = np.array([y for p, y in pieces for _ in p])
-    if not len(ids):
+    if not pieces:
         return Field(labels, np.zeros((TABLE, len(labels)), np.float32), np.zeros((len(labels),) * 2), np.zeros(len(labels)))
+    rng.shuffle(pieces)
+    ids, gold = np.concatenate([p for p, _ in pieces]), np.repeat(np.array([y for _, y in pieces], dtype=np.int32), [len(p) for p, _ in pieces])
+    # words are numbered anew in the order in which the shuffled pieces have them
+    by_place = np.argsort(np.unique(ids, return_index=True)[1])
+    place = np.empty_like(by_place)
+    place[by_place] = np.arange(len(by_place))
+    ids, distinct = place[ids], list(vocabulary)
+    distinct = [distinct[i] for i in by_place]
+    del pieces, vocabulary
     t = min(LENGTH, len(ids))
     s = len(ids) // t
     ids, gold = ids[: s * t].reshape(s, t), gold[: s * t].reshape(s, t)
     k = len(labels)
-    rows, begin = _features(list(vocabulary))
-    count = np.diff(np.concatenate((begin, [len(rows)])))
+    # lots of words; the rows of the weight table in as few bytes as they need
+    parts = []
+    for at in range(0, len(distinct), AT_ONCE):
+        rows, begin = _features(distinct[at : at + AT_ONCE])
+        parts.append((rows.astype(np.int32), begin))
+    count = np.concatenate([np.diff(np.concatenate((begin, [len(rows)]))) for rows, begin in parts])
+    n_words, rows = len(distinct), np.concatenate([r for r, _ in parts])
+    del distinct
     weights, moves, start = np.zeros((TABLE, k)), np.zeros((k, k)), np.zeros(k)
     past = [np.full_like(x, 1e-8) for x in (weights, moves, start)]
-    target = np.eye(k)[gold]
+    target = np.eye(k)
     seen = np.zeros((k, k))
     np.add.at(seen, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1)
     for _ in range(ROUNDS):
-        p, pairs = _forward_backward(_scores(weights, rows, begin)[ids], moves, start)
-        off = (target - p).reshape(-1, k)
-        per_word = np.stack([np.bincount(ids.ravel(), off[:, j], len(vocabulary)) for j in range(k)], axis=1) * 8 / count[:, None]
-        spread = np.repeat(per_word, count, axis=0)
-        g = np.stack([np.bincount(rows, spread[:, j], TABLE) for j in range(k)], axis=1)
-        for x, grad, old in ((weights, g - DECAY * len(off) * weights, past[0]), (moves, seen - pairs, past[1]), (start, (target - p)[:, 0].sum(0), past[2])):
+        emit = np.concatenate([_scores(weights, r, b) for r, b in parts])
+        p, pairs = _forward_backward(emit[ids], moves, start)
+        off = np.subtract(target[gold], p, out=p).reshape(-1, k)
+        per_word = np.stack([np.bincount(ids.ravel(), off[:, j], n_words) for j in range(k)], axis=1) * 8 / count[:, None]
+        # a language at once; sums go in the order of the words
+        g = np.stack([np.bincount(rows, np.repeat(per_word[:, j], count), TABLE) for j in range(k)], axis=1)
+        for x, grad, old in ((weights, g - DECAY * len(off) * weights, past[0]), (moves, seen - pairs, past[1]), (start, p[:, 0].sum(0), past[2])):
             old += grad**2
             x += STEP * grad / np.sqrt(old)
     return Field(labels, weights.astype(np.float32), moves, start)
