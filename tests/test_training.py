@@ -13,6 +13,7 @@ from wattlake.operators import gram, outliers
 from wattlake.operators.metrics import error_metrics
 from wattlake.operators.sampling import bucket
 from wattlake.plans import features, raw, stages, training, trees
+from wattlake.sources import tables
 
 RAW = "row_key long, hora int, data date, consumo_kwh double, machine_type string, estacao string, grupo_regional int, " + ", ".join(f"`{m}` double" for m in features.MEASURED)
 
@@ -180,6 +181,15 @@ def test_one_look_scores_all_segments(spark, tmp_path):
     assert [r["row_number"] for r in placed] == list(range(900)) and [r["row_key"] for r in placed] == list(range(899, -1, -1))
 
 
+def test_segments_are_fitted_on_rows_kept_once(spark, tmp_path, monkeypatch):
+    """No segment's fits read the input anew; the one copy that they are taken from has it."""
+    examples(spark).na.fill(0.0).write.parquet(str(tmp_path / "rows"))
+    seen, real = [], training.compare
+    monkeypatch.setattr(training, "compare", lambda rows, config: (seen.append(tables.roots(rows)), real(rows, config))[1])
+    models, _ = training.fit_segments(spark.read.parquet(str(tmp_path / "rows")), CONFIG)
+    assert sorted(models) == ["a", "b", "c"] and len({tuple(r) for r in seen}) == 1 and "stash-" in seen[0][0]
+
+
 @pytest.mark.parametrize("name", ["tree", "linear"])
 def test_search_finds_what_a_loop_finds(spark, name):
     df = examples(spark).na.fill(0.0)
