@@ -930,3 +930,18 @@ def test_pipeline(spark, sf_dir):
     for r in corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir).limit(50).collect():
         assert r["n_tokens"] == len(r["ids"]) and pieces.decode(r["ids"], v)
     assert corpus_pipeline.run(spark, sf_dir).count() == kept.count()
+
+
+def test_language_fit_holds_little(monkeypatch):
+    """What a fit allocates on the driver at most, for 84,000 characters of words that hardly repeat."""
+    import tracemalloc
+
+    rng = random.Random(3)
+    texts = [(" ".join("".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(3000)), lang) for lang in ("da", "fi", "nl", "sv")]
+    monkeypatch.setattr(langid, "ROUNDS", 2)
+    tracemalloc.start()
+    try:
+        langid.fit_field(texts)
+        assert tracemalloc.get_traced_memory()[1] < 24e6
+    finally:
+        tracemalloc.stop()
