@@ -690,6 +690,45 @@ def test_embeddings_with_few_strong_directions(spark):
     assert [got[i] for i in range(900)] == list(zip(linked.sum(1).tolist(), smallest_reachable(list(range(900)), linked).tolist(), strict=True))
 
 
+def test_embeddings_in_many_blocks(spark, monkeypatch):
+    """Pairs within a block, between blocks of a cell and of different cells, of which tasks sum up what they found now and then; copies among them."""
+    monkeypatch.setattr(embeddings, "BLOCK", 4096)
+    monkeypatch.setattr(embeddings, "GATHERED", 50)
+    x = vectors(8, 900, 24, 60)
+    x[100:140] = x[7]
+    x[300:520] = x[301] + np.random.default_rng(9).normal(size=(220, 24)) * 0.05  # a cell of several blocks
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_components(df, per_cell=25).collect()}
+    m = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    linked = m @ m.T >= 0.9
+    np.fill_diagonal(linked, False)
+    assert [got[i] for i in range(900)] == list(zip(linked.sum(1).tolist(), smallest_reachable(list(range(900)), linked).tolist(), strict=True))
+
+
+def test_embeddings_nearest_to_the_limit():
+    """Pairs nearer to the limit than single precision can tell are decided in double precision."""
+    rng = np.random.default_rng(23)
+    x, y = (embeddings._unit(rng.normal(size=(500, 48))) for _ in range(2))
+    y = embeddings._unit(y - (x * y).sum(1, keepdims=True) * x)
+    cos = 0.9 + rng.choice([-1e-3, -1e-6, -1e-8, -1e-12, 1e-12, 1e-8, 1e-6, 1e-3], 500)
+    y = cos[:, None] * x + np.sqrt(1 - cos**2)[:, None] * y
+    none = np.zeros(500, np.float32)
+    found = [p for i, j in embeddings._near((x, x.astype(np.float32)), (y, y.astype(np.float32)), none, none, 1.0, 0.9) for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert sorted(found) == [(i, i) for i in range(500) if cos[i] >= 0.9]
+
+
+def test_embeddings_are_not_copied_for_cells(spark):
+    """What is shuffled is a few times the vectors, whatever the number of cells that a vector's partners could be in."""
+    written = lambda: spark._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    x = np.random.default_rng(31).normal(size=(1500, 128)).astype(np.float32)
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<float>")
+    spark._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    before = written()
+    assert embeddings.near_components(df, per_cell=25).filter("kept and n_links = 0").count() == 1500
+    spark._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    assert x.nbytes < written() - before < 4 * x.nbytes
+
+
 # 9 simhash ------------------------------------------------------------------------------------
 
 
