@@ -19,7 +19,7 @@ PER_CELL, MOST_CELLS, SAMPLE, ROUNDS = 1000, 4096, 40_000, 8
 #: For callers who give up pairs for speed: how far apart across the plane between their cells the vectors of a pair may be, in deviations of a pair's offset there.
 REACH = 3.0
 #: Bytes of a block's vectors, less than twice as many where a task has more; rows of a result that a task gathers before it sums them up; pairs that are decided in double precision at once.
-BLOCK, GATHERED, LOT = 1 << 23, 1_000_000, 16_384
+BLOCK, GATHERED, LOT = 1 << 22, 1_000_000, 16_384
 #: What components are kept as, by their type in Spark.
 KINDS = {"float": np.float32, "double": np.float64}
 
